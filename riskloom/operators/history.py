@@ -13,6 +13,8 @@ from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
 
 _SUMS = ("n", "y", "amt")
+# A time before any other.
+_FRONT = -(1 << 60)
 
 
 def _measured(df: DataFrame, cols: TxnColumns, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -34,6 +36,7 @@ def history_long(
     keys: Sequence[str] | None = None,
     *,
     strict: bool = False,
+    earlier: DataFrame | None = None,
     period: int = 3600,
     cell_rows: int = 1_000_000,
     tie_block: int = 1 << 20,
@@ -41,10 +44,16 @@ def history_long(
     """Count, fraud rate and mean amount of the earlier rows of the same entity, in long form.
 
     Default order is (time, id). ``strict`` leaves out rows at the same instant as well. The
-    mean divides by rows, so a row without an amount still counts.
+    mean divides by rows, so a row without an amount still counts. ``earlier`` (``entity_sums``
+    of rows before this frame) enters as one row in front of each entity.
     """
     rows = _measured(df, cols, tuple(keys or cols.history_keys))
     by = ["key_type", "key"]
+    if earlier is not None:
+        front = earlier.select(
+            F.lit(None).cast("long").alias(cols.id), F.lit(_FRONT).alias(cols.time), *by, *_SUMS
+        )
+        rows = rows.unionByName(front)
     if strict:
         prior = prior_sums_strict(rows, by, cols.time, _SUMS)
     else:
@@ -52,6 +61,8 @@ def history_long(
             rows, by, cols.time, cols.id, _SUMS,
             period=period, cell_rows=cell_rows, tie_block=tie_block,
         )
+    if earlier is not None:
+        prior = prior.where(F.col(cols.time) != _FRONT)
     return prior.select(
         cols.id,
         *by,
@@ -61,6 +72,20 @@ def history_long(
     )
 
 
+def entity_sums(
+    df: DataFrame, cols: TxnColumns = DEFAULT, keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows, label sum and amount sum per entity: ``key_type, key, n, y, amt``."""
+    return add_up(_measured(df, cols, tuple(keys or cols.history_keys)))
+
+
+def add_up(sums: DataFrame) -> DataFrame:
+    """Entity sums of several periods as one."""
+    return sums.groupBy("key_type", "key").agg(
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SUMS]
+    )
+
+
 def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> DataFrame:
     """Long history back to one row per id with ``<key>_hist_*`` columns.
 

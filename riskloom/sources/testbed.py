@@ -49,7 +49,7 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = part.select(
         F.col("p_partkey").alias("_part"),
         F.col("p_name").alias("id_30"),
-        F.concat_ws(" ", "p_type", "p_brand").alias("id_31"),
+        F.concat("p_type", F.lit(" "), "p_brand").alias("id_31"),
     )
     return (
         events.where(F.pmod(eid, F.lit(3)) != 0)
