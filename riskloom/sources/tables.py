@@ -14,8 +14,11 @@ from riskloom.schema import DEFAULT, TxnColumns, identity_schema, transaction_sc
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header under an explicit schema: no inference pass over the data."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header under an explicit schema: no inference pass over the data.
+
+    A quote inside a quoted field is doubled, as spreadsheets and data frame tools write it.
+    """
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
