@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import sql
 from riskloom.catalog.featuring import temporal_features
 from riskloom.catalog.registry import query
-from riskloom.catalog.relational import COLS, both_models, boundaries, scored, with_split
+from riskloom.catalog.relational import COLS, both_models, boundaries, interim, scored, with_split
 from riskloom.operators import drift, encodings, explaining, ranking, selection, splitting, validation
 from riskloom.operators.joining import keys_long, lookup
 from riskloom.plans import promotion
@@ -88,7 +88,7 @@ def amount_quartiles(spark, sf):
 def sliced_holdout(spark, sf):
     """Hold-out rows per slice: only the features slices are made of are built."""
     t1, t2 = boundaries(spark, sf)
-    rows = splitting.assign_split(testbed.joined(spark, sf), t1, t2, COLS)
+    rows = splitting.assign_split(interim(spark, sf), t1, t2, COLS)
     fitted = splitting.period_filter(rows, until=t2, cols=COLS)
     counts = encodings.frequency_counts(fitted, COLS, ["card1"])
     holdout = splitting.period_filter(rows, after=t2, cols=COLS)
@@ -151,11 +151,11 @@ _PROMOTION = {
         count(*) FILTER (WHERE score >= cut AND label = 0) AS fp,
         count(*) FILTER (WHERE score < cut AND label = 1) AS fn,
         count(*) FILTER (WHERE score < cut AND label = 0) AS tn, count(*) AS n FROM withop GROUP BY split""",
-    "at": sql.rates("k", "split"),
+    "att": sql.rates("k", "split"),
     "bc": sql.curve("(SELECT * FROM duo WHERE split = 'holdout')", "model"),
     "ap": f"SELECT model, {sql.AP} AS pr_auc FROM bc GROUP BY model",
     "gate": """SELECT (SELECT pr_auc FROM ap WHERE model = 'candidate') > (SELECT pr_auc FROM ap WHERE model = 'baseline') AS g1,
-        (SELECT precision >= 0.10 AND recall >= 0.20 FROM at WHERE split = 'holdout') AS g2,
+        (SELECT precision >= 0.10 AND recall >= 0.20 FROM att WHERE split = 'holdout') AS g2,
         (SELECT count(*) = 0 FROM ck WHERE status = 'fail') AS g3,
         coalesce((SELECT string_agg(slice, ',' ORDER BY slice) FROM ck WHERE status = 'fail'), '') AS failed_slices""",
 }
@@ -213,7 +213,7 @@ def _promotion_report(spark, sf):
 
 
 _AT_ROWS = " UNION ALL ".join(
-    f"SELECT split || '_at_threshold', '{f}', CAST({f} AS DOUBLE) FROM at" for f in promotion.CONFUSION
+    f"SELECT split || '_at_threshold', '{f}', CAST({f} AS DOUBLE) FROM att" for f in promotion.CONFUSION
 )
 _SLICE_ROWS = " UNION ALL ".join(
     f"SELECT 'slice.' || slice, '{name}', CAST({expr} AS DOUBLE) FROM ck"
@@ -376,7 +376,7 @@ def _numeric_txn(spark, sf, split):
 
 @query("final_report_table")
 def final_report_table(spark, sf):
-    joined = materialize(testbed.joined(spark, sf), "joined")
+    joined = interim(spark, sf)
     t1, t2 = splitting.boundary_values(splitting.split_boundaries(joined, cols=COLS))
     metrics = materialize(ranking.evaluate(both_models(spark, sf), ["model", "split"]), "metrics")
     importance = explaining.global_importance(

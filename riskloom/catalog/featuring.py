@@ -11,6 +11,7 @@ from riskloom.catalog.relational import (
     KEYS,
     ROUNDED_HISTORY_SQL,
     boundaries,
+    interim,
     rounded_history,
 )
 from riskloom.functions import scalars as S
@@ -194,7 +195,7 @@ def _feature_view(df):
             steady(F.col(f"{k}_hist_amt_mean")).alias(f"{k}_hist_amt_mean"),
         ]
     return df.select(
-        "transaction_id", "split", "is_fraud", *hist, *feature_plans.frequency_columns(COLS),
+        "transaction_id", "split", "is_fraud", *hist, *feature_plans.frequency_names(COLS),
         "DT_M", "DT_W", "DT_D", "hour", "day_of_week", "is_weekend", *rounded,
         "n_identity_present", "os_family", "browser_family",
     )
@@ -203,7 +204,7 @@ def _feature_view(df):
 @query("build_train_features", sql.with_(f"SELECT {FEATURE_SQL} FROM feats WHERE split = 'train'", "feats"))
 def build_train_features(spark, sf):
     t1, _ = boundaries(spark, sf)
-    train = splitting.period_filter(testbed.joined(spark, sf), until=t1, cols=COLS)
+    train = splitting.period_filter(interim(spark, sf), until=t1, cols=COLS)
     out, _ = feature_plans.build_train_features(train, COLS)
     return _feature_view(out.withColumn("split", F.lit("train")))
 
@@ -211,7 +212,7 @@ def build_train_features(spark, sf):
 @query("build_test_features", sql.with_(f"SELECT {FEATURE_SQL} FROM feats WHERE split = 'validation'", "feats"))
 def build_test_features(spark, sf):
     t1, t2 = boundaries(spark, sf)
-    rows = testbed.joined(spark, sf)
+    rows = interim(spark, sf)
     _, artifacts = feature_plans.build_train_features(
         splitting.period_filter(rows, until=t1, cols=COLS), COLS
     )
@@ -221,7 +222,7 @@ def build_test_features(spark, sf):
 
 
 def temporal_features(spark, sf):
-    return feature_plans.build_temporal_splits(testbed.joined(spark, sf), *boundaries(spark, sf), COLS)
+    return feature_plans.build_temporal_splits(interim(spark, sf), *boundaries(spark, sf), COLS)
 
 
 @query("build_temporal_splits", sql.with_(f"SELECT {FEATURE_SQL} FROM feats", "feats"))

@@ -11,7 +11,7 @@ from riskloom.operators import encodings, history, joining, splitting, validatio
 from riskloom.operators.history import map_entity_history
 from riskloom.plans import features as feature_plans
 from riskloom.schema import identity_schema, transaction_schema
-from riskloom.session import working_dir
+from riskloom.session import materialize, working_dir
 from riskloom.sources import tables, testbed
 
 COLS = testbed.COLS
@@ -19,11 +19,17 @@ KEYS = COLS.history_keys
 
 
 def boundaries(spark: SparkSession, sf: str) -> tuple[float, float]:
-    return splitting.boundary_values(splitting.split_boundaries(testbed.transactions(spark, sf), cols=COLS))
+    rows = testbed.transactions(spark, sf, address=False)
+    return splitting.boundary_values(splitting.split_boundaries(rows, cols=COLS))
+
+
+def interim(spark: SparkSession, sf: str) -> DataFrame:
+    """The joined table as ingestion leaves it: stored once, read by every later pass."""
+    return materialize(testbed.joined(spark, sf), "joined")
 
 
 def with_split(spark: SparkSession, sf: str, identity: bool = True) -> DataFrame:
-    rows = testbed.joined(spark, sf) if identity else testbed.transactions(spark, sf)
+    rows = testbed.joined(spark, sf) if identity else testbed.transactions(spark, sf, address=False)
     return splitting.assign_split(rows, *boundaries(spark, sf), COLS)
 
 
@@ -75,7 +81,7 @@ def sink_parquet(spark, sf):
 
 @query("sink_json_report")
 def sink_json_report(spark, sf):
-    manifest = splitting.split_manifest(testbed.transactions(spark, sf), cols=COLS)
+    manifest = splitting.split_manifest(testbed.transactions(spark, sf, address=False), cols=COLS)
     path = tables.sink_json_report(manifest, working_dir(spark, "manifest"))
     return spark.read.schema(manifest.schema).json(path)
 
@@ -231,11 +237,11 @@ _FREQ_SQL = ", ".join(f"{k}_freq" for k in COLS.frequency_keys)
 )
 def map_frequency(spark, sf):
     t1, t2 = boundaries(spark, sf)
-    rows = testbed.joined(spark, sf)
+    rows = interim(spark, sf)
     counts = encodings.frequency_counts(splitting.period_filter(rows, until=t1, cols=COLS), COLS)
     later = splitting.period_filter(rows, after=t1, until=t2, cols=COLS)
     return encodings.map_frequency(later, counts, COLS).select(
-        "transaction_id", *feature_plans.frequency_columns(COLS)
+        "transaction_id", *feature_plans.frequency_names(COLS)
     )
 
 
@@ -424,7 +430,7 @@ def to_event_time(spark, sf):
 
 @query("split_boundaries", sql.with_("SELECT t1, t2 FROM bounds", "bounds"))
 def split_boundaries(spark, sf):
-    return splitting.split_boundaries(testbed.transactions(spark, sf), cols=COLS)
+    return splitting.split_boundaries(testbed.transactions(spark, sf, address=False), cols=COLS)
 
 
 @query("assign_split", sql.with_("SELECT transaction_id, split FROM sp", "sp"))
@@ -444,4 +450,5 @@ def assign_split(spark, sf):
     ),
 )
 def split_summary(spark, sf):
-    return splitting.split_summary(testbed.transactions(spark, sf), *boundaries(spark, sf), COLS)
+    rows = testbed.transactions(spark, sf, address=False)
+    return splitting.split_summary(rows, *boundaries(spark, sf), COLS)

@@ -28,34 +28,18 @@ def frequency_counts(
     )
 
 
-def frequencies_by_target(
-    df: DataFrame,
-    source: str,
-    feeds: dict[str, tuple[str, ...]],
-    cols: TxnColumns = DEFAULT,
-    keys: Sequence[str] | None = None,
-) -> DataFrame:
-    """Frequency counts per target split from one pass: ``target, key_type, key, freq``."""
-    counts = frequency_counts(df.where(F.col(source).isin(*feeds)), cols, keys, group=[source])
-    targets = F.coalesce(
-        *[F.when(F.col(source) == s, F.array(*[F.lit(t) for t in ts])) for s, ts in feeds.items()]
-    )
-    return (
-        counts.withColumn("target", F.explode(targets))
-        .groupBy("target", "key_type", "key")
-        .agg(F.sum("freq").alias("freq"))
-    )
+def frequency_columns(keys: Sequence[str]) -> list[Column]:
+    """Aggregates that turn long counts of one id into ``<key>_freq`` columns."""
+    return [
+        F.coalesce(F.max(F.when(F.col("key_type") == k, F.col("freq"))), F.lit(0))
+        .cast("long")
+        .alias(f"{k}_freq")
+        for k in keys
+    ]
 
 
 def spread_frequency(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> DataFrame:
-    return long.groupBy(cols.id).agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("key_type") == k, F.col("freq"))), F.lit(0))
-            .cast("long")
-            .alias(f"{k}_freq")
-            for k in keys
-        ]
-    )
+    return long.groupBy(cols.id).agg(*frequency_columns(keys))
 
 
 def map_frequency(

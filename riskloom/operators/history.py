@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
@@ -86,11 +86,8 @@ def add_up(sums: DataFrame) -> DataFrame:
     )
 
 
-def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> DataFrame:
-    """Long history back to one row per id with ``<key>_hist_*`` columns.
-
-    The output is partitioned by id, so the join to the wide table re-uses its id shuffle.
-    """
+def history_columns(keys: Sequence[str]) -> list[Column]:
+    """Aggregates that turn long history rows of one id into ``<key>_hist_*`` columns."""
     out = []
     for key in keys:
         mine = F.col("key_type") == key
@@ -99,7 +96,15 @@ def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> Da
             F.max(F.when(mine, F.col("fraud_rate"))).alias(f"{key}_hist_fraud_rate"),
             F.max(F.when(mine, F.col("amt_mean"))).alias(f"{key}_hist_amt_mean"),
         ]
-    return long.groupBy(cols.id).agg(*out)
+    return out
+
+
+def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> DataFrame:
+    """Long history back to one row per id.
+
+    The output is partitioned by id, so the join to the wide table re-uses its id shuffle.
+    """
+    return long.groupBy(cols.id).agg(*history_columns(keys))
 
 
 def add_entity_history(
@@ -151,9 +156,9 @@ def aggregates_by_target(
 ) -> DataFrame:
     """Entity aggregates per target split from one pass over the fitting rows.
 
-    ``feeds`` names, for every value of column ``source``, the splits that may know it. Sums
-    are formed per (source, entity) first; only those few rows are repeated per target.
-    Result: ``target, key_type, key, fraud_rate, amt_mean, cnt``.
+    ``feeds`` names, for every value of column ``source``, the splits its rows are summed up
+    for. Sums are formed per (source, entity) first; only those few rows are repeated per
+    target. Result: ``target, key_type, key, fraud_rate, amt_mean, cnt``.
     """
     rows = _measured(df.where(F.col(source).isin(*feeds)), cols, tuple(keys or cols.history_keys), [source])
     sums = rows.groupBy(source, "key_type", "key").agg(

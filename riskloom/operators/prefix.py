@@ -171,7 +171,12 @@ def prior_sums_by_value(
     by = list(by)
     if cells & (cells - 1):
         raise ValueError("cells must be a power of two")
-    cuts = F.percentile_approx(value, [i / cells for i in range(1, cells)], cells * 20)
+    # The cuts read every column the later steps read (the test is always true), so that all
+    # of them find the same shuffle of ``rows`` and share it instead of pruning it differently.
+    complete = F.least(F.lit(0), *[F.col(s) for s in sums]) <= 0
+    cuts = F.percentile_approx(
+        F.when(complete, F.col(value)), [i / cells for i in range(1, cells)], cells * 20
+    )
     if by:
         # One array of at most cells-1 numbers per report group.
         edges = rows.groupBy(*by).agg(cuts.alias("_edges"))

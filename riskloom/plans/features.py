@@ -1,11 +1,13 @@
 """Feature tables: training rows see their own past, later rows see a frozen period.
 
 The wide table is shuffled once, on the row id. Every history and frequency value is worked
-out on narrow (id, key) rows and joined back on that same id.
+out on narrow (id, key) rows: one lookup and one regrouping serve all key columns, and the
+result is joined back on that same id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,72 +20,93 @@ from riskloom.schema import DEFAULT, MISSING_KEY, SPLITS, TxnColumns
 from riskloom.session import materialize
 
 TRAIN, VALIDATION, HOLDOUT = SPLITS
-# Which later splits may know a fitting split's labels, and which splits use its counts.
-HISTORY_FEEDS = {TRAIN: (VALIDATION, HOLDOUT), VALIDATION: (HOLDOUT,)}
-FREQUENCY_FEEDS = {TRAIN: (TRAIN, VALIDATION, HOLDOUT), VALIDATION: (HOLDOUT,)}
+# For which splits the rows of a split are summed up. What a split's own rows say about its
+# labels is used for none of its rows; their plain counts are.
+FEEDS = {TRAIN: (TRAIN, VALIDATION, HOLDOUT), VALIDATION: (HOLDOUT,)}
 
 
 @dataclass(frozen=True)
 class FeatureArtifacts:
-    """Frozen lookup tables fitted on the training rows."""
+    """Frozen per-value aggregates of all key columns, fitted on the training rows."""
 
-    entity: DataFrame
-    frequency: DataFrame
+    profile: DataFrame
+    cols: TxnColumns = DEFAULT
+
+    @property
+    def entity(self) -> DataFrame:
+        """Fraud rate, mean amount and rows per entity, the missing entity included."""
+        return self.profile.where(F.col("key_type").isin(*self.cols.history_keys))
+
+    @property
+    def frequency(self) -> DataFrame:
+        """Rows per value, nulls left out."""
+        kept = F.col("key_type").isin(*self.cols.frequency_keys) & (F.col("key") != MISSING_KEY)
+        return self.profile.where(kept).select("key_type", "key", F.col("cnt").alias("freq"))
 
     def save(self, path: str) -> None:
-        self.entity.write.mode("overwrite").parquet(f"{path}/entity")
-        self.frequency.write.mode("overwrite").parquet(f"{path}/frequency")
+        self.profile.write.mode("overwrite").parquet(path)
 
     @staticmethod
-    def load(spark, path: str) -> FeatureArtifacts:
-        return FeatureArtifacts(
-            spark.read.parquet(f"{path}/entity"), spark.read.parquet(f"{path}/frequency")
-        )
+    def load(spark, path: str, cols: TxnColumns = DEFAULT) -> FeatureArtifacts:
+        return FeatureArtifacts(spark.read.parquet(path), cols)
+
+
+def _all_keys(cols: TxnColumns) -> tuple[str, ...]:
+    return tuple(dict.fromkeys((*cols.history_keys, *cols.frequency_keys)))
 
 
-def history_columns(cols: TxnColumns) -> list[str]:
+def key_feature_names(cols: TxnColumns = DEFAULT) -> list[str]:
     parts = ("count", "fraud_rate", "amt_mean")
-    return [f"{k}_hist_{p}" for k in cols.history_keys for p in parts]
+    return [f"{k}_hist_{p}" for k in cols.history_keys for p in parts] + frequency_names(cols)
 
 
-def frequency_columns(cols: TxnColumns) -> list[str]:
+def frequency_names(cols: TxnColumns = DEFAULT) -> list[str]:
     return [f"{k}_freq" for k in cols.frequency_keys]
 
 
-def _assemble(df: DataFrame, hist: DataFrame, freq: DataFrame, cols: TxnColumns) -> DataFrame:
-    base = df.drop(*history_columns(cols), *frequency_columns(cols))
-    joined = base.join(hist, cols.id, "left").join(freq, cols.id, "left")
-    return joined.withColumns(encodings.row_expressions(base, cols))
+def _frozen(df: DataFrame, profile: DataFrame, cols: TxnColumns, extra: Sequence[str] = ()) -> DataFrame:
+    """Long rows of every key column with what the profile knows about their value."""
+    long = keys_long(df, _all_keys(cols), [cols.id, *extra], MISSING_KEY)
+    found = lookup(long, profile, [*extra, "key_type", "key"])
+    # A missing value is an entity of its own, but has no frequency.
+    return found.withColumn("freq", F.when(F.col("key") != MISSING_KEY, F.col("cnt")))
+
+
+def _assemble(df: DataFrame, long: DataFrame, cols: TxnColumns) -> DataFrame:
+    """Key features from long rows, joined to the wide rows, plus all row-level features."""
+    per_id = long.groupBy(cols.id).agg(
+        *history.history_columns(cols.history_keys), *encodings.frequency_columns(cols.frequency_keys)
+    )
+    base = df.drop(*key_feature_names(cols))
+    return base.join(per_id, cols.id, "left").withColumns(encodings.row_expressions(base, cols))
+
+
+_LONG = ("key_type", "cnt", "fraud_rate", "amt_mean", "freq")
+
+
+def _own_past(train: DataFrame, frozen: DataFrame, is_train, cols: TxnColumns, **options) -> DataFrame:
+    """Training rows take their running history and keep only the counts of the frozen one."""
+    running = history.history_long(train, cols, **options).withColumn("freq", F.lit(None).cast("long"))
+    masked = frozen.withColumns(
+        {c: F.when(~is_train, F.col(c)) for c in ("cnt", "fraud_rate", "amt_mean")}
+    )
+    return masked.select(cols.id, *_LONG).unionByName(running.select(cols.id, *_LONG))
 
 
 def build_train_features(
     df: DataFrame, cols: TxnColumns = DEFAULT, **options
 ) -> tuple[DataFrame, FeatureArtifacts]:
     """All feature groups on the training rows, and the frozen tables for later rows."""
-    artifacts = FeatureArtifacts(
-        materialize(history.entity_aggregates(df, cols), "entity"),
-        materialize(encodings.frequency_counts(df, cols), "frequency"),
-    )
-    hist = history.spread_history(
-        history.history_long(df, cols, **options), cols, cols.history_keys
-    )
-    freq = _frozen_frequency(df, artifacts.frequency, cols)
-    return _assemble(df, hist, freq, cols), artifacts
+    profile = materialize(history.entity_aggregates(df, cols, _all_keys(cols)), "profile")
+    long = _own_past(df, _frozen(df, profile, cols), F.lit(True), cols, **options)
+    return _assemble(df, long, cols), FeatureArtifacts(profile, cols)
 
 
 def build_test_features(
     df: DataFrame, artifacts: FeatureArtifacts, cols: TxnColumns = DEFAULT
 ) -> DataFrame:
     """The same columns for later rows, from frozen tables only."""
-    long = keys_long(df, cols.history_keys, [cols.id], MISSING_KEY)
-    found = lookup(long, artifacts.entity, ["key_type", "key"])
-    hist = history.spread_history(found, cols, cols.history_keys)
-    return _assemble(df, hist, _frozen_frequency(df, artifacts.frequency, cols), cols)
-
-
-def _frozen_frequency(df: DataFrame, counts: DataFrame, cols: TxnColumns) -> DataFrame:
-    found = lookup(keys_long(df, cols.frequency_keys, [cols.id]), counts, ["key_type", "key"])
-    return encodings.spread_frequency(found, cols, cols.frequency_keys)
+    return _assemble(df, _frozen(df, artifacts.profile, cols), cols)
 
 
 def build_temporal_splits(
@@ -93,21 +116,15 @@ def build_temporal_splits(
 
     Training rows get their running history, validation rows the training aggregates, hold-out
     rows those of training and validation together. Both sets of aggregates come from one pass.
-    Write the result with ``partitionBy("split")``. Rows without a time belong to no split
-    and are left out, as three range filters would.
+    ``df`` is read several times, so hand over a stored table; write the result with
+    ``partitionBy("split")``. Rows without a time belong to no split and are left out, as three
+    range filters would.
     """
     rows = assign_split(df, t1, t2, cols).where(F.col("split").isNotNull())
-    entity = materialize(history.aggregates_by_target(rows, "split", HISTORY_FEEDS, cols), "entity")
-    counts = materialize(encodings.frequencies_by_target(rows, "split", FREQUENCY_FEEDS, cols), "frequency")
-
-    own_past = history.history_long(rows.where(F.col("split") == TRAIN), cols, **options)
-    later = keys_long(rows.where(F.col("split") != TRAIN), cols.history_keys, [cols.id, "split"], MISSING_KEY)
-    frozen = lookup(
-        later, entity.withColumnRenamed("target", "split"), ["split", "key_type", "key"]
-    ).drop("split")
-    hist = history.spread_history(own_past.unionByName(frozen), cols, cols.history_keys)
-
-    keyed = keys_long(rows, cols.frequency_keys, [cols.id, "split"])
-    counted = lookup(keyed, counts.withColumnRenamed("target", "split"), ["split", "key_type", "key"])
-    freq = encodings.spread_frequency(counted, cols, cols.frequency_keys)
-    return _assemble(rows, hist, freq, cols)
+    profile = materialize(
+        history.aggregates_by_target(rows, "split", FEEDS, cols, _all_keys(cols)), "profile"
+    ).withColumnRenamed("target", "split")
+    frozen = _frozen(rows, profile, cols, ["split"])
+    is_train = F.col("split") == TRAIN
+    long = _own_past(rows.where(is_train), frozen, is_train, cols, **options)
+    return _assemble(rows, long, cols)

@@ -25,20 +25,24 @@ def fraud_label():
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "customer")
-    nation = customer.select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("addr1")
-    )
+def transactions(spark: SparkSession, sf_dir: str, *, address: bool = True) -> DataFrame:
+    """The transaction table; ``address=False`` leaves out addr1 and the join it needs."""
     start = F.lit(COLS.reference_time).cast("timestamp_ntz")
     key = F.col("o_orderkey")
-    return orders.join(nation, "o_custkey", "left").select(
+    rows = _read(spark, sf_dir, "orders")
+    if address:
+        customer = _read(spark, sf_dir, "customer")
+        nation = customer.select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("addr1")
+        )
+        rows = rows.join(nation, "o_custkey", "left")
+    return rows.select(
         key.alias("transaction_id"),
         F.timestamp_diff("SECOND", start, F.col("o_orderdate")).alias("transaction_dt"),
         F.col("o_totalprice").alias("transaction_amt"),
         fraud_label().cast("int").alias("is_fraud"),
         F.when(F.pmod(key, F.lit(17)) != 0, F.col("o_custkey").cast("string")).alias("card1"),
-        "addr1",
+        *(["addr1"] if address else []),
         F.when(F.pmod(key, F.lit(11)) != 0, F.col("o_orderpriority")).alias("p_emaildomain"),
     )
 
