@@ -1,0 +1,39 @@
+"""Every registered query beside its SQL counterpart on the smallest tables."""
+
+import pytest
+
+from oracle import compare, connect
+from riskloom.catalog import ORACLES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, con, sf_dir, name):
+    assert compare(spark, con, name, QUERIES[name], ORACLES[name], sf_dir) == ""
+
+
+def test_every_counterpart_has_its_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_promotion_figures_agree_with_the_report(spark, sf_dir):
+    report = {(r["section"], r["name"]): r["value"] for r in QUERIES["promotion_report"](spark, sf_dir).collect()}
+    row = QUERIES["promotion_gate"](spark, sf_dir).first()
+    assert report[("gate", "promoted")] == float(row["promoted"])
+
+
+def test_final_report_has_all_sections(spark, sf_dir):
+    sections = {r["section"].split(".")[0] for r in QUERIES["final_report_table"](spark, sf_dir).collect()}
+    assert sections == {"dataset", "split", "model", "comparison", "promotion", "explainability", "monitoring"}
+
+
+def test_tree_explanations_add_up_on_the_tables(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    out = QUERIES["tree_contributions"](spark, sf_dir)
+    worst = out.agg(F.max(F.abs(F.col("explained_log_odds") - F.col("model_log_odds")))).first()[0]
+    assert worst < 1e-8
