@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import scalars as S
 from riskloom.operators.joining import keys_long, lookup
 from riskloom.schema import DEFAULT, TxnColumns
+from riskloom.session import materialize
 
 
 def frequency_counts(
@@ -50,7 +51,8 @@ def map_frequency(
 ) -> DataFrame:
     """``frequency_counts`` of a fitting period joined onto rows; null or unseen values get 0."""
     keys = tuple(keys or cols.frequency_keys)
-    found = lookup(keys_long(df, keys, [cols.id]), counts, ["key_type", "key"])
+    stored = materialize(counts, "frequency")
+    found = lookup(keys_long(df, keys, [cols.id]), stored, ["key_type", "key"])
     return df.join(spread_frequency(found, cols, keys), cols.id, "left")
 
 

@@ -11,6 +11,7 @@ from riskloom.functions.scalars import safe_divide
 from riskloom.operators.joining import keys_long, lookup
 from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
+from riskloom.session import materialize
 
 _SUMS = ("n", "y", "amt")
 # A time before any other.
@@ -143,7 +144,8 @@ def map_entity_history(
     An unseen entity gets count 0 and null rate and mean; a null key is the missing entity.
     """
     keys = tuple(keys or cols.history_keys)
-    found = lookup(keys_long(df, keys, [cols.id], MISSING_KEY), aggregates, ["key_type", "key"])
+    stored = materialize(aggregates, "entity")
+    found = lookup(keys_long(df, keys, [cols.id], MISSING_KEY), stored, ["key_type", "key"])
     return df.join(spread_history(found, cols, keys), cols.id, "left")
 
 
@@ -223,8 +225,8 @@ def leakage_check(
     after = prior_sums_by_time(reverse, by, "_minus_time", "_minus_id", _SUMS, **options).select(
         cols.id, *by, *[F.col(s) for s in _SUMS], *[F.col(f"before_{s}").alias(f"after_{s}") for s in _SUMS]
     )
-    totals = rows.groupBy(*by).agg(*[F.sum(s).alias(f"total_{s}") for s in _SUMS])
-    both = forward.join(after, [cols.id, *by]).join(totals, by)
+    totals = materialize(rows.groupBy(*by).agg(*[F.sum(s).alias(f"total_{s}") for s in _SUMS]), "totals")
+    both = lookup(forward.join(after, [cols.id, *by]), totals, by)
 
     def left_over(s: str):
         own = F.coalesce(F.col(s), F.lit(0))

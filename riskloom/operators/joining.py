@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.validation import ValidationError, duplicate_keys
 from riskloom.schema import DEFAULT, TxnColumns
+from riskloom.session import materialize
 
 # A probe key above this many rows is joined apart from the others.
 HEAVY_KEY_ROWS = 1_000_000
@@ -50,10 +51,11 @@ def lookup(
 ) -> DataFrame:
     """Left join of many rows with a table unique on ``on``, safe against hot probe keys.
 
-    A table counted below ``max_broadcast_rows`` is broadcast. Otherwise the probe's heavy keys
-    (there are at most rows / heavy_key_rows of them) meet a broadcast of just their own table
-    rows, rows with a null key pass through since they match nothing, and the rest is a
-    shuffle join in which no key is heavy. All rows are kept in each case.
+    A table counted below ``max_broadcast_rows`` is broadcast; hand over a stored one, so the
+    count is cheap. Otherwise the probe's heavy keys (there are at most rows / heavy_key_rows of
+    them) meet a broadcast of just their own table rows, rows with a null key pass through since
+    they match nothing, and the rest is a shuffle join in which no key is heavy. All rows are
+    kept in each case.
     """
     on = list(on)
     if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
@@ -63,8 +65,10 @@ def lookup(
     for key in on:
         no_key = no_key | F.col(key).isNull()
     keyed = probe.where(~no_key)
-    heavy = keyed.groupBy(*on).count().where(F.col("count") > heavy_key_rows).select(*on)
-    n_heavy = heavy.limit(max_broadcast_rows + 1).count()
+    heavy = materialize(
+        keyed.groupBy(*on).count().where(F.col("count") > heavy_key_rows).select(*on), "heavy"
+    )
+    n_heavy = heavy.count()
     added = [f for f in table.schema.fields if f.name not in on]
     keyless = probe.where(no_key).select(
         *on,
@@ -72,6 +76,7 @@ def lookup(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in added],
     )
     if n_heavy == 0 or n_heavy > max_broadcast_rows:
+        # None, or too many to set apart: the runtime splits skewed partitions of this join.
         return keyed.join(table, on, "left").unionByName(keyless)
     few = F.broadcast(heavy)
     hot = keyed.join(few, on, "left_semi").join(
@@ -99,15 +104,16 @@ def lookup_feature_history(
 ) -> DataFrame:
     """Rate, mean and count of one entity per request row; null where unknown or not given.
 
-    Works with a streaming ``requests`` frame too (a stream-static left join), so nothing is
-    counted here and join choice is left to the planner.
+    A batch goes through ``lookup``; for a streaming ``requests`` frame it is a stream-static
+    left join whose strategy is left to the planner.
     """
     entry = history.where(F.col("key_type") == key_type).select(
-        F.col("key").alias(f"_{key_type}_key"),
+        F.col("key").alias("_entity"),
         F.col("fraud_rate").alias(f"{key_type}_hist_fraud_rate"),
         F.col("amt_mean").alias(f"{key_type}_hist_amt_mean"),
         F.col("cnt").alias(f"{key_type}_hist_count"),
     )
-    return requests.join(
-        entry, F.col(column).cast("string") == F.col(f"_{key_type}_key"), "left"
-    ).drop(f"_{key_type}_key")
+    probe = requests.withColumn("_entity", F.col(column).cast("string"))
+    if requests.isStreaming:
+        return probe.join(entry, "_entity", "left").drop("_entity")
+    return lookup(probe, entry, ["_entity"]).drop("_entity")

@@ -12,9 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialize
+
 # A cell list of this many rows is small enough to broadcast (three narrow columns);
 # a longer one is joined by shuffle.
 MAX_BROADCAST_CELLS = 200_000
+# Fewest and most cells a value range is cut into.
+MIN_CELLS, MAX_CELLS = 64, 4096
 # Rows of unique ids per tie block: the leaf window of a split cell never exceeds it.
 TIE_BLOCK = 1 << 20
 _LAST_PERIOD = 1 << 62
@@ -82,11 +86,13 @@ def prior_sums_by_time(
     rows = rows.withColumn(
         "_period", F.coalesce(F.floor(F.col(time) / period), F.lit(_LAST_PERIOD)).cast("long")
     )
-    crowded = (
-        rows.groupBy(*by, "_period").count().where(F.col("count") > cell_rows).select(*by, "_period")
+    # The crowded cells, at most rows / cell_rows of them, are found once and written down. One
+    # count comes back to the driver; where it is 0 the plain two-level plan is kept.
+    crowded = materialize(
+        rows.groupBy(*by, "_period").count().where(F.col("count") > cell_rows).select(*by, "_period"),
+        "crowded",
     )
-    # One scalar comes back to the driver; usually it is 0 and the plain two-level plan is kept.
-    n_crowded = crowded.limit(MAX_BROADCAST_CELLS + 1).count()
+    n_crowded = crowded.count()
     if n_crowded:
         marks = crowded.withColumn("_crowded", F.lit(True))
         if n_crowded <= MAX_BROADCAST_CELLS:
@@ -157,7 +163,7 @@ def prior_sums_by_value(
     value: str,
     sums: Sequence[str],
     *,
-    cells: int = 256,
+    cells: int | None = None,
     with_next: bool = False,
 ) -> DataFrame:
     """Add ``before_<sum>`` and ``total_<sum>`` over ascending distinct values of a group.
@@ -165,10 +171,14 @@ def prior_sums_by_value(
     ``rows`` has one row per ``by + [value]``; ``by`` are report dimensions (model, split,
     slice, column), so there are few groups but each may hold most of the table. Cells are cut
     at approximate quantiles of the group's own distinct values, which keeps them even
-    whatever the distribution; the result does not depend on where the cuts fall.
+    whatever the distribution; the result does not depend on where the cuts fall. There are as
+    many as the session has shuffle partitions, so they grow with the cluster.
     ``with_next`` also adds ``next_value``, the following distinct value of the group.
     """
     by = list(by)
+    if cells is None:
+        wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cells = min(max(1 << (wanted - 1).bit_length(), MIN_CELLS), MAX_CELLS)
     if cells & (cells - 1):
         raise ValueError("cells must be a power of two")
     # The cuts read every column the later steps read (the test is always true), so that all

@@ -32,14 +32,18 @@ def working_dir(spark: SparkSession, label: str) -> str:
 
     Only where the session names none (a local test) is a temporary folder used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="riskloom-")
     return f"{base.rstrip('/')}/riskloom/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write a frame once and read it back: shared by several jobs, safe when executors are lost."""
+    """Write a frame once and read it back: shared by several jobs, safe when executors are lost.
+
+    The files stay in the shared folder, as other jobs may still read them; the folder's owner
+    clears it.
+    """
     spark = df.sparkSession
     path = working_dir(spark, label)
     writer = df.write.mode("overwrite")

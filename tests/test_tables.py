@@ -78,6 +78,20 @@ def test_json_report(spark, tmp_path):
     assert spark.read.json(path).count() == len(lines)
 
 
+def test_bucketed_table_is_joined_in_place(spark, tmp_path):
+    wide = tables.sink_bucketed(txn(spark, 200), "wide_rows", "transaction_id", 4, str(tmp_path / "wide"))
+    narrow = txn(spark, 200).groupBy("transaction_id").agg(F.sum("is_fraud").alias("y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = wide.join(narrow, "transaction_id", "left")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The one exchange belongs to the narrow side.
+    assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+    assert joined.count() == 200
+
+
 def test_align_columns(spark):
     df = spark.createDataFrame([(1, 2.5, None), (2, float("nan"), 7)], "id int, a double, b int")
     out = tables.align_columns(df, ["b", "gone", "a"], ["id"]).collect()
