@@ -56,7 +56,7 @@ def history_long(
         )
         rows = rows.unionByName(front)
     if strict:
-        prior = prior_sums_strict(rows, by, cols.time, _SUMS)
+        prior = prior_sums_strict(rows, by, cols.time, _SUMS, cell_rows=cell_rows)
     else:
         prior = prior_sums_by_time(
             rows, by, cols.time, cols.id, _SUMS,

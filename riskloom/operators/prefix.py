@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from riskloom.session import materialize
 
-# A cell list of this many rows is small enough to broadcast (three narrow columns);
+# A list of large groups of this many rows is small enough to broadcast (three narrow columns);
 # a longer one is joined by shuffle.
 MAX_BROADCAST_CELLS = 200_000
 # Fewest and most cells a value range is cut into.
 MIN_CELLS, MAX_CELLS = 64, 4096
 # Rows of unique ids per tie block: the leaf window of a split cell never exceeds it.
 TIE_BLOCK = 1 << 20
-_LAST_PERIOD = 1 << 62
+# Rows without a time come after all others.
+_LAST_INSTANT = 1 << 61
 
 
 def _before(partition: Sequence[str], order: Sequence[Column]) -> Window:
@@ -63,6 +64,24 @@ def cell_offsets(
     )
 
 
+def _split_heavy(
+    rows: DataFrame, by: Sequence[str], limit: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of groups up to ``limit`` rows, rows of the larger groups or None).
+
+    The large groups, at most rows / limit of them, are counted with map-side combine and
+    written down; one number comes back to the driver.
+    """
+    heavy = materialize(
+        rows.groupBy(*by).count().where(F.col("count") > limit).select(*by), "heavy"
+    )
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        return rows, None
+    marks = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_CELLS else heavy
+    return rows.join(marks, by, "left_anti"), rows.join(marks, by, "left_semi")
+
+
 def prior_sums_by_time(
     rows: DataFrame,
     by: Sequence[str],
@@ -76,71 +95,76 @@ def prior_sums_by_time(
 ) -> DataFrame:
     """Add ``before_<sum>``: the sum over earlier rows of the same ``by`` group.
 
-    Rows are ordered by ``(time, tie)`` with ``tie`` unique. A cell is one ``period`` of one
-    group. Cells above ``cell_rows`` rows (a hot key, or a third of the table on one
-    timestamp) are cut further by exact time and by blocks of the tie column, so no task ever
-    holds more than ``max(cell_rows, tie_block)`` rows of one group.
+    Rows are ordered by ``(time, tie)`` with ``tie`` unique. A group of up to ``cell_rows`` rows
+    is one window. A larger one is cut into cells of one ``period``; a cell that is still too
+    large (a third of the table on one timestamp) is cut by exact time and by blocks of the tie
+    column. No task holds more than ``max(cell_rows, tie_block)`` rows of one group.
     """
     by = list(by)
-    levels = ["_period"]
-    rows = rows.withColumn(
-        "_period", F.coalesce(F.floor(F.col(time) / period), F.lit(_LAST_PERIOD)).cast("long")
-    )
-    # The crowded cells, at most rows / cell_rows of them, are found once and written down. One
-    # count comes back to the driver; where it is 0 the plain two-level plan is kept.
-    crowded = materialize(
-        rows.groupBy(*by, "_period").count().where(F.col("count") > cell_rows).select(*by, "_period"),
-        "crowded",
-    )
-    n_crowded = crowded.count()
-    if n_crowded:
-        marks = crowded.withColumn("_crowded", F.lit(True))
-        if n_crowded <= MAX_BROADCAST_CELLS:
-            marks = F.broadcast(marks)
-        rows = (
-            rows.join(marks, [*by, "_period"], "left")
-            .withColumn("_instant", F.when(F.col("_crowded"), F.col(time)).otherwise(F.lit(0)).cast("long"))
-            .withColumn(
-                "_block",
-                F.when(F.col("_crowded"), F.floor(F.col(tie) / tie_block)).otherwise(F.lit(0)).cast("long"),
-            )
-            .drop("_crowded")
-        )
-        # A crowded cell of rows without a time still has an instant to join on.
-        rows = rows.withColumn("_instant", F.coalesce("_instant", F.lit(_LAST_PERIOD)))
-        levels = ["_period", "_instant", "_block"]
+    light, heavy = _split_heavy(rows, by, cell_rows)
+    order = [F.col(time).asc_nulls_last(), F.col(tie).asc()]
+    whole = _before(by, order)
+    out = light.select("*", *[F.coalesce(F.sum(s).over(whole), F.lit(0)).alias(f"before_{s}") for s in sums])
+    if heavy is None:
+        return out
+
+    rest = heavy.withColumns(
+        {
+            "_instant": F.coalesce(F.col(time), F.lit(_LAST_INSTANT)).cast("long"),
+            "_block": F.floor(F.col(tie) / tie_block).cast("long"),
+        }
+    ).withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
+    plain, crowded = _split_heavy(rest, [*by, "_period"], cell_rows)
+    # Cells that are not crowded keep one instant and one block for all their rows.
+    cut = plain.withColumns({"_instant": F.lit(0).cast("long"), "_block": F.lit(0).cast("long")})
+    if crowded is not None:
+        cut = cut.unionByName(crowded)
+    levels = ["_period", "_instant", "_block"] if crowded is not None else ["_period"]
 
-    cells = rows.groupBy(*by, *levels).agg(*[F.sum(s).alias(s) for s in sums])
+    cells = cut.groupBy(*by, *levels).agg(*[F.sum(s).alias(s) for s in sums])
     offsets = cell_offsets(cells, by, levels, sums)
-    leaf = _before(by + levels, [F.col(time).asc_nulls_last(), F.col(tie).asc()])
-    inside = rows.select(
+    leaf = _before(by + levels, order)
+    inside = cut.select(
         "*", *[F.coalesce(F.sum(s).over(leaf), F.lit(0)).alias(f"_in_{s}") for s in sums]
     )
-    return (
-        inside.join(offsets, [*by, *levels])
-        .withColumns({f"before_{s}": F.col(f"before_{s}") + F.col(f"_in_{s}") for s in sums})
-        .drop(*levels, *[f"_in_{s}" for s in sums])
+    far = inside.join(offsets, [*by, *levels]).withColumns(
+        {f"before_{s}": F.col(f"before_{s}") + F.col(f"_in_{s}") for s in sums}
     )
+    return out.unionByName(far.select(*out.columns))
 
 
 def prior_sums_strict(
-    rows: DataFrame, by: Sequence[str], time: str, sums: Sequence[str], *, period: int = 86_400
+    rows: DataFrame,
+    by: Sequence[str],
+    time: str,
+    sums: Sequence[str],
+    *,
+    period: int = 86_400,
+    cell_rows: int = 1_000_000,
 ) -> DataFrame:
     """As above but over rows strictly earlier in time: peers at the same instant are left out.
 
-    Only (group, instant) totals are windowed, at most ``period`` of them at a time; the rows
-    join them back by equality, which runtime skew handling can split.
+    Small groups are one range window. Of large ones only (group, instant) totals are windowed,
+    at most ``period`` of them at a time; the rows join them back by equality, which runtime
+    skew handling can split.
     """
     by = list(by)
     # Rows with no time come after all others, as one instant.
-    rows = rows.withColumn("_instant", F.coalesce(F.col(time), F.lit(_LAST_PERIOD)).cast("long"))
-    instants = (
-        rows.groupBy(*by, "_instant")
-        .agg(*[F.sum(s).alias(s) for s in sums])
-        .withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
+    rows = rows.withColumn("_instant", F.coalesce(F.col(time), F.lit(_LAST_INSTANT)).cast("long"))
+    light, heavy = _split_heavy(rows, by, cell_rows)
+    earlier = Window.partitionBy(*by).orderBy("_instant").rangeBetween(Window.unboundedPreceding, -1)
+    out = light.select(
+        "*", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
     )
-    offsets = cell_offsets(instants, by, ["_period", "_instant"], sums).drop("_period")
-    return rows.join(offsets, [*by, "_instant"]).drop("_instant")
+    if heavy is not None:
+        instants = (
+            heavy.groupBy(*by, "_instant")
+            .agg(*[F.sum(s).alias(s) for s in sums])
+            .withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
+        )
+        offsets = cell_offsets(instants, by, ["_period", "_instant"], sums).drop("_period")
+        out = out.unionByName(heavy.join(offsets, [*by, "_instant"]).select(*out.columns))
+    return out.drop("_instant")
 
 
 def _cell_of(value: Column, edges: Column, cells: int) -> Column:

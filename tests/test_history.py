@@ -87,7 +87,9 @@ def test_missing_key_is_an_entity(spark):
     "options",
     [
         {},
-        {"period": 1_000_000},
+        # The hot card is cut by period only, then all cards are.
+        {"period": 50_000, "cell_rows": 500},
+        {"period": 50_000, "cell_rows": 60},
         # Every cell counts as crowded: cut by instant and by blocks of ids.
         {"period": 100_000, "cell_rows": 5, "tie_block": 64},
         {"period": 1_000_000, "cell_rows": 50, "tie_block": 7},
@@ -108,7 +110,8 @@ def test_cutting_does_not_change_the_result(spark, options):
             assert mine["card1_hist_amt_mean"] == pytest.approx(row["mean"], rel=1e-9)
 
 
-def test_strict_history_leaves_out_the_same_instant(spark):
+@pytest.mark.parametrize("cell_rows", [1_000_000, 50])
+def test_strict_history_leaves_out_the_same_instant(spark, cell_rows):
     df = skewed(spark)
     w = (
         Window.partitionBy(F.coalesce("card1", F.lit("__MISSING__")))
@@ -116,7 +119,7 @@ def test_strict_history_leaves_out_the_same_instant(spark):
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     want = table(df.select("transaction_id", F.count(F.lit(1)).over(w).alias("n")), "transaction_id")
-    got = table(history.add_entity_history(df, keys=["card1"], strict=True), "transaction_id")
+    got = table(history.add_entity_history(df, keys=["card1"], strict=True, cell_rows=cell_rows), "transaction_id")
     assert {i: r["card1_hist_count"] for i, r in got.items()} == {i: r["n"] for i, r in want.items()}
 
 
