@@ -31,7 +31,15 @@ def stream_of(spark, path: str, files: str = "*.parquet"):
 
 
 def event_stream(spark, sf: str):
-    return stream_of(spark, sf, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    """Events with their zone-free time read as UTC, whatever the session's zone is."""
+    here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts")
+    return stream_of(spark, sf, "events.parquet").withColumn("ts", here.cast("timestamp"))
+
+
+def _utc(name: str):
+    """An instant as zone-free UTC time."""
+    local = F.col(name).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local).alias(name)
 
 
 # Integer-made score of an event.
@@ -56,8 +64,8 @@ def monitor_stream(spark, sf):
         jobs.monitor_stream(scored, "ts"), f"{out}/data", f"{out}/checkpoint", once=True
     ).awaitTermination()
     return spark.read.parquet(f"{out}/data").select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        _utc("window_start"),
+        _utc("window_end"),
         "n", "reviewed", "allowed",
         F.col("at_or_below")[3].alias("upto_3"), F.col("at_or_below")[10].alias("upto_10"),
     )

@@ -58,6 +58,7 @@ def column_drift(
     method: str = "wasserstein",
     distance_cut: float = DISTANCE_CUT,
     p_value_cut: float = P_VALUE_CUT,
+    **options,
 ) -> DataFrame:
     """KS distance and p, and Wasserstein-1 over the reference deviation, per column.
 
@@ -84,7 +85,7 @@ def column_drift(
         .groupBy("column_name", "value")
         .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
-    ranked = prior_sums_by_value(counts, ["column_name"], "value", ["ref", "cur"], with_next=True)
+    ranked = prior_sums_by_value(counts, ["column_name"], "value", ["ref", "cur"], with_next=True, **options)
     gap = F.abs(
         safe_divide(F.col("before_ref") + F.col("ref"), F.col("total_ref"))
         - safe_divide(F.col("before_cur") + F.col("cur"), F.col("total_cur"))

@@ -17,6 +17,8 @@ from riskloom.session import materialize
 # A list of large groups of this many rows is small enough to broadcast (three narrow columns);
 # a longer one is joined by shuffle.
 MAX_BROADCAST_CELLS = 200_000
+# Up to so many groups the cell edges (at most 4096 numbers each) are broadcast: 32 MB.
+MAX_EDGE_GROUPS = 1000
 # Fewest and most cells a value range is cut into.
 MIN_CELLS, MAX_CELLS = 64, 4096
 # Rows of unique ids per tie block: the leaf window of a split cell never exceeds it.
@@ -66,8 +68,8 @@ def cell_offsets(
 
 def _split_heavy(
     rows: DataFrame, by: Sequence[str], limit: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of groups up to ``limit`` rows, rows of the larger groups or None).
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows of groups up to ``limit`` rows, rows of the larger groups or None, how many those are).
 
     The large groups, at most rows / limit of them, are counted with map-side combine and
     written down; one number comes back to the driver.
@@ -77,9 +79,9 @@ def _split_heavy(
     )
     n_heavy = heavy.count()
     if n_heavy == 0:
-        return rows, None
+        return rows, None, 0
     marks = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_CELLS else heavy
-    return rows.join(marks, by, "left_anti"), rows.join(marks, by, "left_semi")
+    return rows.join(marks, by, "left_anti"), rows.join(marks, by, "left_semi"), n_heavy
 
 
 def prior_sums_by_time(
@@ -101,7 +103,7 @@ def prior_sums_by_time(
     column. No task holds more than ``max(cell_rows, tie_block)`` rows of one group.
     """
     by = list(by)
-    light, heavy = _split_heavy(rows, by, cell_rows)
+    light, heavy, _ = _split_heavy(rows, by, cell_rows)
     order = [F.col(time).asc_nulls_last(), F.col(tie).asc()]
     whole = _before(by, order)
     out = light.select("*", *[F.coalesce(F.sum(s).over(whole), F.lit(0)).alias(f"before_{s}") for s in sums])
@@ -114,7 +116,7 @@ def prior_sums_by_time(
             "_block": F.floor(F.col(tie) / tie_block).cast("long"),
         }
     ).withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
-    plain, crowded = _split_heavy(rest, [*by, "_period"], cell_rows)
+    plain, crowded, _ = _split_heavy(rest, [*by, "_period"], cell_rows)
     # Cells that are not crowded keep one instant and one block for all their rows.
     cut = plain.withColumns({"_instant": F.lit(0).cast("long"), "_block": F.lit(0).cast("long")})
     if crowded is not None:
@@ -151,7 +153,7 @@ def prior_sums_strict(
     by = list(by)
     # Rows with no time come after all others, as one instant.
     rows = rows.withColumn("_instant", F.coalesce(F.col(time), F.lit(_LAST_INSTANT)).cast("long"))
-    light, heavy = _split_heavy(rows, by, cell_rows)
+    light, heavy, _ = _split_heavy(rows, by, cell_rows)
     earlier = Window.partitionBy(*by).orderBy("_instant").rangeBetween(Window.unboundedPreceding, -1)
     out = light.select(
         "*", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
@@ -188,33 +190,61 @@ def prior_sums_by_value(
     sums: Sequence[str],
     *,
     cells: int | None = None,
+    cell_rows: int = 1_000_000,
     with_next: bool = False,
 ) -> DataFrame:
     """Add ``before_<sum>`` and ``total_<sum>`` over ascending distinct values of a group.
 
-    ``rows`` has one row per ``by + [value]``; ``by`` are report dimensions (model, split,
-    slice, column), so there are few groups but each may hold most of the table. Cells are cut
-    at approximate quantiles of the group's own distinct values, which keeps them even
-    whatever the distribution; the result does not depend on where the cuts fall. There are as
-    many as the session has shuffle partitions, so they grow with the cluster.
-    ``with_next`` also adds ``next_value``, the following distinct value of the group.
+    ``rows`` has one row per ``by + [value]``, counts already combined; it is stored once, so
+    what it is made from is read once. Groups of up to ``cell_rows`` values are one window. Larger ones are
+    cut at approximate quantiles of their own values, which keeps the cells even whatever the
+    distribution; the result does not depend on where the cuts fall. There are as many cells as
+    the session has shuffle partitions, so they grow with the cluster. ``with_next`` also adds
+    ``next_value``, the following distinct value of the group.
     """
     by = list(by)
-    if cells is None:
-        wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cells = min(max(1 << (wanted - 1).bit_length(), MIN_CELLS), MAX_CELLS)
+    rows = materialize(rows, "values")
+    if by:
+        light, heavy, n_heavy = _split_heavy(rows, by, cell_rows)
+    else:
+        light, heavy, n_heavy = (rows, None, 0) if rows.count() <= cell_rows else (None, rows, 1)
+    parts = []
+    if light is not None:
+        whole = Window.partitionBy(*by)
+        before = _before(by, [F.col(value).asc()])
+        parts.append(
+            light.select(
+                "*",
+                *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"before_{s}") for s in sums],
+                *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
+                *([F.lead(value).over(whole.orderBy(value)).alias("next_value")] if with_next else []),
+            )
+        )
+    if heavy is not None:
+        if cells is None:
+            wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            cells = min(max(1 << (wanted - 1).bit_length(), MIN_CELLS), MAX_CELLS)
+        parts.append(_by_value_in_cells(heavy, by, value, sums, cells, n_heavy, with_next))
+    out = parts[0]
+    return out.unionByName(parts[1]) if len(parts) > 1 else out
+
+
+def _by_value_in_cells(
+    rows: DataFrame,
+    by: list[str],
+    value: str,
+    sums: Sequence[str],
+    cells: int,
+    n_groups: int,
+    with_next: bool,
+) -> DataFrame:
     if cells & (cells - 1):
         raise ValueError("cells must be a power of two")
-    # The cuts read every column the later steps read (the test is always true), so that all
-    # of them find the same shuffle of ``rows`` and share it instead of pruning it differently.
-    complete = F.least(F.lit(0), *[F.col(s) for s in sums]) <= 0
-    cuts = F.percentile_approx(
-        F.when(complete, F.col(value)), [i / cells for i in range(1, cells)], cells * 20
-    )
+    cuts = F.percentile_approx(value, [i / cells for i in range(1, cells)], cells * 20)
     if by:
-        # One array of at most cells-1 numbers per report group.
+        # At most cells-1 numbers per large group.
         edges = rows.groupBy(*by).agg(cuts.alias("_edges"))
-        rows = rows.join(F.broadcast(edges), by)
+        rows = rows.join(F.broadcast(edges) if n_groups <= MAX_EDGE_GROUPS else edges, by)
     else:
         rows = rows.withColumn("_edges", rows.agg(cuts.alias("_edges")).scalar())
     rows = rows.withColumn("_cell", _cell_of(F.col(value), F.col("_edges"), cells)).drop("_edges")
@@ -225,13 +255,12 @@ def prior_sums_by_value(
     # At most `cells` rows per group from here on.
     before = _before(by, [F.col("_cell").asc()])
     whole = Window.partitionBy(*by)
-    following = Window.partitionBy(*by).orderBy("_cell")
     offsets = per_cell.select(
         *by,
         "_cell",
         *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"before_{s}") for s in sums],
         *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
-        F.lead("_first").over(following).alias("_next_first"),
+        F.lead("_first").over(whole.orderBy("_cell")).alias("_next_first"),
     )
     leaf = _before([*by, "_cell"], [F.col(value).asc()])
     in_order = Window.partitionBy(*by, "_cell").orderBy(F.col(value).asc())
@@ -249,7 +278,7 @@ def prior_sums_by_value(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, fractions: dict[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, fractions: dict[str, float], by: Sequence[str] = (), **options
 ) -> DataFrame:
     """Linearly interpolated quantiles, exact and without collecting a group anywhere.
 
@@ -261,7 +290,7 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = prior_sums_by_value(counts, by, "_v", ["_n"])
+    ranked = prior_sums_by_value(counts, by, "_v", ["_n"], **options)
 
     def at(rank: Column) -> Column:
         hit = (F.col("before__n") <= rank) & (rank < F.col("before__n") + F.col("_n"))

@@ -1,7 +1,7 @@
 """Ranking metrics as distributed aggregations over distinct scores.
 
 Rows are first combined into (group, score) counts, so ties cost nothing; the running sums
-over scores never put a whole group in one task. ``by`` names report dimensions such as
+over scores never put a large group in one task. ``by`` names report dimensions such as
 model, split or slice.
 """
 
@@ -21,11 +21,11 @@ F1_EPSILON = 1e-12
 DEFAULT_THRESHOLD = 0.5
 
 
-def _ranked(scored: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
+def _ranked(scored: DataFrame, by: Sequence[str], score: str, label: str, **options) -> DataFrame:
     counts = scored.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    ranked = prior_sums_by_value(counts, by, "threshold", ["pos", "n"])
+    ranked = prior_sums_by_value(counts, by, "threshold", ["pos", "n"], **options)
     # Everything at or above the score is flagged.
     tp = F.col("total_pos") - F.col("before_pos")
     flagged = F.col("total_n") - F.col("before_n")
@@ -78,11 +78,14 @@ def roc_auc(
 
 
 def evaluate(
-    scored: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = "label"
+    scored: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = "label", **options
 ) -> DataFrame:
-    """Both areas, rows and positives per group, from one pass."""
+    """Both areas, rows and positives per group, from one pass.
+
+    ``options`` go to the running sums (``cells``, ``cell_rows``).
+    """
     return _collapse(
-        _ranked(scored, by, score, label),
+        _ranked(scored, by, score, label, **options),
         by,
         _average_precision().alias("pr_auc"),
         _rank_auc().alias("roc_auc"),

@@ -257,7 +257,8 @@ def two_sample(a, b):
     return np.abs(f - g).max(), float((np.abs(f - g)[:-1] * np.diff(grid)).sum())
 
 
-def test_drift_distances(spark):
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 20, "cells": 16}])
+def test_drift_distances(spark, options):
     rng = np.random.default_rng(7)
     ref = {"a": rng.normal(0, 1, 700), "b": np.where(rng.random(700) < 0.5, 3.0, rng.exponential(1, 700))}
     cur = {"a": rng.normal(1, 1, 500), "b": np.where(rng.random(500) < 0.5, 3.0, rng.exponential(1, 500))}
@@ -265,7 +266,7 @@ def test_drift_distances(spark):
     def frame(d):
         return spark.createDataFrame([(float(x), float(y)) for x, y in zip(d["a"], d["b"], strict=True)], "a double, b double")
 
-    out = table(drift.column_drift(frame(ref), frame(cur), ["a", "b"]), "column_name")
+    out = table(drift.column_drift(frame(ref), frame(cur), ["a", "b"], **options), "column_name")
     for name in ("a", "b"):
         ks, w1 = two_sample(ref[name], cur[name])
         assert out[name]["ks"] == pytest.approx(ks) and out[name]["w1"] == pytest.approx(w1)

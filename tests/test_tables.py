@@ -226,7 +226,8 @@ def test_bad_fractions(spark):
             splitting.split_boundaries(txn(spark), train, val)
 
 
-def test_quantiles_equal_numpy(spark):
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 20, "cells": 16}])
+def test_quantiles_equal_numpy(spark, options):
     import numpy as np
 
     from riskloom.operators.prefix import exact_quantiles
@@ -234,7 +235,7 @@ def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(3)
     values = np.concatenate([np.full(400, 7.25), rng.exponential(10, 800)]).round(3)
     df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(values)], "g int, v double")
-    got = exact_quantiles(df, "v", {"a": 0.1, "b": 0.5, "c": 0.95}, ["g"]).collect()
+    got = exact_quantiles(df, "v", {"a": 0.1, "b": 0.5, "c": 0.95}, ["g"], **options).collect()
     for r in got:
         want = np.quantile(values[r["g"] :: 2], [0.1, 0.5, 0.95])
         assert [r["a"], r["b"], r["c"]] == pytest.approx(list(want), abs=1e-6)
