@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
 from riskloom.schema import DEFAULT, TxnColumns
+from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources.tables import align_columns, numeric_columns
 
 # The published settings of the two models.
@@ -127,6 +128,8 @@ def train_boosted_trees(
     log loss of every round is measured on ``validation`` in one pass; if a shorter ensemble
     is better it is fitted again with that many rounds, which gives the same first trees.
     """
+    # Boosting builds on its own residuals; Spark checkpoints them every ten rounds.
+    ensure_checkpoint_dir(train.sparkSession)
     if pos_weight == "auto":
         pos_weight = scale_pos_weight(train).first()["scale_pos_weight"]
     weight = F.when(F.col("label") == 1, float(pos_weight)).otherwise(1.0)

@@ -30,14 +30,23 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
 def working_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
-    Only where the session names none (a local test) is a temporary folder used.
+    A local session that names none, as in a test, gets a temporary folder; on a cluster the
+    executors could not see one, so there the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="riskloom-")
     return f"{base.rstrip('/')}/riskloom/{label}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give Spark ML's own lineage cuts a place, where the session has none yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(working_dir(spark, "checkpoints"))
+
+
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame once and read it back: shared by several jobs, safe when executors are lost.
 

@@ -239,3 +239,30 @@ def test_quantiles_equal_numpy(spark, options):
     for r in got:
         want = np.quantile(values[r["g"] :: 2], [0.1, 0.5, 0.95])
         assert [r["a"], r["b"], r["c"]] == pytest.approx(list(want), abs=1e-6)
+
+
+# --- shared folder ---------------------------------------------------------------------------
+
+
+class _Session:
+    """As much of a session as the working folder looks at."""
+
+    def __init__(self, master, setting=None, set_dir=None):
+        self.master, self.setting, self.set_dir = master, setting, set_dir
+        self.conf = self.sparkContext = self
+
+    def get(self, name, default):
+        assert name == "spark.checkpoint.dir"
+        return self.setting or default
+
+    def getCheckpointDir(self):
+        return self.set_dir
+
+
+def test_working_folder_follows_the_session():
+    from riskloom.session import working_dir
+
+    assert working_dir(_Session("spark://host", "hdfs://shared/"), "x").startswith("hdfs://shared/riskloom/x-")
+    assert working_dir(_Session("yarn", set_dir="s3://b/c"), "x").startswith("s3://b/c/riskloom/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        working_dir(_Session("yarn"), "x")
