@@ -263,6 +263,6 @@ def test_working_folder_follows_the_session():
     from riskloom.session import working_dir
 
     assert working_dir(_Session("spark://host", "hdfs://shared/"), "x").startswith("hdfs://shared/riskloom/x-")
-    assert working_dir(_Session("yarn", set_dir="s3://b/c"), "x").startswith("s3://b/c/riskloom/x-")
+    assert working_dir(_Session("yarn", set_dir="hdfs://other/c"), "x").startswith("hdfs://other/c/riskloom/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         working_dir(_Session("yarn"), "x")
