@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, perplexity, pii, sharding
+from riskloom.llm import chat, decontaminate, perplexity, pii, sharding, simhash
 from riskloom.llm.frames import table
 from riskloom.session import ensure_checkpoint_dir
 
@@ -20,6 +20,11 @@ def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -30,6 +35,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     roles = F.array(F.lit("user"), F.lit("assistant"))
@@ -39,6 +48,28 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM documents)
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM benchmark)
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS said
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS said
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)
+), found AS (SELECT r, item, i, places.n FROM places JOIN windows ON places.n = windows.n AND places.said = windows.said),
+hit AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS k FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -56,8 +87,10 @@ FROM t GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perplexity": op1_perplexity,
+    "op3_simhash": op3_simhash,
     "op5_pii": op5_pii,
     "op8_sharding": op8_sharding,
+    "op9_decontamination": op9_decontamination,
     "op10_chat_formatting": op10_chat_formatting,
 }
-ORACLES: dict[str, str] = {"op10_chat_formatting": OP10_SQL}
+ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_chat_formatting": OP10_SQL}
