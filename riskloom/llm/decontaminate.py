@@ -150,7 +150,7 @@ def _scan(df: DataFrame, at: int, automaton: Automaton, n: str, hits: str, named
     schema = T.StructType([*df.schema.fields, T.StructField(n, T.LongType()), T.StructField(hits, pair), T.StructField(named, T.ArrayType(T.StringType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, at):
             counts, stretches, names = [], [], []
             for raw in utf8(part.column(at)):
                 text = words(raw)
@@ -242,7 +242,7 @@ def clean(df: DataFrame, items: DataFrame, text: str = "text", length: str | Non
         return new
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, at):
             old = part.column(at).to_pylist()
             new = [cleaned(x) for x in old]
             columns = [pa.array(new, part.column(at).type) if k == at else c for k, c in enumerate(part.columns)]

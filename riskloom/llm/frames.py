@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import working_dir
 
-#: Rows of one Arrow batch that are turned into Python objects at a time.
-ROWS_AT_ONCE = 256
+#: Rows of one Arrow batch, and bytes of its texts, that are turned into Python objects at a time.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 256, 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``: bounds what is decoded at once."""
+def slices(batches: Iterable[pa.RecordBatch], text: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: bounds what is decoded at once. text: the place of a column of long texts."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        start, n = 0, batch.num_rows
+        size = np.zeros(n) if text is None else np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy())
+        while start < n:
+            most = (size[start - 1] if start else 0) + BYTES_AT_ONCE
+            end = min(start + ROWS_AT_ONCE, max(start + 1, int(np.searchsorted(size, most, side="right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def utf8(column: pa.Array) -> list[bytes]:

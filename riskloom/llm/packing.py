@@ -218,7 +218,7 @@ def pack(
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         kind = pa.int64()
-        for part in slices(batches):
+        for part in slices(batches, 1):
             kind = part.column(0).type
             done: list[list[Item]] = []
             found = words.ids([x or "" for x in part.column(1).to_pylist()])

@@ -184,7 +184,7 @@ def detect(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, 1):
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in find(x)] if x else [] for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, kind)], names=[key, "spans"])
 
@@ -198,7 +198,7 @@ def redact(df: DataFrame, text: str = "text", length: str | None = None) -> Data
     schema = T.StructType([*df.schema.fields, T.StructField(changed, T.BooleanType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, at):
             old = part.column(at).to_pylist()
             new = [masked(x, s) if x and (s := find(x)) else x for x in old]
             columns = [pa.array(new, part.column(at).type) if k == at else c for k, c in enumerate(part.columns)]

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, packing, perplexity, pii, sharding, simhash
-from riskloom.llm.frames import table
+from riskloom.llm import chat, decontaminate, langid, packing, perplexity, pii, sharding, simhash, toxicity
+from riskloom.llm.frames import bucket_of, table
 from riskloom.session import ensure_checkpoint_dir
 
 SHARDS = 16
@@ -22,11 +22,23 @@ def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows, name, score, accepted = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return rows.select("doc_id", (bucket_of("doc_id", 4) == 2).alias("held_out"), F.col(name).alias("lang_pred"), F.col(score).alias("score"), F.col(accepted).alias("accepted"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, score = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -93,7 +105,9 @@ FROM t GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perplexity": op1_perplexity,
+    "op2_language": op2_language,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,

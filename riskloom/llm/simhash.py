@@ -53,7 +53,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, at):
             found = np.array([fingerprint(x) for x in utf8(part.column(at))], np.uint64)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.view(np.int64))], names=[*part.schema.names, name])
 
