@@ -29,7 +29,7 @@ from riskloom.llm.ngrams import has_letter, hashed, pieces
 
 ORDERS, BITS, DIM = (2, 3, 4), 16, 16
 PER_LANGUAGE, SHORTEST, LONGEST, MOST_LANGUAGES = 3000, 20, 600, 500
-EPOCHS, RATE, PRECISION, MOST_LOST = 4, 0.4, 0.99, 0.01
+EPOCHS, RATE, PRECISION, MOST_LOST = 4, 0.4, 0.9995, 0.002
 UNKNOWN = "und"
 
 

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.frames import bucket_of, free_name, slices
 from riskloom.llm.ngrams import hashed, pieces
 
-ORDERS, BITS = (3, 4, 5), 18
-PER_CLASS, SMOOTHING, LEAST_RATIO, PENALTY, STEPS = 2500, 5.0, 0.4, 1e-3, 200
+ORDERS, BITS = (4, 5, 6, 7), 20
+PER_CLASS, SMOOTHING, LEAST_RATIO, PENALTY, STEPS = 1500, 1.0, 0.7, 1e-3, 200
 
 
 @dataclass
@@ -86,15 +86,15 @@ def train(found: list[np.ndarray], y: np.ndarray, counts: dict[int, int]) -> Sco
     if not n1 or not n0:
         share = counts.get(1, 0) / max(1, sum(counts.values()))
         return Scorer(np.zeros(1 << BITS), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    sizes = np.array([len(f) for f in found])
-    buckets, of = np.concatenate(found).astype(np.int64), np.repeat(np.arange(len(found)), sizes)
-    p = SMOOTHING + np.bincount(buckets[y[of] == 1], minlength=1 << BITS)
-    q = SMOOTHING + np.bincount(buckets[y[of] == 0], minlength=1 << BITS)
-    ratio = np.log((p / (n1 + 2 * SMOOTHING)) / (q / (n0 + 2 * SMOOTHING)))
+    with_it = {k: np.full(1 << BITS, SMOOTHING) for k in (0, 1)}
+    for f, k in zip(found, y.tolist(), strict=True):
+        with_it[k][f] += 1
+    ratio = np.log((with_it[1] / (n1 + 2 * SMOOTHING)) / (with_it[0] / (n0 + 2 * SMOOTHING)))
     ratio[np.abs(ratio) < LEAST_RATIO] = 0.0
-    told = ratio[buckets] != 0
-    used, column = np.unique(buckets[told], return_inverse=True)
-    of, value = of[told], ratio[used][column]
+    told = [f[ratio[f] != 0] for f in found]
+    of = np.repeat(np.arange(len(told)), [len(f) for f in told])
+    used, column = np.unique(np.concatenate(told), return_inverse=True)
+    value = ratio[used][column]
     w, b = np.zeros(len(used)), 0.0
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, STEPS + 1):  # whole-sample gradients, Adam's steps
