@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, langid, packing, perplexity, pii, sharding, simhash, toxicity
+from riskloom.llm import chat, decontaminate, html, langid, packing, perplexity, pii, sharding, simhash, toxicity
 from riskloom.llm.frames import bucket_of, table
 from riskloom.session import ensure_checkpoint_dir
 
@@ -43,6 +43,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows, text = html.extract_all(pages, html.fit(pages))
+    return rows.select("page_id", "url", F.col(text).alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer), END_ID)
 
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
+    "op6_main_text": op6_main_text,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
