@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from riskloom.llm import decontaminate, langid, packing, pii, simhash
 from riskloom.llm.frames import stored, table
 from riskloom.llm.queries import END_ID, TOKENIZER
-from riskloom.session import ensure_checkpoint_dir
 
 #: No SQL: a trained model, hashes and a tokenizer decide. tests/llm compares the stages with brute force.
 ORACLE_SQL = None
@@ -33,7 +32,6 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    ensure_checkpoint_dir(spark)
     return simhash.keep_one(docs)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import chat, decontaminate, html, langid, packing, perplexity, pii, sharding, simhash, toxicity
 from riskloom.llm.frames import bucket_of, table
-from riskloom.session import ensure_checkpoint_dir
 
 SHARDS = 16
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
@@ -29,7 +28,6 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -54,7 +52,6 @@ def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) ->
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
     rows = sharding.shard(table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 

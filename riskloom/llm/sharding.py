@@ -20,6 +20,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import ensure_checkpoint_dir
+
 #: (region, rack, shard number, weight)
 Tree = list[tuple[str, str, int, float]]
 
@@ -79,6 +81,7 @@ def shard(df: DataFrame, tree: Tree, grown: Tree | None = None, key: str = "doc_
     (shard, key, content) and stored once; a slot is the rows of earlier ranges plus the place in its own,
     so no task holds more than one range.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     content = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(
         F.col(key).alias("k"),

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm.components import connected
 from riskloom.llm.frames import free_name, slices, stored, utf8
+from riskloom.session import ensure_checkpoint_dir
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 PIVOTS, DIRECT, CHUNK = 16, 512, 1 << 18
@@ -188,6 +189,7 @@ def links(prints: DataFrame, name: str = "fingerprint") -> DataFrame:
 
 def components(prints: DataFrame, key: str = "doc_id", name: str = "fingerprint") -> DataFrame:
     """(fingerprint, component_id) of each distinct fingerprint; ``prints`` (key, fingerprint) is read several times, so store it."""
+    ensure_checkpoint_dir(prints.sparkSession)
     distinct = prints.groupBy(name).agg(F.min(key).alias("least")).checkpoint()
     rooted = connected(links(distinct, name)).withColumnRenamed("node", name)
     named = distinct.join(rooted, name, "left").select(name, "least", F.coalesce("root", name).alias("root"))

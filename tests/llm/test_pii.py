@@ -1,0 +1,78 @@
+"""Anchored spans against the patterns themselves."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from riskloom.llm import pii
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + k % 2) for k, c in enumerate(digits[::-1])]
+    return sum(v // 10 + v % 10 for v in doubled) % 10 == 0
+
+
+def brute(text):
+    digits = lambda s: re.sub(r"[^0-9]", "", s)
+    found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    found += [("card", m) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 16 <= len(digits(m.group())) <= 19 and luhn(digits(m.group()))]
+    found += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m.group())) <= 15]
+    return [(k, m.start(), m.end()) for k, m in found]
+
+
+def test_base_kinds_match_the_patterns():
+    random.seed(11)
+    bits = ["a", ".", "@", "1", "23", "+", "-", " ", "(", ")", "4111111111111111", "%", "é", "://", "b", "account ", "IBAN ", "0", "5", "9", "256", "\n"]
+    for _ in range(20000):
+        text = "".join(random.choice(bits) for _ in range(random.randint(1, 15)))
+        assert [s for s in pii.find(text) if s[0] in pii.BASE_KINDS] == brute(text), text
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("pay to IBAN GB82 WEST 1234 5698 7654 32 today", "iban", "GB82 WEST 1234 5698 7654 32"),
+        ("iban: DE89370400440532013000.", "iban", "DE89370400440532013000"),
+        ("Konto 12-345678 x", "account", "12-345678"),
+        ("account no. 0012345", "account", "0012345"),
+        ("go ftp://ann:secret@files.example.org/x", "url", "ftp://ann:secret@files.example.org"),
+    ],
+)
+def test_cued_kinds(text, kind, value):
+    assert (kind, value) in [(k, text[a:b]) for k, a, b in pii.find(text)]
+
+
+@pytest.mark.parametrize("text", ["IBAN GB82 WEST 1234 5698 7654 33", "see https://example.org/a@b", "account 123", "accounting 2020 to 2021", "12345678", "http://www.example.org:80/x"])
+def test_clean_texts_have_no_spans(text):
+    assert pii.find(text) == []
+
+
+def test_digests_and_masks(documents):
+    text = "ä mail bob@x.org or +1 (555) 123-4567, bob@x.org"
+    df = documents([(1, text), (2, None), (3, ""), (None, "10.0.0.1"), (1, text), (4, "x" * 300_000 + " 1.2.3.4")])
+    rows = pii.digests(pii.detect(df)).collect()
+    one = [r for r in rows if r["doc_id"] == 1]
+    written = ",".join(f"{k}:{a}:{b}" for k, a, b in brute(text))
+    assert len(one) == 2 and one[0] == one[1]
+    assert one[0]["spans"] == written and one[0]["base_sha256"] == hashlib.sha256(written.encode()).hexdigest()
+    assert (one[0]["n_email"], one[0]["n_phone"], one[0]["n_ip"], one[0]["n_card"]) == (2, 1, 0, 0)
+    rest = {r["doc_id"]: r for r in rows}
+    assert rest[2]["spans"] == "" == rest[3]["spans"] and rest[None]["n_ip"] == 1
+    assert rest[4]["spans"] == "ip:300001:300008"
+    out = {r["doc_id"]: r for r in pii.redact(df, length="n_chars").collect()}
+    assert out[1]["text"] == "ä mail [EMAIL] or [PHONE], [EMAIL]" and out[1]["n_chars"] == len(out[1]["text"])
+    assert out[2]["text"] is None and out[3]["text"] == "" and out[None]["text"] == "[IP]"
+
+
+def test_overlapping_spans_become_one():
+    text = "x ftp://a:b@c.org y"
+    assert pii.masked(text, pii.find(text)) == "x [URL] y"
+
+
+def test_clashing_columns_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a@b.cc", True)], "doc_id int, text string, changed boolean")
+    assert pii.redact(df).collect()[0].asDict() == {"doc_id": 1, "text": "[EMAIL]", "changed": True}
+    assert pii.redact(df.limit(0)).collect() == [] == pii.detect(df.limit(0)).collect()
