@@ -43,6 +43,7 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+PARAGRAPH_TAGS = frozenset("dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 BOILERPLATE_TAGS = frozenset("aside button dialog footer form head menu nav option select".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 #: A start tag of the first kind closes an open element of the second, unless one of the third is between.
@@ -125,7 +126,8 @@ def parse(page: str) -> list[Block]:
             depth = len(now.tags)
             low_now = min(low, depth)
             far = (blocks[-1].depth - low_now) + (depth - low_now) if blocks else depth
-            blocks.append(Block(text, linked, depth, now.ids[-1] if now.ids else 0, far, bool(now.article and now.article[-1]), bool(now.boilerplate and now.boilerplate[-1])))
+            up = 2 if now.tags and now.tags[-1] in PARAGRAPH_TAGS else 1  # what holds this block and the next
+            blocks.append(Block(text, linked, depth, now.ids[-up] if len(now.ids) >= up else 0, far, bool(now.article and now.article[-1]), bool(now.boilerplate and now.boilerplate[-1])))
             low = depth
         said.clear()
         linked = 0
@@ -148,7 +150,8 @@ def parse(page: str) -> list[Block]:
         elif tag == "br":
             hear(" ")
         elif tag in RAW_TAGS and not closing:
-            close()
+            if tag in BLOCK_TAGS:
+                close()
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at) if not attributes.endswith("/") else None
             if end or tag in ("script", "style"):
                 at = end.end() if end else len(page)

@@ -5,7 +5,8 @@ probability for each language. Training is stochastic gradient descent in numpy
 about ``PER_LANGUAGE`` labelled rows of each language, one stretch of each (its place and length by hash of
 the row's key). A fifth of the sample is held back to calibrate: one temperature makes the probabilities
 fit, and the threshold of rejection is the smallest score above which ``PRECISION`` of the accepted are
-right, unless that would reject more than ``MOST_LOST`` of the right ones.
+right, unless that would reject more than ``MOST_LOST`` of the right ones, but at least ``EVEN``: what is
+as likely wrong as right is rejected.
 
 Prediction reads whole texts and nothing else.
 
@@ -29,7 +30,7 @@ from riskloom.llm.ngrams import has_letter, hashed, pieces
 
 ORDERS, BITS, DIM = (2, 3, 4), 16, 16
 PER_LANGUAGE, SHORTEST, LONGEST, MOST_LANGUAGES = 3000, 20, 600, 500
-EPOCHS, RATE, PRECISION, MOST_LOST = 4, 0.4, 0.9995, 0.002
+EPOCHS, LEAST_STEPS, RATE, EVEN, PRECISION, MOST_LOST = 4, 20_000, 0.4, 0.5, 0.99, 0.002
 UNKNOWN = "und"
 
 
@@ -40,7 +41,7 @@ class Identifier:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    threshold: float = EVEN
 
     def logits(self, texts: list[str], table: np.ndarray) -> np.ndarray:
         """For each text; table: a row for each bucket, whose means are the logits without bias."""
@@ -111,6 +112,7 @@ def train(examples: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS,
     wanted = np.array([languages.index(name) for _, name in examples])
     order = draw.permutation(len(examples))
     held, fitted = order[: len(order) // 5], order[len(order) // 5 :]
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(fitted))))  # a small sample is gone over more often
     steps, step = epochs * len(fitted), 0
     for _ in range(epochs):
         for k in draw.permutation(fitted):
@@ -139,7 +141,7 @@ def _calibrate(model: Identifier, buckets: list[np.ndarray], wanted: np.ndarray)
     if right.any():
         bound = float(np.quantile(score[right], MOST_LOST))
         good = [t for t in np.unique(np.concatenate([[0.0], score])) if right[score >= t].mean() >= PRECISION]
-        model.threshold = min(good[0] if good else 1.0, bound)
+        model.threshold = max(EVEN, min(good[0] if good else 1.0, bound))
 
 
 def identify(df: DataFrame, model: Identifier, text: str = "text") -> tuple[DataFrame, str, str, str]:
