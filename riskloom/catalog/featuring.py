@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.catalog import sql
-from riskloom.catalog.registry import query, steady
+from riskloom.catalog.registry import ORACLES, query, steady
 from riskloom.catalog.relational import (
     COLS,
     KEYS,
@@ -91,6 +91,15 @@ def entity_hist_amt_mean(spark, sf):
     return _history(spark, sf).select("transaction_id", *[steady(F.col(n)).alias(n) for n in names])
 
 
+# The same histories, large groups cut into ranges: any key above this many rows counts as large.
+CUT_ABOVE = 100
+
+
+@query("entity_hist_cut", ORACLES["entity_hist_count"])
+def entity_hist_cut(spark, sf):
+    return _history(spark, sf, cell_rows=CUT_ABOVE).select("transaction_id", *[f"{k}_hist_count" for k in KEYS])
+
+
 def _strict(what: str, k: str) -> str:
     return (
         f"{what} OVER (PARTITION BY coalesce({k}, {sql.MISSING}) ORDER BY transaction_dt"
@@ -118,6 +127,11 @@ def entity_hist_strict(spark, sf):
     return rounded_history(_history(spark, sf, strict=True))
 
 
+@query("entity_hist_strict_cut", ORACLES["entity_hist_strict"])
+def entity_hist_strict_cut(spark, sf):
+    return rounded_history(_history(spark, sf, strict=True, cell_rows=CUT_ABOVE))
+
+
 @query(
     "entity_aggregates",
     sql.with_(

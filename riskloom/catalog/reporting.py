@@ -84,5 +84,6 @@ def final_report_table(spark, sf):
         promotion_rows(spark, sf),
         importance,
         drift.dataset_drift(drift.column_drift(train, holdout, columns)),
+        top_n=10,
     )
     return rounded(out, "value")

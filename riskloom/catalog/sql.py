@@ -22,7 +22,7 @@ _BLOCKS: dict[str, str] = {
                CASE WHEN e.event_id % 10 <> 0 THEN e.event_type END AS device_type,
                e.props AS device_info, e.value AS id_01, p.p_name AS id_30,
                p.p_type || ' ' || p.p_brand AS id_31
-        FROM events e LEFT JOIN part p ON e.event_id % 200 = p.p_partkey
+        FROM events e LEFT JOIN part p ON e.event_id % (SELECT count(*) FROM part) = p.p_partkey
         WHERE e.event_id % 3 <> 0""",
     "jnd": """
         SELECT t.*, i.device_type, i.device_info, i.id_01, i.id_30, i.id_31

@@ -17,7 +17,6 @@ P_VALUE_CUT = 0.05
 DATASET_SHARE = 0.5
 # Deviation below which a reference column counts as flat.
 MIN_DEVIATION = 0.001
-SMALL_SAMPLE = 1000
 
 
 def drift_columns(reference: DataFrame, current: DataFrame, label: str) -> list[str]:
@@ -64,9 +63,9 @@ def column_drift(
 
     Both sides are unpivoted and combined into (column, value) counts before the shuffle; the
     distribution functions are running sums over distinct values. ``method`` is
-    "wasserstein", "ks", or "auto" (KS up to 1000 reference values). Nulls are left out.
+    "wasserstein" or "ks": the caller names the test. Nulls are left out.
     """
-    if method not in ("wasserstein", "ks", "auto"):
+    if method not in ("wasserstein", "ks"):
         raise ValueError(f"unknown method: {method}")
 
     def long(df: DataFrame, side: str) -> DataFrame:
@@ -100,11 +99,7 @@ def column_drift(
     # One row per column on this side.
     scaled = measured.join(F.broadcast(_deviations(reference, columns)), "column_name")
     distance = F.col("w1") / F.greatest(F.col("ref_std"), F.lit(MIN_DEVIATION))
-    by_ks = {
-        "ks": F.lit(True),
-        "wasserstein": F.lit(False),
-        "auto": F.col("n_ref") <= SMALL_SAMPLE,
-    }[method]
+    by_ks = method == "ks"
     return scaled.select(
         "column_name",
         "n_ref",
@@ -113,14 +108,12 @@ def column_drift(
         kolmogorov_p(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p"),
         "w1",
         distance.alias("w1_norm"),
-        F.when(by_ks, "ks").otherwise("wasserstein").alias("method"),
-        F.when(by_ks, p_value_cut).otherwise(distance_cut).alias("cut_off"),
+        F.lit(method).alias("method"),
+        F.lit(p_value_cut if by_ks else distance_cut).alias("cut_off"),
     ).withColumn(
         "drift_detected",
         F.coalesce(
-            F.when(F.col("method") == "ks", F.col("ks_p") < F.col("cut_off")).otherwise(
-                F.col("w1_norm") >= F.col("cut_off")
-            ),
+            F.col("ks_p") < p_value_cut if by_ks else F.col("w1_norm") >= distance_cut,
             F.lit(False),
         ),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
-from riskloom.operators.joining import keys_long, lookup
+from riskloom.operators.joining import keys_long, lookup, require_unique
 from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
 from riskloom.session import materialize
@@ -38,9 +38,7 @@ def history_long(
     *,
     strict: bool = False,
     earlier: DataFrame | None = None,
-    period: int = 3600,
     cell_rows: int = 1_000_000,
-    tie_block: int = 1 << 20,
 ) -> DataFrame:
     """Count, fraud rate and mean amount of the earlier rows of the same entity, in long form.
 
@@ -52,18 +50,17 @@ def history_long(
     by = ["key_type", "key"]
     if earlier is not None:
         front = earlier.select(
-            F.lit(None).cast("long").alias(cols.id), F.lit(_FRONT).alias(cols.time), *by, *_SUMS
+            F.lit(None).cast(df.schema[cols.id].dataType).alias(cols.id), F.lit(_FRONT).alias(cols.time), *by, *_SUMS
         )
         rows = rows.unionByName(front)
     if strict:
         prior = prior_sums_strict(rows, by, cols.time, _SUMS, cell_rows=cell_rows)
     else:
         prior = prior_sums_by_time(
-            rows, by, cols.time, cols.id, _SUMS,
-            period=period, cell_rows=cell_rows, tie_block=tie_block,
+            rows, by, cols.time, cols.id, _SUMS, cell_rows=cell_rows,
         )
     if earlier is not None:
-        prior = prior.where(F.col(cols.time) != _FRONT)
+        prior = prior.where(F.col(cols.time).isNull() | (F.col(cols.time) != _FRONT))
     return prior.select(
         cols.id,
         *by,
@@ -111,8 +108,12 @@ def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> Da
 def add_entity_history(
     df: DataFrame, cols: TxnColumns = DEFAULT, keys: Sequence[str] | None = None, **options
 ) -> DataFrame:
-    """Add ``<key>_hist_count``, ``_hist_fraud_rate`` and ``_hist_amt_mean`` of earlier rows."""
+    """Add ``<key>_hist_count``, ``_hist_fraud_rate`` and ``_hist_amt_mean`` of earlier rows.
+
+    Ids must be unique, as values come back by id: a second row with an id would show the first its future.
+    """
     keys = tuple(keys or cols.history_keys)
+    require_unique(df, cols)
     return df.join(spread_history(history_long(df, cols, keys, **options), cols, keys), cols.id, "left")
 
 

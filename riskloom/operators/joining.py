@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.validation import ValidationError, duplicate_keys
 from riskloom.schema import DEFAULT, TxnColumns
@@ -22,25 +23,45 @@ def join_identity(
     identity: DataFrame | None,
     cols: TxnColumns = DEFAULT,
     *,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """Keep every transaction, add its identity columns where there are any.
 
     Both sides are unique on the id, so the shuffle is even; no hint is given and the planner
     or the runtime picks broadcast or sort-merge from real sizes. ``verify`` runs the duplicate
-    check on the transactions first and raises.
+    check on both sides first and raises.
     """
     if cols.id not in transactions.columns:
         raise ValueError(f"transactions have no column {cols.id!r}")
-    if verify and duplicate_keys(transactions, cols=cols).first()["duplicate_keys"]:
-        raise ValidationError(f"duplicate {cols.id} (the join key must be unique)")
+    if verify:
+        require_unique(transactions, cols)
     if identity is None or not identity.columns or identity.isEmpty():
         return transactions
     if cols.id not in identity.columns:
         raise ValueError(f"identity has no column {cols.id!r}")
+    if verify:
+        require_unique(identity.where(F.col(cols.id).isNotNull()), cols)
     return transactions.join(identity, cols.id, "left")
 
 
+def require_unique(df: DataFrame, cols: TxnColumns = DEFAULT) -> None:
+    """Raise if an id occurs twice (two missing ids count): values found by id would mix such rows."""
+    if duplicate_keys(df, cols=cols).first()["duplicate_keys"]:
+        raise ValidationError(f"duplicate {cols.id} (the join key must be unique)")
+
+
+def key_text(df: DataFrame, column: str) -> Column:
+    """An entity key as text; whole numbers have one form whatever their type: 315, 315.0 and "315.0" are "315"."""
+    text = F.col(column).cast("string")
+    if isinstance(df.schema[column].dataType, T.FractionalType):
+        value = F.col(column)
+        whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
+        return F.when(whole, F.when(whole, value).cast("long").cast("string")).otherwise(text)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.regexp_replace(text, r"^(-?[0-9]+)\.0+$", "$1")
+    return text
+
+
 def lookup(
     probe: DataFrame,
     table: DataFrame,
@@ -94,7 +115,7 @@ def keys_long(
     All key columns then share one shuffle, and the wide feature columns stay out of it.
     With ``missing`` a null key becomes that value.
     """
-    typed = df.select(*carry, *[F.col(k).cast("string").alias(k) for k in keys])
+    typed = df.select(*carry, *[key_text(df, k).alias(k) for k in keys])
     long = typed.unpivot(list(carry), list(keys), "key_type", "key")
     return long if missing is None else long.withColumn("key", F.coalesce("key", F.lit(missing)))
 
@@ -113,7 +134,7 @@ def lookup_feature_history(
         F.col("amt_mean").alias(f"{key_type}_hist_amt_mean"),
         F.col("cnt").alias(f"{key_type}_hist_count"),
     )
-    probe = requests.withColumn("_entity", F.col(column).cast("string"))
+    probe = requests.withColumn("_entity", key_text(requests, column))
     if requests.isStreaming:
         return probe.join(entry, "_entity", "left").drop("_entity")
     return lookup(probe, entry, ["_entity"]).drop("_entity")

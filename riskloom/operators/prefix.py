@@ -1,8 +1,9 @@
 """Running sums whose windows stay bounded.
 
 A window over a whole entity, score range or column sends that group to one task. Here
-the order is cut into cells: cell totals are pre-aggregated (with map-side combine), summed
-up over the short list of cells, and added to a window that never leaves its cell.
+a large group is dealt by ranges of its own order, so a task holds one range of it: range totals
+are pre-aggregated (with map-side combine), summed up over the short list of ranges, and added
+to a window that never leaves its range.
 """
 
 from __future__ import annotations
@@ -11,18 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.session import materialize
 
 # A list of large groups of this many rows is small enough to broadcast (three narrow columns);
 # a longer one is joined by shuffle.
 MAX_BROADCAST_CELLS = 200_000
-# Up to so many groups the cell edges (at most 4096 numbers each) are broadcast: 32 MB.
-MAX_EDGE_GROUPS = 1000
-# Fewest and most cells a value range is cut into.
-MIN_CELLS, MAX_CELLS = 64, 4096
-# Rows of unique ids per tie block: the leaf window of a split cell never exceeds it.
-TIE_BLOCK = 1 << 20
+
+
 # Rows without a time come after all others.
 _LAST_INSTANT = 1 << 61
 
@@ -69,19 +67,57 @@ def cell_offsets(
 def _split_heavy(
     rows: DataFrame, by: Sequence[str], limit: int
 ) -> tuple[DataFrame, DataFrame | None, int]:
-    """(rows of groups up to ``limit`` rows, rows of the larger groups or None, how many those are).
+    """(rows of groups up to ``limit`` rows, rows of the larger groups or None, how many rows those are).
 
     The large groups, at most rows / limit of them, are counted with map-side combine and
-    written down; one number comes back to the driver.
+    written down; two numbers come back to the driver. A null key is a group like any other.
     """
-    heavy = materialize(
-        rows.groupBy(*by).count().where(F.col("count") > limit).select(*by), "heavy"
-    )
-    n_heavy = heavy.count()
-    if n_heavy == 0:
+    heavy = materialize(rows.groupBy(*by).count().where(F.col("count") > limit), "heavy")
+    groups, total = heavy.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    if groups == 0:
         return rows, None, 0
-    marks = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_CELLS else heavy
-    return rows.join(marks, by, "left_anti"), rows.join(marks, by, "left_semi"), n_heavy
+    keys = heavy.select(*[F.col(k).alias(f"_heavy_{i}") for i, k in enumerate(by)])
+    marks = F.broadcast(keys) if groups <= MAX_BROADCAST_CELLS else keys
+    same = F.lit(True)
+    for i, k in enumerate(by):
+        same = same & F.col(k).eqNullSafe(F.col(f"_heavy_{i}"))
+    return rows.join(marks, same, "left_anti"), rows.join(marks, same, "left_semi"), total
+
+
+def _in_ranges(rows: DataFrame, by: Sequence[str], order: Sequence[Column], total: int, range_rows: int) -> DataFrame:
+    """The rows, stored, with ``_cell`` (the range they lie in, in order) and ``_nth`` (orders equals).
+
+    Equals of the order, too, are dealt to several ranges, so no range holds much more than its
+    share whatever the types and values are.
+    """
+    wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(wanted, -(-total // range_rows))
+    keys = [F.col(k).asc() for k in by]
+    dealt = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange(n, *keys, *order, F.col("_nth").asc())
+    return materialize(dealt.withColumn("_cell", F.spark_partition_id().cast("long")), "ranges")
+
+
+def _sums_in_ranges(
+    rows: DataFrame, by: list[str], order: Sequence[Column], sums: Sequence[str], total: int, range_rows: int
+) -> DataFrame:
+    """``before_<sum>`` of rows of large groups."""
+    cut = _in_ranges(rows, by, order, total, range_rows)
+    ranges = cut.groupBy(*by, "_cell").agg(*[F.sum(s).alias(s) for s in sums])
+    offsets = cell_offsets(ranges, by, ["_cell"], sums)
+    leaf = _before([*by, "_cell"], [*order, F.col("_nth").asc()])
+    inside = cut.select("*", *[F.coalesce(F.sum(s).over(leaf), F.lit(0)).alias(f"_in_{s}") for s in sums])
+    far = _join_null_safe(inside, offsets, [*by, "_cell"])
+    far = far.withColumns({f"before_{s}": F.coalesce(F.col(f"before_{s}"), F.lit(0)) + F.col(f"_in_{s}") for s in sums})
+    return far.drop("_cell", "_nth", *[f"_in_{s}" for s in sums])
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on equal or both null keys; the keys come from the left."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    same = F.lit(True)
+    for k in on:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(other, same, "left").drop(*[f"_right_{k}" for k in on])
 
 
 def prior_sums_by_time(
@@ -91,48 +127,22 @@ def prior_sums_by_time(
     tie: str,
     sums: Sequence[str],
     *,
-    period: int = 3600,
     cell_rows: int = 1_000_000,
-    tie_block: int = TIE_BLOCK,
 ) -> DataFrame:
     """Add ``before_<sum>``: the sum over earlier rows of the same ``by`` group.
 
-    Rows are ordered by ``(time, tie)`` with ``tie`` unique. A group of up to ``cell_rows`` rows
-    is one window. A larger one is cut into cells of one ``period``; a cell that is still too
-    large (a third of the table on one timestamp) is cut by exact time and by blocks of the tie
-    column. No task holds more than ``max(cell_rows, tie_block)`` rows of one group.
+    Rows are ordered by ``(time, tie)``, any orderable types; no time comes last, no tie first. A
+    group of up to ``cell_rows`` rows is one window. Larger ones are cut into ranges of about
+    ``cell_rows`` rows of that same order, so they give the same result.
     """
     by = list(by)
-    light, heavy, _ = _split_heavy(rows, by, cell_rows)
+    light, heavy, total = _split_heavy(rows, by, cell_rows)
     order = [F.col(time).asc_nulls_last(), F.col(tie).asc()]
     whole = _before(by, order)
     out = light.select("*", *[F.coalesce(F.sum(s).over(whole), F.lit(0)).alias(f"before_{s}") for s in sums])
     if heavy is None:
         return out
-
-    rest = heavy.withColumns(
-        {
-            "_instant": F.coalesce(F.col(time), F.lit(_LAST_INSTANT)).cast("long"),
-            "_block": F.floor(F.col(tie) / tie_block).cast("long"),
-        }
-    ).withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
-    plain, crowded, _ = _split_heavy(rest, [*by, "_period"], cell_rows)
-    # Cells that are not crowded keep one instant and one block for all their rows.
-    cut = plain.withColumns({"_instant": F.lit(0).cast("long"), "_block": F.lit(0).cast("long")})
-    if crowded is not None:
-        cut = cut.unionByName(crowded)
-    levels = ["_period", "_instant", "_block"] if crowded is not None else ["_period"]
-
-    cells = cut.groupBy(*by, *levels).agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = cell_offsets(cells, by, levels, sums)
-    leaf = _before(by + levels, order)
-    inside = cut.select(
-        "*", *[F.coalesce(F.sum(s).over(leaf), F.lit(0)).alias(f"_in_{s}") for s in sums]
-    )
-    far = inside.join(offsets, [*by, *levels]).withColumns(
-        {f"before_{s}": F.col(f"before_{s}") + F.col(f"_in_{s}") for s in sums}
-    )
-    return out.unionByName(far.select(*out.columns))
+    return out.unionByName(_sums_in_ranges(heavy, by, order, sums, total, cell_rows).select(*out.columns))
 
 
 def prior_sums_strict(
@@ -141,73 +151,54 @@ def prior_sums_strict(
     time: str,
     sums: Sequence[str],
     *,
-    period: int = 86_400,
     cell_rows: int = 1_000_000,
 ) -> DataFrame:
     """As above but over rows strictly earlier in time: peers at the same instant are left out.
 
-    Small groups are one range window. Of large ones only (group, instant) totals are windowed,
-    at most ``period`` of them at a time; the rows join them back by equality, which runtime
-    skew handling can split.
+    Times are whole numbers, of any unit. Small groups are one range window. Of large ones only
+    (group, instant) totals are summed up, in ranges as above; the rows join them back by equality,
+    which runtime skew handling can split.
     """
+    if not isinstance(rows.schema[time].dataType, T.IntegralType):
+        raise TypeError(f"{time} must hold whole numbers, not {rows.schema[time].dataType.simpleString()}")
     by = list(by)
     # Rows with no time come after all others, as one instant.
-    rows = rows.withColumn("_instant", F.coalesce(F.col(time), F.lit(_LAST_INSTANT)).cast("long"))
-    light, heavy, _ = _split_heavy(rows, by, cell_rows)
+    rows = rows.withColumn("_instant", F.coalesce(F.col(time).cast("long"), F.lit(_LAST_INSTANT)))
+    light, heavy, total = _split_heavy(rows, by, cell_rows)
     earlier = Window.partitionBy(*by).orderBy("_instant").rangeBetween(Window.unboundedPreceding, -1)
     out = light.select(
         "*", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
     )
     if heavy is not None:
-        instants = (
-            heavy.groupBy(*by, "_instant")
-            .agg(*[F.sum(s).alias(s) for s in sums])
-            .withColumn("_period", F.floor(F.col("_instant") / period).cast("long"))
-        )
-        offsets = cell_offsets(instants, by, ["_period", "_instant"], sums).drop("_period")
-        out = out.unionByName(heavy.join(offsets, [*by, "_instant"]).select(*out.columns))
+        instants = heavy.groupBy(*by, "_instant").agg(*[F.sum(s).alias(s) for s in sums])
+        offsets = _sums_in_ranges(instants, by, [F.col("_instant").asc()], sums, total, cell_rows).drop(*sums)
+        out = out.unionByName(_join_null_safe(heavy, offsets, [*by, "_instant"]).select(*out.columns))
     return out.drop("_instant")
 
 
-def _cell_of(value: Column, edges: Column, cells: int) -> Column:
-    """How many of the sorted edges lie below ``value``, by bisection."""
-    steps = []
-    step = cells // 2
-    while step:
-        steps.append(step)
-        step //= 2
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, s: low + F.when(F.get(edges, low + s - 1) < value, s).otherwise(0),
-    )
-
-
 def prior_sums_by_value(
     rows: DataFrame,
     by: Sequence[str],
     value: str,
     sums: Sequence[str],
     *,
-    cells: int | None = None,
     cell_rows: int = 1_000_000,
     with_next: bool = False,
 ) -> DataFrame:
     """Add ``before_<sum>`` and ``total_<sum>`` over ascending distinct values of a group.
 
     ``rows`` has one row per ``by + [value]``, counts already combined; it is stored once, so
-    what it is made from is read once. Groups of up to ``cell_rows`` values are one window. Larger ones are
-    cut at approximate quantiles of their own values, which keeps the cells even whatever the
-    distribution; the result does not depend on where the cuts fall. There are as many cells as
-    the session has shuffle partitions, so they grow with the cluster. ``with_next`` also adds
-    ``next_value``, the following distinct value of the group.
+    what it is made from is read once. Groups of up to ``cell_rows`` values are one window. Larger
+    ones are cut into ranges of about that many values; the result does not depend on where the
+    cuts fall. ``with_next`` also adds ``next_value``, the following distinct value of the group.
     """
     by = list(by)
     rows = materialize(rows, "values")
     if by:
-        light, heavy, n_heavy = _split_heavy(rows, by, cell_rows)
+        light, heavy, total = _split_heavy(rows, by, cell_rows)
     else:
-        light, heavy, n_heavy = (rows, None, 0) if rows.count() <= cell_rows else (None, rows, 1)
+        total = rows.count()
+        light, heavy = (rows, None) if total <= cell_rows else (None, rows)
     parts = []
     if light is not None:
         whole = Window.partitionBy(*by)
@@ -221,38 +212,19 @@ def prior_sums_by_value(
             )
         )
     if heavy is not None:
-        if cells is None:
-            wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            cells = min(max(1 << (wanted - 1).bit_length(), MIN_CELLS), MAX_CELLS)
-        parts.append(_by_value_in_cells(heavy, by, value, sums, cells, n_heavy, with_next))
+        parts.append(_by_value_in_ranges(heavy, by, value, sums, total, cell_rows, with_next))
     out = parts[0]
     return out.unionByName(parts[1]) if len(parts) > 1 else out
 
 
-def _by_value_in_cells(
-    rows: DataFrame,
-    by: list[str],
-    value: str,
-    sums: Sequence[str],
-    cells: int,
-    n_groups: int,
-    with_next: bool,
+def _by_value_in_ranges(
+    rows: DataFrame, by: list[str], value: str, sums: Sequence[str], total: int, range_rows: int, with_next: bool
 ) -> DataFrame:
-    if cells & (cells - 1):
-        raise ValueError("cells must be a power of two")
-    cuts = F.percentile_approx(value, [i / cells for i in range(1, cells)], cells * 20)
-    if by:
-        # At most cells-1 numbers per large group.
-        edges = rows.groupBy(*by).agg(cuts.alias("_edges"))
-        rows = rows.join(F.broadcast(edges) if n_groups <= MAX_EDGE_GROUPS else edges, by)
-    else:
-        rows = rows.withColumn("_edges", rows.agg(cuts.alias("_edges")).scalar())
-    rows = rows.withColumn("_cell", _cell_of(F.col(value), F.col("_edges"), cells)).drop("_edges")
-
+    rows = _in_ranges(rows, by, [F.col(value).asc()], total, range_rows).drop("_nth")
     per_cell = rows.groupBy(*by, "_cell").agg(
         *[F.sum(s).alias(s) for s in sums], F.min(value).alias("_first")
     )
-    # At most `cells` rows per group from here on.
+    # One row per group and range from here on.
     before = _before(by, [F.col("_cell").asc()])
     whole = Window.partitionBy(*by)
     offsets = per_cell.select(
@@ -269,7 +241,7 @@ def _by_value_in_cells(
         *[F.coalesce(F.sum(s).over(leaf), F.lit(0)).alias(f"_in_{s}") for s in sums],
         *([F.lead(value).over(in_order).alias("_next_in")] if with_next else []),
     )
-    out = inside.join(offsets, [*by, "_cell"]).withColumns(
+    out = _join_null_safe(inside, offsets, [*by, "_cell"]).withColumns(
         {f"before_{s}": F.col(f"before_{s}") + F.col(f"_in_{s}") for s in sums}
     )
     if with_next:
@@ -282,7 +254,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles, exact and without collecting a group anywhere.
 
-    One row per ``by`` group with one column per entry of ``fractions``, rounded to 6 places.
+    One row per ``by`` group with one column per entry of ``fractions``.
     """
     by = list(by)
     counts = (
@@ -298,13 +270,14 @@ def exact_quantiles(
 
     picks, final = [], []
     for name, q in fractions.items():
-        position = (F.col("total__n") - 1) * F.lit(float(q))
+        # A place that is a whole number must not miss it by the fraction's last bit.
+        position = F.round((F.col("total__n") - 1) * F.lit(float(q)), 9)
         picks += [
             at(F.floor(position)).alias(f"{name}_lo"),
             at(F.ceil(position)).alias(f"{name}_hi"),
             F.max(position - F.floor(position)).alias(f"{name}_w"),
         ]
         lo, hi, w = (F.col(f"{name}_{p}") for p in ("lo", "hi", "w"))
-        final.append(F.round(lo + (hi - lo) * w, 6).alias(name))
+        final.append((lo + (hi - lo) * w).alias(name))
     grouped = ranked.groupBy(*by).agg(*picks) if by else ranked.agg(*picks)
     return grouped.select(*by, *final)

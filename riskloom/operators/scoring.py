@@ -87,14 +87,14 @@ def recompute_features(
                 F.when(
                     hit,
                     F.concat(
-                        shown, F.lit(": found in training history, "), count.cast("string"),
-                        F.lit(" rows, fraud rate "), F.format_number(rate, 4),
+                        shown, F.lit("; past rows: "), count.cast("string"),
+                        F.lit("; share of fraud: "), F.format_number(rate, 4),
                     ),
-                ).otherwise(F.concat(shown, F.lit(": NOT seen in training, history set to 0"))),
+                ).otherwise(F.concat(shown, F.lit(" is a new entity: its history counts as 0"))),
             ),
-            F.when(hit, _note(names[1], mean, F.concat(shown, F.lit(": mean amount ")
+            F.when(hit, _note(names[1], mean, F.concat(shown, F.lit("; average past amount: ")
                               , F.format_number(mean, 2)))),
-            F.when(hit, _note(names[2], count, F.concat(shown, F.lit(": rows in training ")
+            F.when(hit, _note(names[2], count, F.concat(shown, F.lit("; rows it has been seen in: ")
                               , count.cast("string")))),
         ]
     if amount is not None:
@@ -102,7 +102,7 @@ def recompute_features(
         notes.append(
             F.when(
                 raw.isNotNull(),
-                _note(cols.amount, raw, F.concat(F.lit("raw amount "), F.format_number(raw, 2))),
+                _note(cols.amount, raw, F.concat(F.lit("amount as requested: "), F.format_number(raw, 2))),
             )
         )
     out = out.withColumn("derivation", F.array_compact(F.array(*notes)))

@@ -13,7 +13,7 @@ from riskloom.schema import DEFAULT, SPLITS, TxnColumns
 def split_boundaries(
     df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15, cols: TxnColumns = DEFAULT
 ) -> DataFrame:
-    """One row ``t1, t2``: interpolated time quantiles, rounded to 6 places."""
+    """One row ``t1, t2``: interpolated time quantiles."""
     if train_frac <= 0 or val_frac <= 0 or train_frac + val_frac >= 1:
         raise ValueError("need train_frac > 0, val_frac > 0 and train_frac + val_frac < 1")
     return exact_quantiles(df, cols.time, {"t1": train_frac, "t2": train_frac + val_frac})
@@ -85,8 +85,8 @@ def split_manifest(
         "reference_date": cols.reference_time,
         "train_frac": train_frac,
         "val_frac": val_frac,
-        "t1": t1,
-        "t2": t2,
+        "t1": round(t1, 6),
+        "t2": round(t2, 6),
     }
     head = df.sparkSession.createDataFrame(
         [("split", k, str(v)) for k, v in fixed.items()], "section string, name string, value string"

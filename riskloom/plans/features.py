@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators import encodings, history
-from riskloom.operators.joining import keys_long, lookup
+from riskloom.operators.joining import keys_long, lookup, require_unique
 from riskloom.operators.splitting import assign_split
 from riskloom.schema import DEFAULT, MISSING_KEY, SPLITS, TxnColumns
 from riskloom.session import materialize
@@ -97,6 +97,7 @@ def build_train_features(
     df: DataFrame, cols: TxnColumns = DEFAULT, **options
 ) -> tuple[DataFrame, FeatureArtifacts]:
     """All feature groups on the training rows, and the frozen tables for later rows."""
+    require_unique(df, cols)
     profile = materialize(history.entity_aggregates(df, cols, _all_keys(cols)), "profile")
     long = _own_past(df, _frozen(df, profile, cols), F.lit(True), cols, **options)
     return _assemble(df, long, cols), FeatureArtifacts(profile, cols)
@@ -106,6 +107,7 @@ def build_test_features(
     df: DataFrame, artifacts: FeatureArtifacts, cols: TxnColumns = DEFAULT
 ) -> DataFrame:
     """The same columns for later rows, from frozen tables only."""
+    require_unique(df, cols)
     return _assemble(df, _frozen(df, artifacts.profile, cols), cols)
 
 
@@ -120,6 +122,7 @@ def build_temporal_splits(
     ``partitionBy("split")``. Rows without a time belong to no split and are left out, as three
     range filters would.
     """
+    require_unique(df, cols)
     rows = assign_split(df, t1, t2, cols).where(F.col("split").isNotNull())
     profile = materialize(
         history.aggregates_by_target(rows, "split", FEEDS, cols, _all_keys(cols)), "profile"

@@ -77,12 +77,14 @@ def final_report(
     promotion: DataFrame,
     importance: DataFrame,
     drift: DataFrame,
+    top_n: int | None = None,
 ) -> DataFrame:
-    """Every figure of a model card as ``section, name, value`` rows."""
+    """Every figure of a model card as ``section, name, value`` rows; ``top_n``: how many features, default all."""
     stats = validation.where(F.col("severity") == "stat").select(
         F.concat(F.lit("dataset."), "stage").alias("section"), F.col("check_name").alias("name"), "value"
     )
-    top = importance.where(F.col("place") <= 10).select(
+    listed = importance if top_n is None else importance.where(F.col("place") <= top_n)
+    top = listed.select(
         F.lit("explainability").alias("section"),
         F.col("feature").alias("name"),
         F.col("importance").alias("value"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,45 @@ from riskloom.operators.joining import join_identity
 from riskloom.schema import DEFAULT, TxnColumns, identity_schema, transaction_schema
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header under an explicit schema: no inference pass over the data.
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    required: Sequence[str] | None = None,
+    others: Mapping[str, T.DataType] | None = None,
+    rejects: str | None = None,
+) -> DataFrame:
+    """CSV with a header, its columns found by name: in file order, no inference pass over the data.
 
-    A quote inside a quoted field is doubled, as spreadsheets and data frame tools write it.
+    Columns that the file lacks are an error if ``required`` (default: all of ``schema``), else they
+    are absent. Columns that the schema lacks are passed through with the type of the first pattern
+    in ``others`` that matches their whole name, or as text. A row that doesn't fit its types goes to
+    Parquet under ``rejects``, with its line; without ``rejects`` such a row is an error. A quote inside
+    a quoted field is doubled, as spreadsheets and data frame tools write it.
     """
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    plain = spark.read.option("header", True).option("escape", '"')
+    names = plain.csv(path).columns  # reads the first line
+    known = {f.name.lower(): f for f in schema.fields}
+    absent = [c for c in (schema.names if required is None else required) if c.lower() not in {n.lower() for n in names}]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+
+    def typed(name: str) -> T.StructField:
+        if name.lower() in known:
+            return T.StructField(known[name.lower()].name, known[name.lower()].dataType)
+        kind = next((t for pattern, t in (others or {}).items() if re.fullmatch(pattern, name)), T.StringType())
+        return T.StructField(name, kind)
+
+    fields = T.StructType([typed(n) for n in names])
+    if rejects is None:
+        return plain.schema(fields).option("mode", "FAILFAST").csv(path)
+    line = "_rejected_line"
+    rows = plain.schema(fields.add(line, T.StringType())).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line).csv(path)
+    # The reader refuses queries on the line alone, so the filters look at another column too; it is always true.
+    parsed = F.length(F.concat_ws("", F.col(fields.names[0]).cast("string"))) >= 0
+    rows.where(F.col(line).isNotNull() & parsed).write.mode("overwrite").parquet(rejects)
+    return rows.where(F.col(line).isNull() & parsed).drop(line)
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -70,18 +104,28 @@ def ingest_split(
     cols: TxnColumns = DEFAULT,
     transactions: T.StructType | None = None,
     identity: T.StructType | None = None,
+    others: Mapping[str, T.DataType] | None = None,
 ) -> tuple[DataFrame, str]:
     """``<split>_transaction.csv`` and ``<split>_identity.csv`` joined into interim Parquet.
 
-    No transaction file is an error; no identity file means no identity columns.
+    No transaction file is an error; no identity file means no identity columns. A file may lack the
+    label and all identity columns but the id, and may have further columns (``others``: their types by
+    name). Rows that don't fit are left in ``<split>_transaction_rejects`` and ``<split>_identity_rejects``.
     """
     txn_path, idn_path = f"{raw}/{split}_transaction.csv", f"{raw}/{split}_identity.csv"
     if not path_exists(spark, txn_path):
         raise FileNotFoundError(f"missing {txn_path}")
-    txn = scan_csv(spark, txn_path, transactions or transaction_schema(cols))
+    wanted = transactions or transaction_schema(cols)
+    txn = scan_csv(
+        spark, txn_path, wanted, required=[c for c in wanted.names if c != cols.label],
+        others=others or cols.pass_through, rejects=f"{interim}/{split}_transaction_rejects",
+    )
     idn = None
     if path_exists(spark, idn_path):
-        idn = scan_csv(spark, idn_path, identity or identity_schema(cols))
+        idn = scan_csv(
+            spark, idn_path, identity or identity_schema(cols), required=[cols.id],
+            others=others or cols.pass_through, rejects=f"{interim}/{split}_identity_rejects",
+        )
     out = sink_parquet(join_identity(txn, idn, cols, verify=True), f"{interim}/{split}_joined.parquet")
     return spark.read.parquet(out), out
 

@@ -49,7 +49,7 @@ def transactions(spark: SparkSession, sf_dir: str, *, address: bool = True) -> D
 
 def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part = _read(spark, sf_dir, "events"), _read(spark, sf_dir, "part")
-    eid = F.col("event_id")
+    eid, parts = F.col("event_id"), part.count()
     described = part.select(
         F.col("p_partkey").alias("_part"),
         F.col("p_name").alias("id_30"),
@@ -57,7 +57,7 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         events.where(F.pmod(eid, F.lit(3)) != 0)
-        .withColumn("_part", F.pmod(eid, F.lit(200)))
+        .withColumn("_part", F.pmod(eid, F.lit(max(parts, 1))))
         .join(described, "_part", "left")
         .select(
             eid.alias("transaction_id"),

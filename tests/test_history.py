@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import table
-from riskloom.operators import history
+from riskloom.operators import history, prefix
 from riskloom.operators.joining import lookup
 from riskloom.schema import CARD_PAYMENTS, DEFAULT
 
@@ -87,12 +87,11 @@ def test_missing_key_is_an_entity(spark):
     "options",
     [
         {},
-        # The hot card is cut by period only, then all cards are.
-        {"period": 50_000, "cell_rows": 500},
-        {"period": 50_000, "cell_rows": 60},
+        # The hot card is cut only, then all cards are.
+        {"cell_rows": 500},
+        {"cell_rows": 60},
         # Every cell counts as crowded: cut by instant and by blocks of ids.
-        {"period": 100_000, "cell_rows": 5, "tie_block": 64},
-        {"period": 1_000_000, "cell_rows": 50, "tie_block": 7},
+        {"cell_rows": 5},
     ],
 )
 def test_cutting_does_not_change_the_result(spark, options):
@@ -147,13 +146,13 @@ def test_rows_without_time_come_last(spark):
     df = five(spark).withColumn(
         "transaction_dt", F.when(F.col("transaction_id") != 1, F.col("transaction_dt"))
     )
-    for options in ({}, {"cell_rows": 1, "tie_block": 2}):
+    for options in ({}, {"cell_rows": 1}):
         out = table(history.add_entity_history(df, keys=["card1"], **options), "transaction_id")
         assert [out[i]["card1_hist_count"] for i in (2, 3, 1)] == [0, 1, 2]
 
 
 def test_leakage_check_finds_no_mismatch(spark):
-    out = table(history.leakage_check(skewed(spark), period=50_000, cell_rows=20, tie_block=16), "key_type")
+    out = table(history.leakage_check(skewed(spark), cell_rows=20), "key_type")
     assert {r["mismatches"] for r in out.values()} == {0}
     assert {r["n_rows"] for r in out.values()} == {3000}
 
@@ -195,3 +194,46 @@ def test_other_column_names(spark):
     out = table(history.add_entity_history(df, CARD_PAYMENTS), "TransactionID")
     assert out[3]["P_emaildomain_hist_fraud_rate"] == 0.5
     assert DEFAULT.id != CARD_PAYMENTS.id
+
+
+@pytest.mark.parametrize("cell_rows", [1_000_000, 2])
+def test_null_text_and_scattered_ids_behave_alike_when_cut(spark, cell_rows):
+    by, sums = ["k"], ["n"]
+    rows = [("a", 5, None), ("a", 5, "x9"), ("a", None, "x1"), ("a", 1, "zz"), (None, 2, "p"), (None, 2, None), (None, 1, "q"), ("b", 1, "b")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "k string, t long, id string, n long")
+    got = sorted((str(r["k"]), str(r["t"]), str(r["id"]), r["before_n"]) for r in prefix.prior_sums_by_time(df, by, "t", "id", sums, cell_rows=cell_rows).collect())
+    assert got == sorted([("a", "1", "zz", 0), ("a", "5", "None", 1), ("a", "5", "x9", 2), ("a", "None", "x1", 3), ("None", "1", "q", 0), ("None", "2", "None", 1), ("None", "2", "p", 2), ("b", "1", "b", 0)])
+    strict = sorted((str(r["k"]), str(r["t"]), r["before_n"]) for r in prefix.prior_sums_strict(df, by, "t", sums, cell_rows=cell_rows).collect())
+    assert strict == sorted([("a", "1", 0), ("a", "5", 1), ("a", "5", 1), ("a", "None", 3), ("None", "1", 0), ("None", "2", 1), ("None", "2", 1), ("b", "1", 0)])
+
+
+@pytest.mark.parametrize("unit", [1, 1_000, 1_000_000])
+@pytest.mark.parametrize("strict", [False, True])
+def test_no_range_holds_a_large_group_whole(spark, monkeypatch, unit, strict):
+    """Whatever the unit of time, and with all rows at one instant and scattered ids."""
+    sizes = []
+    whole = prefix._in_ranges
+
+    def watched(*args):
+        out = whole(*args)
+        sizes.extend(r["count"] for r in out.groupBy("_cell").count().collect())
+        return out
+
+    monkeypatch.setattr(prefix, "_in_ranges", watched)
+    instant = F.lit(7) if not strict else F.col("id") * unit
+    df = spark.range(8000).select(F.lit("k").alias("k"), instant.cast("long").alias("t"), F.xxhash64("id").alias("id"), F.lit(1).cast("long").alias("n"))
+    out = prefix.prior_sums_strict(df, ["k"], "t", ["n"], cell_rows=500) if strict else prefix.prior_sums_by_time(df, ["k"], "t", "id", ["n"], cell_rows=500)
+    assert sorted(r["before_n"] for r in out.collect()) == list(range(8000))
+    assert len(sizes) >= 12 and max(sizes) < 1500
+
+
+def test_strict_needs_whole_times(spark):
+    df = spark.createDataFrame([("a", 1.5, 1)], "k string, t double, n long")
+    with pytest.raises(TypeError, match="whole numbers"):
+        prefix.prior_sums_strict(df, ["k"], "t", ["n"])
+
+
+def test_a_second_row_with_an_id_is_an_error(spark):
+    df = five(spark)
+    with pytest.raises(ValueError, match="duplicate"):
+        history.add_entity_history(df.unionByName(df.limit(1)))

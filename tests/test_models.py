@@ -55,11 +55,11 @@ def test_select_features(spark):
 
 
 def test_weights(spark):
-    df = spark.createDataFrame([(0,)] * 90 + [(1,)] * 10, "label int")
-    assert modelling.scale_pos_weight(df).first()["scale_pos_weight"] == 9.0
+    df = spark.createDataFrame([(0,)] * 42 + [(1,)] * 12, "label int")
+    assert modelling.scale_pos_weight(df).first()["scale_pos_weight"] == 3.5
     assert modelling.scale_pos_weight(df.where("label = 0")).first()["scale_pos_weight"] == 1.0
     assert {r["label"]: r["weight"] for r in modelling.class_weights(df).collect()} == {
-        0: pytest.approx(100 / 180), 1: pytest.approx(5.0),
+        0: pytest.approx(54 / 84), 1: pytest.approx(54 / 24),
     }
 
 
@@ -221,30 +221,30 @@ def test_only_finite_numbers_pass(spark):
 
 
 def test_operating_threshold(spark):
-    report = spark.createDataFrame([("s", "operating_threshold", 0.798)], "section string, name string, value double")
-    assert scoring.operating_threshold(report).first()[0] == 0.798
+    report = spark.createDataFrame([("gate", "operating_threshold", 0.3125)], "section string, name string, value double")
+    assert scoring.operating_threshold(report).first()[0] == 0.3125
     assert scoring.operating_threshold(report.limit(0)).first()[0] == 0.5
 
 
 def test_recompute_features(spark):
     history = spark.createDataFrame(
-        [("card1", "1000", 0.10, 150.0, 40), ("addr1", "300", 0.05, 120.0, 200)],
+        [("card1", "77", 0.375, 64.5, 8), ("addr1", "12", 0.02, 31.0, 550)],
         "key_type string, key string, fraud_rate double, amt_mean double, cnt long",
     )
     requests = spark.createDataFrame(
-        [(1, "1000", None, 250.75, 3.0), (2, "9999", "300", None, 4.0)],
-        "transaction_id long, card1 string, addr1 string, amount double, V1 double",
+        [(1, 77.0, None, 19.25, 3.0), (2, 5.0, "12", None, 4.0)],
+        "transaction_id long, card1 double, addr1 string, amount double, V1 double",
     )
     out = table(scoring.recompute_features(requests, history, amount="amount"), "transaction_id")
     known, unknown = out[1], out[2]
-    assert [known[f"card1_hist_{p}"] for p in ("fraud_rate", "amt_mean", "count")] == [0.10, 150.0, 40.0]
+    assert [known[f"card1_hist_{p}"] for p in ("fraud_rate", "amt_mean", "count")] == [0.375, 64.5, 8.0]
     assert [known[f"addr1_hist_{p}"] for p in ("fraud_rate", "amt_mean", "count")] == [0.0, 0.0, 0.0]
     assert [unknown[f"card1_hist_{p}"] for p in ("fraud_rate", "amt_mean", "count")] == [0.0, 0.0, 0.0]
-    assert known["transaction_amt"] == 250.75 and known["transaction_amt_cents"] == pytest.approx(75.0)
+    assert known["transaction_amt"] == 19.25 and known["transaction_amt_cents"] == pytest.approx(25.0)
     assert unknown["transaction_amt"] is None and unknown["V1"] == 4.0
     notes = [d["note"] for d in known["derivation"]]
-    assert any("found in training history" in n for n in notes) and len(notes) == 5
-    assert any("NOT seen in training" in d["note"] for d in unknown["derivation"])
+    assert any("past rows: 8" in n for n in notes) and len(notes) == 5
+    assert any("new entity" in d["note"] for d in unknown["derivation"])
 
 
 # --- drift -------------------------------------------------------------------------------------
@@ -257,7 +257,7 @@ def two_sample(a, b):
     return np.abs(f - g).max(), float((np.abs(f - g)[:-1] * np.diff(grid)).sum())
 
 
-@pytest.mark.parametrize("options", [{}, {"cell_rows": 20, "cells": 16}])
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 20}])
 def test_drift_distances(spark, options):
     rng = np.random.default_rng(7)
     ref = {"a": rng.normal(0, 1, 700), "b": np.where(rng.random(700) < 0.5, 3.0, rng.exponential(1, 700))}
@@ -279,7 +279,7 @@ def test_dataset_drift_structure(spark):
     cur = spark.createDataFrame([(float(i), i + 100.0, "x") for i in range(10)], "a double, b double, c string")
     columns = drift.drift_columns(ref, cur, "is_fraud")
     assert columns == ["a", "b"]
-    per = drift.column_drift(ref, cur, columns, method="auto")
+    per = drift.column_drift(ref, cur, columns, method="ks")
     assert {r["column_name"]: (r["method"], r["drift_detected"]) for r in per.collect()} == {
         "a": ("ks", False), "b": ("ks", True),
     }

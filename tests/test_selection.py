@@ -35,7 +35,7 @@ def test_average_precision_is_the_step_sum(spark):
 
 
 @pytest.mark.parametrize("by", [(), ("model",)])
-@pytest.mark.parametrize("options", [{}, {"cell_rows": 10, "cells": 16}])
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 10}])
 @pytest.mark.parametrize("kind", ["ties", "one_hot_score", "near_zero"])
 def test_metrics_equal_brute_force(spark, kind, options, by):
     rng = random.Random(11)
@@ -67,47 +67,47 @@ def test_undefined_areas_are_null(spark):
 
 
 def test_perfect_threshold(spark):
-    row = ranking.threshold_by_f1(scored(spark, [0, 0, 1, 1], [0.1, 0.2, 0.8, 0.9])).first()
-    assert row["threshold"] == 0.8
+    row = ranking.threshold_by_f1(scored(spark, [1, 0, 1, 0, 1], [0.66, 0.31, 0.95, 0.12, 0.73])).first()
+    assert row["threshold"] == 0.66
     assert [row[c] for c in ("precision", "recall", "f1")] == pytest.approx([1, 1, 1])
 
 
 def test_lowest_threshold_wins_ties_and_no_positives_gives_default(spark):
-    # F1 is 2/3 at 0.9 (1 of 2 found, no false alarm) and at 0.2 (2 found, 2 false alarms).
-    row = ranking.threshold_by_f1(scored(spark, [1, 0, 0, 1], [0.9, 0.5, 0.4, 0.2])).first()
-    assert row["threshold"] == 0.2
-    none = ranking.threshold_by_f1(scored(spark, [0, 0], [0.9, 0.5])).first()
+    # F1 is 2/3 at 0.88 (1 of 2 found, no false alarm) and at 0.27 (2 found, 2 false alarms).
+    row = ranking.threshold_by_f1(scored(spark, [0, 1, 1, 0], [0.61, 0.27, 0.88, 0.45])).first()
+    assert row["threshold"] == 0.27
+    none = ranking.threshold_by_f1(scored(spark, [0, 0, 0], [0.77, 0.33, 0.05])).first()
     assert tuple(none) == (0.5, 0.0, 0.0, 0.0)
 
 
 def test_counts_at_threshold(spark):
-    row = ranking.evaluate_at_threshold(scored(spark, [0, 0, 1, 1], [0.1, 0.2, 0.8, 0.9]), 0.5).first()
-    assert (row["tp"], row["fp"], row["fn"], row["tn"], row["alert_rate"]) == (2, 0, 0, 2, 0.5)
-    nothing = ranking.evaluate_at_threshold(scored(spark, [0, 1], [0.1, 0.2]), 0.9).first()
+    row = ranking.evaluate_at_threshold(scored(spark, [1, 1, 0, 0, 1, 0, 0, 0], [0.7, 0.4, 0.6, 0.2, 0.9, 0.1, 0.3, 0.59]), 0.6).first()
+    assert (row["tp"], row["fp"], row["fn"], row["tn"], row["alert_rate"]) == (2, 1, 1, 4, 0.375)
+    nothing = ranking.evaluate_at_threshold(scored(spark, [1, 0, 0], [0.3, 0.44, 0.2]), 0.45).first()
     assert (nothing["precision"], nothing["recall"], nothing["f1"]) == (0.0, 0.0, 0.0)
 
 
 def sliced(spark):
-    y = [0, 1, 0, 1, 0, 1, 0, 0]
-    s = [0.1, 0.9, 0.2, 0.8, 0.3, 0.7, 0.4, 0.5]
-    member = {"good": range(4), "bad": range(4, 8), "poor": (0, 4)}
-    rows = [(name, y[i], s[i]) for name, idx in member.items() for i in idx]
+    # "full": 3 positives, precision 1, 2/3, 3/5 where they are found. "single": one positive, on top. "none": no positive.
+    rows = [("full", 1, 0.92), ("full", 0, 0.81), ("full", 1, 0.64), ("full", 0, 0.5), ("full", 1, 0.37), ("full", 0, 0.11)]
+    rows += [("single", 1, 0.58), ("single", 0, 0.22), ("none", 0, 0.74), ("none", 0, 0.3), ("none", 0, 0.29)]
     return spark.createDataFrame(rows, "slice string, label int, score double")
 
 
 def test_slice_checks(spark):
-    cfg = GateConfig(slice_min_positives=2, slice_pr_auc_floor=0.1)
-    out = table(selection.slice_checks(sliced(spark), cfg, ["good", "bad", "poor", "empty"]), "slice")
-    assert out["good"]["status"] == "pass"
-    assert {out[s]["status"] for s in ("bad", "poor", "empty")} == {"insufficient_data"}
-    assert out["bad"]["pr_auc"] is None and (out["empty"]["n"], out["empty"]["positives"]) == (0, 0)
+    cfg = GateConfig(slice_min_positives=3, slice_pr_auc_floor=0.6)
+    out = table(selection.slice_checks(sliced(spark), cfg, ["full", "single", "none", "absent"]), "slice")
+    assert out["full"]["status"] == "pass" and (out["full"]["n"], out["full"]["positives"]) == (6, 3)
+    assert {out[s]["status"] for s in ("single", "none", "absent")} == {"insufficient_data"}
+    assert out["single"]["pr_auc"] is None and (out["absent"]["n"], out["absent"]["positives"]) == (0, 0)
 
 
 def test_slice_below_the_floor_fails(spark):
-    cfg = GateConfig(slice_min_positives=1, slice_pr_auc_floor=0.99)
-    assert table(selection.slice_checks(sliced(spark), cfg, ["bad"]), "slice")["bad"]["status"] == "pass"
-    low = spark.createDataFrame([("x", 1, 0.1), ("x", 0, 0.9)], "slice string, label int, score double")
-    assert table(selection.slice_checks(low, cfg, ["x"]), "slice")["x"]["status"] == "fail"
+    cfg = GateConfig(slice_min_positives=1, slice_pr_auc_floor=0.8)
+    out = table(selection.slice_checks(sliced(spark), cfg, ["single", "full"]), "slice")
+    # Average precision of "full" is (1 + 2/3 + 3/5) / 3 = 0.7556.
+    assert (out["single"]["status"], out["full"]["status"]) == ("pass", "fail")
+    assert out["full"]["pr_auc"] == pytest.approx((1 + 2 / 3 + 3 / 5) / 3)
 
 
 @pytest.mark.parametrize(

@@ -27,7 +27,7 @@ def test_history_stream_equals_batch_over_many_micro_batches(spark):
     source = stream(spark, df, f"{base}/in", 5, "transaction_dt")
     query = jobs.history_stream(
         source, f"{base}/out", f"{base}/state", f"{base}/checkpoint", once=True,
-        snapshot_every=2, period=100_000, cell_rows=30, tie_block=16,
+        snapshot_every=2, cell_rows=30,
     )
     query.awaitTermination()
     got = spark.read.parquet(f"{base}/out")
