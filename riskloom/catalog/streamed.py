@@ -52,7 +52,6 @@ _EVENT_SCORE = "CAST((event_id * 7907) % 997 AS DOUBLE) / CAST(997 AS DOUBLE)"
     count(*) FILTER (WHERE score >= 0.5) AS reviewed, count(*) FILTER (WHERE score < 0.5) AS allowed,
     count(*) FILTER (WHERE score <= 0.3) AS upto_3, count(*) FILTER (WHERE score <= 1.0) AS upto_10
     FROM (SELECT date_trunc('day', ts) AS window_start, ts, {_EVENT_SCORE} AS score FROM events)
-    WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
     GROUP BY window_start""",
 )
 def monitor_stream(spark, sf):
@@ -60,10 +59,9 @@ def monitor_stream(spark, sf):
         "ts", (F.pmod(F.col("event_id") * 7907, F.lit(997)).cast("double") / 997.0).alias("score")
     )
     out = working_dir(spark, "monitor")
-    jobs.start_to_parquet(
-        jobs.monitor_stream(scored, "ts"), f"{out}/data", f"{out}/checkpoint", once=True
-    ).awaitTermination()
-    return spark.read.parquet(f"{out}/data").select(
+    windows = jobs.monitor_stream(scored, "ts")
+    jobs.windows_to_parquet(windows, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
+    return jobs.latest_windows(spark, f"{out}/data").select(
         _utc("window_start"),
         _utc("window_end"),
         "n", "reviewed", "allowed",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,7 +54,8 @@ def monitor_stream(
 ) -> DataFrame:
     """Decisions and score buckets per event-time window, rows later than ``late_by`` dropped.
 
-    A window is emitted once the watermark has passed its end.
+    In append mode (``start_to_parquet``) a window comes out once the watermark has passed its end; in
+    update mode (``windows_to_parquet``) every change of a window does, so a drained run has them all.
     """
     s = F.col(score)
     review = F.count_if(decide(s, threshold) == "review")
@@ -78,6 +79,29 @@ def monitor_stream(
     )
 
 
+def windows_to_parquet(windows: DataFrame, path: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
+    """Write a windowed aggregate as it changes, the open windows included.
+
+    Each micro-batch leaves the windows that it changed under its own number, so a replay overwrites
+    its own output; ``latest_windows`` reads the last state of each.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = windows.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def latest_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every window that ``windows_to_parquet`` has written."""
+    rows = spark.read.parquet(path)
+    by = ["window_start", "window_end"]
+    others = [c for c in rows.columns if c not in (*by, "batch_id")]
+    newest = rows.groupBy(*by).agg(F.max_by(F.struct(*others), "batch_id").alias("row"))
+    return newest.select(*by, "row.*")
+
+
 class EntityTotals:
     """Per-entity sums of everything seen in earlier micro-batches, kept as Parquet.
 

@@ -65,6 +65,20 @@ def test_monitor_stream_holds_back_the_open_window(spark):
     assert out[0]["at_or_below"][3] == 4 and out[0]["at_or_below"][10] == 10
 
 
+def test_a_drained_run_has_all_windows_over_many_micro_batches(spark):
+    base = working_dir(spark, "windows-test")
+    for part in range(3):  # every file holds rows of both days
+        rows = [(f"2024-01-0{d} 0{h}:30:00", h / 10) for d in (1, 2) for h in range(part, 9, 3)]
+        df = spark.createDataFrame(rows, "ts string, score double").select(F.col("ts").cast("timestamp").alias("ts"), "score")
+        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    windows = jobs.monitor_stream(source, "ts", late_by="3 days")
+    jobs.windows_to_parquet(windows, f"{base}/out", f"{base}/checkpoint", once=True).awaitTermination()
+    assert spark.read.parquet(f"{base}/out").select("batch_id").distinct().count() >= 3
+    out = jobs.latest_windows(spark, f"{base}/out").orderBy("window_start").collect()
+    assert [(r["n"], r["reviewed"]) for r in out] == [(9, 4)] * 2
+
+
 def test_score_stream_equals_batch(spark):
     from riskloom.operators import modelling
     from riskloom.operators.scoring import recompute_features
