@@ -12,7 +12,3 @@ def documents(spark):
         return spark.createDataFrame(full, schema)
 
     return build
-
-
-def plain(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
