@@ -30,7 +30,7 @@ from riskloom.llm.ngrams import has_letter, hashed, pieces
 
 ORDERS, BITS, DIM = (2, 3, 4), 16, 16
 PER_LANGUAGE, SHORTEST, LONGEST, MOST_LANGUAGES = 3000, 20, 600, 500
-EPOCHS, LEAST_STEPS, RATE, EVEN, PRECISION, MOST_LOST = 4, 20_000, 0.4, 0.5, 0.99, 0.002
+EPOCHS, LEAST_STEPS, RATE, EVEN, PRECISION, MOST_LOST = 4, 20_000, 0.4, 0.5, 0.95, 0.002
 UNKNOWN = "und"
 
 
