@@ -6,7 +6,9 @@ in a bucket, and no pair outside of buckets is looked at. Inside the buckets a t
 to pivots decides: by the triangle inequality the distances of two linked fingerprints to any pivot differ
 by at most 3, so pairs whose largest difference is more are discarded; survivors are compared bit by bit.
 A bucket with more than ``DIRECT`` fingerprints is split again by the bits that it leaves free, in the
-same way. A task gives each fingerprint its component's smallest within the task, never the pairs.
+same way; one with more than ``HELD`` is not held by a task but dealt again over all tasks by such keys,
+until its fingerprints differ in so few bits that a task can hold every one of them. A task gives each
+fingerprint its component's smallest within the task, never the pairs.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero and is linked like any
 other; a null key takes part but names no component; repeated rows are one component; an empty table gives
@@ -31,6 +33,8 @@ from riskloom.session import ensure_checkpoint_dir
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 PIVOTS, DIRECT, CHUNK = 16, 512, 1 << 18
+#: Fingerprints of one bucket that a task holds, and the widest part of the free bits at each further dealing.
+HELD, AGAIN = 1 << 22, (9, 7)
 
 
 def fingerprint(raw: bytes) -> int:
@@ -74,9 +78,20 @@ def _keys(f: Column) -> Column:
     return F.array(*keys)
 
 
-def _free_bits(table: int) -> list[int]:
-    """The bits that a key of this table leaves open."""
-    i, j = divmod(table, 4)
+def _parts(bits: list[int]) -> list[tuple[int, int]]:
+    """Places of the parts of ``bits``, of which two linked fingerprints share one."""
+    edges = [round(len(bits) * k / (DISTANCE + 1)) for k in range(DISTANCE + 2)]
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def _free_bits(key: int, level: int = 0) -> list[int]:
+    """The bits that a key leaves open; level: how often its bucket was dealt again."""
+    if level:
+        width = AGAIN[level - 1]
+        bits = _free_bits(key >> (width + 2), level - 1)
+        low, high = _parts(bits)[key >> width & 3]
+        return bits[:low] + bits[high:]
+    i, j = divmod(key >> 28, 4)
     others = [16 * k + b for k in reversed([k for k in range(4) if k != i]) for b in range(16)]
     return others[: 12 * j] + others[12 * (j + 1) :]
 
@@ -126,8 +141,7 @@ def _split(prints: np.ndarray, ids: np.ndarray, bits: list[int], forest: _Forest
     if len(bits) <= DISTANCE:
         forest.join(ids[:-1], ids[1:])
         return
-    edges = [round(len(bits) * k / (DISTANCE + 1)) for k in range(DISTANCE + 2)]
-    for low, high in zip(edges, edges[1:], strict=False):
+    for low, high in _parts(bits):
         mask = np.uint64(sum(1 << b for b in bits[low:high]))
         value = prints[ids] & mask
         order = np.argsort(value, kind="stable")
@@ -145,7 +159,7 @@ def _by_size(prints, groups, ids, bits_of, forest, far) -> None:
         _split(prints, ids[start : start + n], bits_of(groups[start]), forest, far)
 
 
-def _linked(keys: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _linked(keys: np.ndarray, prints: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(fingerprint, smallest of its component) within whole buckets, keys ascending; only where they differ."""
     alone = np.ones(len(keys), bool)
     same = keys[1:] == keys[:-1]
@@ -155,36 +169,72 @@ def _linked(keys: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray,
     if len(keys):
         distinct, ids = np.unique(prints, return_inverse=True)
         forest = _Forest(len(distinct))
-        _by_size(distinct, keys, ids, lambda key: _free_bits(int(key) >> 28), forest, _pivot_table(distinct))
+        _by_size(distinct, keys, ids, lambda key: _free_bits(int(key), level), forest, _pivot_table(distinct))
         moved = np.flatnonzero(forest.label != np.arange(len(distinct)))
         yield distinct[moved], distinct[forest.label[moved]]
 
 
-def links(prints: DataFrame, name: str = "fingerprint") -> DataFrame:
-    """(a, b): edges whose components are those of all links between the distinct fingerprints of ``prints``."""
-    dealt = prints.select(F.explode(_keys(F.col(name))).alias("k"), F.col(name).alias("f")).repartition("k").sortWithinPartitions("k")
+def _dealt_again(key: int, prints: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key of the next level, fingerprint) of a bucket's fingerprints, four times each."""
+    bits = _free_bits(key, level)
+    for part, (low, high) in enumerate(_parts(bits)):
+        value = np.zeros(len(prints), np.uint64)
+        for n, b in enumerate(bits[low:high]):
+            value |= (prints >> np.uint64(b) & np.uint64(1)) << np.uint64(n)
+        yield value.astype(np.int64) | ((key << 2 | part) << AGAIN[level]), prints
+
+
+def _deal(keyed: DataFrame, level: int, held_rows: int) -> DataFrame:
+    """(a, b, again) of keyed fingerprints (k, f): edges, or, with ``again``, the keys and fingerprints of what is dealt again."""
+    keyed = keyed.repartition("k").sortWithinPartitions("k")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(keys: np.ndarray, found: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a, b in _linked(keys, found.view(np.uint64)):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        def out(found: Iterator[tuple[np.ndarray, np.ndarray]], again: bool) -> Iterator[pa.RecordBatch]:
+            for a, b in found:
+                flags = pa.array(np.full(len(a), again))
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), flags], names=["a", "b", "again"])
 
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        rows = 0
+        rows, large = 0, None  # large: the key of a bucket that isn't held
         for batch in batches:
-            if not batch.num_rows:
+            keys, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            if large is not None and len(keys):
+                cut = int(np.searchsorted(keys, large, side="right"))
+                yield from out(_dealt_again(large, prints[:cut], level), True)
+                keys, prints = keys[cut:], prints[cut:]
+            if not len(keys):
                 continue
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-            rows += batch.num_rows
-            if rows >= CHUNK and held[-1][0][0] != held[-1][0][-1]:  # keep the last bucket, more of it may come
-                keys, found = (np.concatenate(x) for x in zip(*held, strict=True))
+            large = None
+            held.append((keys, prints))
+            rows += len(keys)
+            if rows >= CHUNK and held[0][0][0] != keys[-1]:  # keep the last bucket, more of it may come
+                keys, prints = (np.concatenate(x) for x in zip(*held, strict=True))
                 cut = int(np.searchsorted(keys, keys[-1]))
-                yield from out(keys[:cut], found[:cut])
-                held, rows = [(keys[cut:], found[cut:])], len(keys) - cut
+                yield from out(_linked(keys[:cut], prints[:cut], level), False)
+                held, rows = [(keys[cut:], prints[cut:])], len(keys) - cut
+            if rows >= held_rows and level < len(AGAIN) and held[0][0][0] == keys[-1]:
+                large = int(keys[-1])
+                for _, some in held:
+                    yield from out(_dealt_again(large, some, level), True)
+                held, rows = [], 0
         if held:
-            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from out(_linked(*(np.concatenate(x) for x in zip(*held, strict=True)), level), False)
+
+    return keyed.mapInArrow(run, "a long, b long, again boolean")
+
 
-    return dealt.mapInArrow(run, "a long, b long")
+def links(prints: DataFrame, name: str = "fingerprint", held_rows: int = HELD) -> DataFrame:
+    """(a, b): edges whose components are those of all links between the distinct fingerprints of ``prints``."""
+    keyed = prints.select(F.explode(_keys(F.col(name))).alias("k"), F.col(name).alias("f"))
+    found: DataFrame | None = None
+    for level in range(len(AGAIN) + 1):
+        dealt = stored(_deal(keyed, level, held_rows), "links")
+        edges = dealt.where("not again").select("a", "b")
+        found = edges if found is None else found.unionAll(edges)
+        keyed = dealt.where("again").select(F.col("a").alias("k"), F.col("b").alias("f"))
+        if keyed.isEmpty():
+            break
+    return found
 
 
 def components(prints: DataFrame, key: str = "doc_id", name: str = "fingerprint") -> DataFrame:

@@ -74,6 +74,28 @@ def test_links_span_all_components(spark, monkeypatch, direct):
         assert {got[signed[k]] for k in members} == {min(members)}
 
 
+@pytest.mark.parametrize(("chunk", "held_rows", "batch"), [(1, 2, 7), (1 << 18, 20, 10_000)])
+def test_large_buckets_are_dealt_again(spark, monkeypatch, chunk, held_rows, batch):
+    """Fingerprints that share 24 bits: their buckets pass the limit at every level."""
+    monkeypatch.setattr(S, "CHUNK", chunk)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    draw = random.Random(11)
+    base = draw.getrandbits(64)
+    prints = {base}
+    while len(prints) < 400:
+        prints.add(draw.choice(sorted(prints)) ^ sum(1 << b for b in draw.sample(range(40), draw.randint(2, 5))))
+    prints = sorted(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    deep = S._deal(df.selectExpr("cast(0 as long) as k", "fingerprint as f"), 0, 20)
+    assert deep.where("again").count() == 4 * len(prints) and deep.where("not again").isEmpty()
+    want = brute_roots(prints)
+    got = {r["node"]: r["root"] for r in connected(S.links(df, held_rows=held_rows)).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    root = {p: got.get(s, s) for p, s in zip(prints, signed, strict=True)}
+    assert len({(want[p], root[p]) for p in prints}) == len(set(want.values())) == len(set(root.values()))
+
+
 def test_large_group_is_split_in_the_same_way():
     draw = random.Random(3)
     base = draw.getrandbits(64)
