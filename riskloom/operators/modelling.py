@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -125,8 +126,8 @@ def train_boosted_trees(
     """Gradient-boosted trees with positive-class weight, cut to the best validation round.
 
     Spark's own validation rule has no patience and stops at the first weak round. Here the
-    log loss of every round is measured on ``validation`` in one pass; if a shorter ensemble
-    is better it is fitted again with that many rounds, which gives the same first trees.
+    log loss of every round is measured on ``validation`` in one pass; the trees after the best
+    round are dropped.
     """
     # Boosting builds on its own residuals; Spark checkpoints them every ten rounds.
     ensure_checkpoint_dir(train.sparkSession)
@@ -135,28 +136,37 @@ def train_boosted_trees(
     weight = F.when(F.col("label") == 1, float(pos_weight)).otherwise(1.0)
     rows = train.withColumn("weight", weight)
 
-    def fit(rounds: int) -> PipelineModel:
-        trees = GBTClassifier(
-            featuresCol="features",
-            labelCol="label",
-            weightCol="weight",
-            maxIter=rounds,
-            maxDepth=max_depth,
-            stepSize=learning_rate,
-            subsamplingRate=subsample,
-            featureSubsetStrategy=str(colsample) if colsample < 1 else "all",
-            seed=seed,
-        )
-        assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-        return Pipeline(stages=[assembler, trees]).fit(rows)
-
-    model = fit(n_estimators)
-    if validation is None:
+    boosting = GBTClassifier(
+        featuresCol="features",
+        labelCol="label",
+        weightCol="weight",
+        maxIter=n_estimators,
+        maxDepth=max_depth,
+        stepSize=learning_rate,
+        subsamplingRate=subsample,
+        featureSubsetStrategy=str(colsample) if colsample < 1 else "all",
+        seed=seed,
+    )
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    trees = boosting.fit(assembler.transform(rows))
+    if validation is not None:
+        held_out = assembler.transform(validation.withColumn("weight", F.lit(1.0)))
+        trees = first_trees(trees, best_round(trees.evaluateEachIteration(held_out), early_stopping))
+    return PipelineModel([assembler, trees])
+
+
+def first_trees(model: GBTClassificationModel, keep: int) -> GBTClassificationModel:
+    """The ensemble of the first ``keep`` trees, which is what fewer rounds would have fitted."""
+    if keep >= model.getNumTrees:
         return model
-    assembler, trees = model.stages
-    held_out = assembler.transform(validation.withColumn("weight", F.lit(1.0)))
-    keep = best_round(trees.evaluateEachIteration(held_out), early_stopping)
-    return model if keep == n_estimators else fit(keep)
+    gateway, fitted = SparkContext._gateway, model._java_obj
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(gateway.jvm.double, keep)
+    for k, (tree, weight) in enumerate(zip(fitted.trees()[:keep], model.treeWeights[:keep], strict=True)):
+        trees[k], weights[k] = tree, weight
+    cut = ml.classification.GBTClassificationModel(fitted.uid(), trees, weights, model.numFeatures, model.numClasses)
+    return model._copyValues(GBTClassificationModel(cut))
 
 
 def model_inputs(model: PipelineModel) -> list[str]:

@@ -99,6 +99,17 @@ def test_patience():
     assert modelling.best_round([0.5], patience=50) == 1
 
 
+def test_dropped_trees_leave_the_shorter_fit(spark, tmp_path):
+    rows = spark.range(400).selectExpr("id % 7 AS f1", "id % 11 * 1.5 AS f2", "int(id % 7 + id % 11 > 8) AS label")
+    fit = lambda n: modelling.train_boosted_trees(rows, ["f1", "f2"], n_estimators=n, max_depth=3, colsample=1.0)
+    long, short = fit(6), fit(4)
+    long.stages[-1] = modelling.first_trees(long.stages[-1], 4)
+    again = modelling.load_model(modelling.save_model(long, str(tmp_path / "cut")))
+    assert again.stages[-1].getNumTrees == 4
+    scores = [[r["score"] for r in modelling.score(m, rows).collect()] for m in (long, short, again)]
+    assert scores[0] == scores[2] == pytest.approx(scores[1], abs=1e-12)
+
+
 def test_early_stopping_cuts_the_ensemble(separable):
     # Validation labels turned round: every further tree makes them worse.
     wrong = separable.withColumn("label", 1 - F.col("label"))
