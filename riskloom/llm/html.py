@@ -10,6 +10,10 @@ neighbours). It is trained here, without labels given: in a bounded sample of ab
 in an article are content and blocks in menus, footers and the like are not. So it carries over to blocks
 whose containers say nothing.
 
+Elements, roles and hiding are certain; class names and ids only hint. A hint counts if it is a whole class
+token, weighs no more than the classifier and the edges can outweigh, teaches nothing, and ends at a <main>
+or <article> below it (at an <article> only if the hint is of no thread or list of other texts).
+
 Defined cases: a null or empty page, and one without content, has an empty text; tags that are cut off at
 the end, unclosed or closed twice are tolerated; repeated rows each have a result; an empty table gives no
 rows, and a sample without both kinds of blocks leaves the containers to decide.
@@ -31,8 +35,8 @@ from riskloom.llm.frames import free_name, slices
 from riskloom.llm.mincut import label
 
 PAGES, BLOCKS_OF_A_PAGE, STEPS, PENALTY = 2000, 60, 400, 1e-3
-#: Log odds: at most from the classifier; in an article; in a container of boilerplate. Smoothness of neighbours and of siblings.
-MOST, ARTICLE, BOILERPLATE, NEAR, SIBLING = 3.0, 4.0, -12.0, 2.0, 1.0
+#: Log odds: at most from the classifier; in an article; in a container of boilerplate; in one that a class hints at. Smoothness of neighbours and of siblings.
+MOST, ARTICLE, BOILERPLATE, HINTED, NEAR, SIBLING = 3.0, 4.0, -12.0, -4.0, 2.0, 1.0
 UNIT = 1000
 
 # Element names of HTML.
@@ -51,12 +55,11 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-#: Parts of class names and ids of what is no article.
-HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|menu|modal|nav|navbar|navigation"
-    r"|newsletter|notices?|popup|promo|related|replies|reply|respond|share|sharing|sidebar|skip|social|sponsored|subscribe|widget)(?:$|[\s_-])",
-    re.I,
-)
+#: Class names and ids of what is no article, alone or joined to one another or to a place; those of threads and of lists of other texts.
+_LAYOUT = "ads?|adverts?|advertisement|banner|breadcrumbs?|consent|cookies?|footer|menu|modal|nav|navbar|navigation|newsletter|notices?|popup|share|sharing|sidebar|skip|social|subscribe|widget"
+_THREAD = "comments?|disqus|promo|related|replies|reply|respond|sponsored"
+HINTS = re.compile(rf"(?:(?:site|main|primary|secondary|top|bottom)[_-])?(?:{_LAYOUT}|{_THREAD})(?:[_-](?:{_LAYOUT}|{_THREAD}))*", re.I)
+THREADS = re.compile(rf"(?:^|[_-])(?:{_THREAD})(?:$|[_-])", re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<[/a-zA-Z!?][^>]*\Z", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -73,6 +76,7 @@ class Block:
     far: int
     article: bool
     boilerplate: bool
+    hinted: bool = False
 
 
 @dataclass
@@ -83,6 +87,8 @@ class _Open:
     ids: list[int] = field(default_factory=list)
     article: list[bool] = field(default_factory=list)
     boilerplate: list[bool] = field(default_factory=list)
+    #: 0, or 1 below a class that hints at boilerplate, 2 at a thread or a list of other texts.
+    hint: list[int] = field(default_factory=list)
     count: int = 0
 
     def push(self, tag: str, attributes: str) -> None:
@@ -91,11 +97,16 @@ class _Open:
         self.ids.append(self.count)
         before = self.boilerplate[-1] if self.boilerplate else False
         inside = self.article[-1] if self.article else False
+        hint = self.hint[-1] if self.hint else 0
+        if tag == "main" or (tag == "article" and hint == 1 and "article" not in self.tags[:-1]):
+            hint = 0
+        says = bool(attributes) and tag not in ("html", "body")
         self.article.append(inside or tag in ARTICLE_TAGS)
-        self.boilerplate.append(before or tag in BOILERPLATE_TAGS or (tag == "header" and not inside) or (bool(attributes) and tag not in ("html", "body") and _told(attributes)))
+        self.boilerplate.append(before or tag in BOILERPLATE_TAGS or (tag == "header" and not inside) or (says and _told(attributes)))
+        self.hint.append(max(hint, _hint(attributes)) if says else hint)
 
     def pop_to(self, k: int) -> None:
-        for x in (self.tags, self.ids, self.article, self.boilerplate):
+        for x in (self.tags, self.ids, self.article, self.boilerplate, self.hint):
             del x[k:]
 
 
@@ -104,13 +115,24 @@ def _told(attributes: str) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'")
         name = name.lower()
-        if (name in ("class", "id") and HINTS.search(value)) or (name == "role" and value.lower() in _ROLES):
+        if name == "role" and value.lower() in _ROLES:
             return True
         if name == "hidden" or (name == "style" and "display:none" in value.replace(" ", "").lower()):
             return True
     return False
 
 
+def _hint(attributes: str) -> int:
+    """Do an element's class or id hint at boilerplate (1), or at a thread or a list of other texts (2)?"""
+    found = 0
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in value.strip("\"'").split():
+                if HINTS.fullmatch(token):
+                    found = max(found, 2 if THREADS.search(token) else 1)
+    return found
+
+
 def parse(page: str) -> list[Block]:
     blocks: list[Block] = []
     now = _Open()
@@ -127,7 +149,7 @@ def parse(page: str) -> list[Block]:
             low_now = min(low, depth)
             far = (blocks[-1].depth - low_now) + (depth - low_now) if blocks else depth
             up = 2 if now.tags and now.tags[-1] in PARAGRAPH_TAGS else 1  # what holds this block and the next
-            blocks.append(Block(text, linked, depth, now.ids[-up] if len(now.ids) >= up else 0, far, bool(now.article and now.article[-1]), bool(now.boilerplate and now.boilerplate[-1])))
+            blocks.append(Block(text, linked, depth, now.ids[-up] if len(now.ids) >= up else 0, far, bool(now.article and now.article[-1]), bool(now.boilerplate and now.boilerplate[-1]), bool(now.hint and now.hint[-1])))
             low = depth
         said.clear()
         linked = 0
@@ -200,7 +222,7 @@ def leans(blocks: list[Block], weights: np.ndarray) -> list[int]:
     """Log odds of content, in units of 1/1000."""
     odds = np.clip(looks(blocks) @ weights, -MOST, MOST)
     for k, b in enumerate(blocks):
-        odds[k] += BOILERPLATE if b.boilerplate else ARTICLE if b.article else 0.0
+        odds[k] += BOILERPLATE if b.boilerplate else HINTED if b.hinted else ARTICLE if b.article else 0.0
     return np.rint(odds * UNIT).astype(int).tolist()
 
 
@@ -231,7 +253,7 @@ def fit(df: DataFrame, key: str = "url", html: str = "html", pages: int = PAGES)
             for page in part.column(1).to_pylist():
                 blocks = parse(page or "")
                 table = looks(blocks)
-                told = [k for k, b in enumerate(blocks) if b.article or b.boilerplate]
+                told = [k for k, b in enumerate(blocks) if b.boilerplate or (b.article and not b.hinted)]
                 for k in told[:: max(1, len(told) // BLOCKS_OF_A_PAGE)]:  # spread over the page
                     seen.append(table[k].tolist())
                     content.append(blocks[k].article and not blocks[k].boilerplate)

@@ -50,6 +50,34 @@ def test_pages(page, text):
     assert H.extract(page, ZERO) == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "content-sidebar-wrap", "post comments-open", "ad-free article"])
+def test_theme_classes_are_no_hints(name):
+    body = "<h1>Title</h1><p>First part.</p><p>Second part.</p>"
+    for page in (f"<div class='{name}'><article>{body}</article></div>", f"<main><div class='{name}'>{body}</div></main>"):
+        assert H.extract(page, ZERO) == "Title\nFirst part.\nSecond part."
+
+
+def test_an_article_ends_a_hint_above_it():
+    body = "<h1>Title</h1><p>First part.</p>"
+    for page in (f"<div class=sidebar><article>{body}</article></div>", f"<div class='comments'><main>{body}</main></div>", f"<main><div id=social><article>{body}</article></div></main>"):
+        assert H.extract(page, ZERO) == "Title\nFirst part."
+    # an article in a thread, in an article, or in an element of boilerplate stays out
+    thread = "<div class=comments><div class=comment><article>reader</article></div></div>"
+    for page in (f"<main><p>Text</p>{thread}</main>", "<article><p>Text</p><div class=widget><article>teaser</article></div></article>", "<main><p>Text</p><aside><article>teaser</article></aside></main>"):
+        assert H.extract(page, ZERO) == "Text"
+
+
+def test_a_hint_can_be_outweighed_and_teaches_nothing(spark):
+    sure = np.zeros(10)
+    sure[9] = 3.0
+    page = "<article><p>Text.</p><p class=notice>A notice that belongs to it.</p><p>More.</p></article>"
+    assert H.extract(page, sure) == "Text.\nA notice that belongs to it.\nMore."
+    assert H.extract(page, ZERO) == "Text.\nMore."
+    assert H.extract(page.replace("p class=notice", "p hidden"), sure) == "Text.\nMore."
+    pages = [(k, f"<article><p>Long enough to be text, number {k}.</p><div class=ad>Long enough to be text, too.</div></article>") for k in range(20)]
+    assert not H.fit(spark.createDataFrame(pages, "url int, html string")).any()  # one kind of blocks only
+
+
 def test_smoothness_joins_a_doubtful_block():
     told = "A long sentence of the story that goes on, with commas, and ends well."
     page = f"<body><div><p>{told}</p><p>Hm ok</p><p>{told}</p></div></body>"
