@@ -4,9 +4,8 @@ A text is the mean of the embeddings of its hashed character n-grams; a linear l
 probability for each language. Training is stochastic gradient descent in numpy on a bounded sample:
 about ``PER_LANGUAGE`` labelled rows of each language, one stretch of each (its place and length by hash of
 the row's key). A fifth of the sample is held back to calibrate: one temperature makes the probabilities
-fit, and the threshold of rejection is the smallest score above which ``PRECISION`` of the accepted are
-right, unless that would reject more than ``MOST_LOST`` of the right ones, but at least ``EVEN``: what is
-as likely wrong as right is rejected.
+fit, and each language's threshold of rejection is the score that all but ``MOST_LOST`` of its right ones
+reach. A language without a right one held back has ``EVEN``: what is as likely wrong as right is rejected.
 
 Prediction reads whole texts and nothing else.
 
@@ -18,7 +17,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from riskloom.llm.ngrams import has_letter, hashed, pieces
 
 ORDERS, BITS, DIM = (2, 3, 4), 16, 16
 PER_LANGUAGE, SHORTEST, LONGEST, MOST_LANGUAGES = 3000, 20, 600, 500
-EPOCHS, LEAST_STEPS, RATE, EVEN, PRECISION, MOST_LOST = 4, 20_000, 0.4, 0.5, 0.95, 0.002
+EPOCHS, LEAST_STEPS, RATE, EVEN, MOST_LOST = 4, 20_000, 0.4, 0.5, 0.002
 UNKNOWN = "und"
 
 
@@ -41,7 +40,11 @@ class Identifier:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = EVEN
+    #: By language; EVEN for those that aren't in it.
+    thresholds: dict[str, float] = field(default_factory=dict)
+
+    def accepts(self, name: str, score: float) -> bool:
+        return name != UNKNOWN and score >= self.thresholds.get(name, EVEN)
 
     def logits(self, texts: list[str], table: np.ndarray) -> np.ndarray:
         """For each text; table: a row for each bucket, whose means are the logits without bias."""
@@ -138,10 +141,9 @@ def _calibrate(model: Identifier, buckets: list[np.ndarray], wanted: np.ndarray)
     model.temperature = float(min(np.geomspace(0.05, 20, 121), key=loss))
     p = _softmax(logits / model.temperature)
     right, score = p.argmax(axis=1) == wanted, p.max(axis=1)
-    if right.any():
-        bound = float(np.quantile(score[right], MOST_LOST))
-        good = [t for t in np.unique(np.concatenate([[0.0], score])) if right[score >= t].mean() >= PRECISION]
-        model.threshold = max(EVEN, min(good[0] if good else 1.0, bound))
+    for k, name in enumerate(model.languages):
+        if (of := right & (wanted == k)).any():
+            model.thresholds[name] = float(np.quantile(score[of], MOST_LOST, method="lower"))
 
 
 def identify(df: DataFrame, model: Identifier, text: str = "text") -> tuple[DataFrame, str, str, str]:
@@ -153,7 +155,7 @@ def identify(df: DataFrame, model: Identifier, text: str = "text") -> tuple[Data
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, at):
             names, scores = sent.value.predict([x or "" for x in part.column(at).to_pylist()])
-            good = [n != UNKNOWN and s >= sent.value.threshold for n, s in zip(names, scores, strict=True)]
+            good = [sent.value.accepts(n, s) for n, s in zip(names, scores, strict=True)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores), pa.array(good, pa.bool_())], names=[*part.schema.names, name, score, accepted])
 
     schema = df.select("*", F.lit("").alias(name), F.lit(0.0).alias(score), F.lit(True).alias(accepted)).schema

@@ -46,6 +46,28 @@ def test_language(documents):
     assert all(0 <= g[2] <= 1 for g in got)
 
 
+def test_language_thresholds_come_from_held_back_scores():
+    # scores depend on the first of two buckets alone: language k by k's row of the embedding
+    model = langid.Identifier(["aa", "bb"], np.zeros((400, 2)), np.eye(2), np.zeros(2))
+    lead = np.linspace(2, 6, 200)
+    model.embedding[:200, 0], model.embedding[200:, 1] = lead, lead + 3
+    wrong = list(range(0, 200, 8))  # so that the temperature doesn't saturate
+    langid._calibrate(model, [np.array([k]) for k in [*range(400), *wrong]], np.concatenate([np.repeat([0, 1], 200), np.ones(len(wrong), int)]))
+    score = lambda x: 1 / (1 + np.exp(-x / model.temperature))
+    assert model.thresholds == {"aa": pytest.approx(score(2)), "bb": pytest.approx(score(5))}
+    assert model.accepts("aa", score(2.1)) and not model.accepts("aa", score(1.9)) and score(1.9) > langid.EVEN
+    assert not model.accepts("bb", score(4.9)) and not model.accepts(langid.UNKNOWN, 1.0)
+
+
+def test_unlearned_language_is_rejected(documents):
+    model = langid.fit(documents([(k, mixed(FR if k % 2 else EN, k), "fr" if k % 2 else "en") for k in range(300)]))
+    odd = ["zażółć gęślą jaźń wczoraj poszedłem do sklepu", "köszönöm szépen a segítséget holnap találkozunk", "xq zj wv kp qz"]
+    out, _, score, accepted = langid.identify(documents([*enumerate(odd), (9, EN), (10, FR)]), model)
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert not any(rows[k][accepted] for k in range(3)) and rows[9][accepted] and rows[10][accepted]
+    assert any(rows[k][score] >= langid.EVEN for k in range(3))  # which a constant would accept
+
+
 def test_language_learns_nothing_from_held_out_rows(documents):
     rows = [(k, mixed(EN, k), "en") for k in range(100) if zlib.crc32(str(k).encode()) % 4 != 2]
     rows += [(k, mixed(FR, k), "fr") for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2]
