@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, html, langid, packing, perplexity, pii, sharding, simhash, toxicity
+from riskloom.llm import chat, decontaminate, html, langid, manifest, packing, perplexity, pii, sharding, simhash, toxicity
 from riskloom.llm.frames import bucket_of, table
 
 SHARDS = 16
@@ -69,6 +69,16 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*manifest.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    altered = manifest.leaf(F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in manifest.FIELDS)
+    rows = manifest.manifest(docs, claimed=F.when(tampered, altered))
+    folded = manifest.fold(F.coalesce("claimed", "leaf"), F.col("siblings"), F.col("sides"))
+    out = rows.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -106,6 +116,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+#: CRC-32 of the text {text}, four bits at a time; the list is the polynomial's fixed values for them.
+CRC32_SQL = r"""xor(list_reduce(list_transform(range(length(hex(encode({text})))),
+    lambda i: CAST(strpos('0123456789ABCDEF', substr(hex(encode({text})), CAST(xor(i, 1) AS INTEGER) + 1, 1)) - 1 AS BIGINT)),
+  lambda c, x: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(c, x) & 15) + 1]),
+  4294967295), 4294967295)"""
+
+_LEAF_SQL = "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST({n_chars} AS VARCHAR)", "text")) + ")"
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS g, {leaf} AS leaf,
+    CASE WHEN {crc} % 7 = 0 THEN {altered} END AS claimed
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d
+), up AS (
+  SELECT 0 AS level, g, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT level + 1, g, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY level, g, pos // 2, n
+), subroots AS (
+  SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), top AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 2, n
+), nodes AS (
+  SELECT 0 AS part, g, level, pos, n, digest FROM up UNION ALL SELECT 1, '', level, pos, n, digest FROM top
+), places AS (
+  SELECT row_number() OVER () AS r, leaves.*, subroot, subroots.pos AS of FROM leaves JOIN subroots USING (g)
+), ways AS (
+  SELECT r, 0 AS part, g, pos FROM places UNION ALL SELECT r, 1, '', of FROM places
+), steps AS (
+  SELECT r, part, a.level, CASE WHEN b.digest IS NULL THEN '.' WHEN (w.pos >> a.level) % 2 = 1 THEN '<' || b.digest ELSE '>' || b.digest END AS step
+  FROM ways w JOIN nodes a USING (part, g) LEFT JOIN nodes b ON b.part = w.part AND b.g = w.g AND b.level = a.level AND b.pos = xor(w.pos >> a.level, 1)
+  WHERE a.pos = w.pos >> a.level AND a.n > 1
+), proofs AS (
+  SELECT r, list(step ORDER BY part, level) AS proof FROM steps GROUP BY r
+), told AS (
+  SELECT doc_id, leaf, subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+    sha256(replace(array_to_string(list_transform(coalesce(proof, []), lambda s: s[2:]), ''), '.', '')) AS proof_sha256,
+    list_reduce(coalesce(proof, []), lambda d, s: CASE s[1] WHEN '.' THEN sha256(d) WHEN '<' THEN sha256(s[2:] || d) ELSE sha256(d || s[2:]) END, coalesce(claimed, leaf)) AS folded_root
+  FROM places LEFT JOIN proofs USING (r)
+)
+SELECT *, folded_root = root AS verified FROM told
+""".format(leaf=_LEAF_SQL.format(n_chars="n_chars"), altered=_LEAF_SQL.format(n_chars="n_chars + 1"), crc=CRC32_SQL.format(text="CAST(doc_id AS VARCHAR)"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_perplexity": op1_perplexity,
     "op2_language": op2_language,
@@ -117,5 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_manifest": op11_manifest,
 }
-ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_chat_formatting": OP10_SQL, "op11_manifest": OP11_SQL}

@@ -1,0 +1,109 @@
+"""The Merkle manifest against a recursive construction, and its defined cases."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskloom.llm import manifest
+from riskloom.llm.queries import op11_manifest
+
+ROWS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row):
+    told = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (row[0], row[1], row[2], row[3], row[4])]
+    return sha("".join(told))
+
+
+def tree(digests):
+    """(root, proof of each node as a list of levels) by whole levels, no queue."""
+    if len(digests) == 1:
+        return digests[0], [[]]
+    runs = [digests[k : k + 2] for k in range(0, len(digests), 2)]
+    root, above = tree([sha("".join(r)) for r in runs])
+    own = lambda k: ("." if len(runs[k // 2]) == 1 else ("<" if k % 2 else ">") + runs[k // 2][1 - k % 2])
+    return root, [[own(k), *above[k // 2]] for k in range(len(digests))]
+
+
+def expected(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf_of(row), row))
+    if not rows:
+        return []
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    made = {g: tree([x[2] for x in sorted(groups[g], key=lambda x: x[:3])]) for g in names}
+    root, tops = tree([made[g][0] for g in names])
+    out = []
+    for g, top in zip(names, tops, strict=True):
+        for (_, _, leaf, row), proof in zip(sorted(groups[g], key=lambda x: x[:3]), made[g][1], strict=True):
+            steps, key = [*proof, *top], row[0]
+            start = leaf_of((*row[:3], row[3] + 1, row[4])) if key is not None and row[3] is not None and zlib.crc32(str(key).encode()) % 7 == 0 else leaf
+            folded = start
+            for s in steps:
+                folded = sha(folded) if s == "." else sha(s[1:] + folded) if s[0] == "<" else sha(folded + s[1:])
+            out.append((key, leaf, made[g][0], root, sha("".join(s[1:] for s in steps)), folded, folded == root))
+    return out
+
+
+def check(spark, tmp_path, rows, extra=""):
+    df = spark.createDataFrame(rows, ROWS)
+    for name in filter(None, extra.split(",")):
+        df = df.withColumn(name, F.lit("x"))
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in op11_manifest(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(expected(rows), key=repr)
+    return got
+
+
+def test_small_groups(spark, tmp_path):
+    rows = [(k, "s", lang, 3, f"text {k}") for lang, ks in (("en", range(5)), ("de", [7]), (None, [9, 8]), ("zé", range(20, 28))) for k in ks]
+    got = check(spark, tmp_path, rows, "g,pos,n,digest,siblings,block")
+    assert 0 < sum(not r[-1] for r in got) < len(got)
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None, None), (None, "", "", 0, ""), (None, "", "", 0, ""), (5, "s", "", 4, "é" * 200_000), (5, "s", "", 4, "b"), (5, "t", "", 4, "a"), (14, "a", "x", None, "-")]
+    check(spark, tmp_path, rows + rows[:1])
+
+
+def test_several_rounds(spark, tmp_path):
+    """More rows than one block folds, half of them copies of one row."""
+    rows = [(k, "s", "en", k, "t") for k in range(1400)] + [(3, "s", "en", 3, "t")] * 1100
+    check(spark, tmp_path, rows)
+
+
+def test_many_groups(spark, tmp_path):
+    """More groups than a block of the upper tree holds."""
+    check(spark, tmp_path, [(k, "s", f"g{k % 1030}", k, "t") for k in range(1100)])
+
+
+def test_empty_table(spark, tmp_path):
+    assert check(spark, tmp_path, []) == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 13])
+def test_queue_sweeps(n):
+    digests = [sha(str(k)) for k in range(n)]
+    root, proofs = tree(digests)
+    height = max(n - 1, 0).bit_length()
+    top, children = manifest.rise(digests, height)
+    assert top == root
+    told = manifest.descend(children, height, "tail", "#")
+    assert told == [("".join(s[1:] for s in p) + "tail", "".join(s[0] for s in p) + "#") for p in proofs]
+
+
+def test_a_changed_row_is_found_by_its_proof(spark):
+    """The operator's own interface: proofs kept from before, leaves folded later."""
+    rows = [(k, "s", "en", k, f"t{k}") for k in range(9)]
+    kept = manifest.manifest(spark.createDataFrame(rows, ROWS)).select("doc_id", "root", "siblings", "sides")
+    later = spark.createDataFrame([(*r[:4], "changed" if r[0] == 4 else r[4]) for r in rows], ROWS)
+    now = later.select("doc_id", manifest.leaf(F.col(c) for c in manifest.FIELDS).alias("leaf")).join(kept, "doc_id")
+    wrong = now.where(manifest.fold(F.col("leaf"), F.col("siblings"), F.col("sides")) != F.col("root"))
+    assert [r["doc_id"] for r in wrong.collect()] == [4]
