@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, html, langid, manifest, packing, perplexity, pii, sharding, simhash, toxicity
+from riskloom.llm import chat, decontaminate, html, langid, manifest, packing, perplexity, pii, quality, sharding, simhash, toxicity
 from riskloom.llm.frames import bucket_of, table
 
 SHARDS = 16
@@ -79,6 +79,12 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, score = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -175,5 +181,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_manifest": op11_manifest,
+    "op13_quality": op13_quality,
 }
 ORACLES: dict[str, str] = {"op9_decontamination": OP9_SQL, "op10_chat_formatting": OP10_SQL, "op11_manifest": OP11_SQL}
