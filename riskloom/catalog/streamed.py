@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from riskloom.catalog import sql
-from riskloom.catalog.learning import RESULT_SQL, _fitted_trees, checked_results
+from riskloom.catalog.learning import RESULT_SQL, checked_results, fitted_trees
 from riskloom.catalog.registry import query, steady
 from riskloom.catalog.relational import COLS, boundaries
 from riskloom.operators import history, splitting
@@ -97,7 +97,7 @@ def history_stream(spark, sf):
 
 @query("score_stream", RESULT_SQL)
 def score_stream(spark, sf):
-    model, rows, _ = _fitted_trees(spark, sf)
+    model, rows, _ = fitted_trees(spark, sf)
     t1, _ = boundaries(spark, sf)
     txn = testbed.transactions(spark, sf)
     table = materialize(

@@ -1,20 +1,20 @@
-"""Feature matrix, class weights and the two models, all fitted by Spark ML."""
+"""Feature matrix, class weights and the two models: logistic regression by Spark ML, and boosted trees."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
+from riskloom.operators import boosting
+from riskloom.operators.boosting import BoostedTrees
 from riskloom.schema import DEFAULT, TxnColumns
-from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources.tables import align_columns, numeric_columns
 
 # The published settings of the two models.
@@ -27,6 +27,7 @@ BOOSTED_PARAMS = {
     "colsample": 0.4,
     "scale_pos_weight": "auto",
 }
+Model = PipelineModel | BoostedTrees
 # Fixed value: rounds without a better validation loss after which boosting stops.
 EARLY_STOPPING_ROUNDS = 50
 
@@ -98,17 +99,6 @@ def train_baseline(
     return Pipeline(stages=stages).fit(train.withColumn("weight", weight))
 
 
-def best_round(losses: Sequence[float], patience: int = EARLY_STOPPING_ROUNDS) -> int:
-    """How many rounds to keep: up to the best loss before ``patience`` rounds brought no better."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 def train_boosted_trees(
     train: DataFrame,
     features: Sequence[str],
@@ -120,76 +110,62 @@ def train_boosted_trees(
     subsample: float = BOOSTED_PARAMS["subsample"],
     colsample: float = BOOSTED_PARAMS["colsample"],
     pos_weight: float | str = BOOSTED_PARAMS["scale_pos_weight"],
-    early_stopping: int = EARLY_STOPPING_ROUNDS,
+    early_stopping: int | None = EARLY_STOPPING_ROUNDS,
     seed: int = 42,
-) -> PipelineModel:
-    """Gradient-boosted trees with positive-class weight, cut to the best validation round.
+    **options,
+) -> BoostedTrees:
+    """Second-order boosted trees with positive-class weight; see ``boosting.fit`` for ``options``.
 
-    Spark's own validation rule has no patience and stops at the first weak round. Here the
-    log loss of every round is measured on ``validation`` in one pass; the trees after the best
-    round are dropped.
+    With ``validation`` rows boosting stops ``early_stopping`` rounds after their least log loss (unweighted), and
+    the trees up to it are kept.
     """
-    # Boosting builds on its own residuals; Spark checkpoints them every ten rounds.
-    ensure_checkpoint_dir(train.sparkSession)
     if pos_weight == "auto":
         pos_weight = scale_pos_weight(train).first()["scale_pos_weight"]
-    weight = F.when(F.col("label") == 1, float(pos_weight)).otherwise(1.0)
-    rows = train.withColumn("weight", weight)
-
-    boosting = GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        maxIter=n_estimators,
-        maxDepth=max_depth,
-        stepSize=learning_rate,
-        subsamplingRate=subsample,
-        featureSubsetStrategy=str(colsample) if colsample < 1 else "all",
-        seed=seed,
-    )
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    trees = boosting.fit(assembler.transform(rows))
-    if validation is not None:
-        held_out = assembler.transform(validation.withColumn("weight", F.lit(1.0)))
-        trees = first_trees(trees, best_round(trees.evaluateEachIteration(held_out), early_stopping))
-    return PipelineModel([assembler, trees])
-
-
-def first_trees(model: GBTClassificationModel, keep: int) -> GBTClassificationModel:
-    """The ensemble of the first ``keep`` trees, which is what fewer rounds would have fitted."""
-    if keep >= model.getNumTrees:
-        return model
-    gateway, fitted = SparkContext._gateway, model._java_obj
-    ml = gateway.jvm.org.apache.spark.ml
-    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, keep)
-    weights = gateway.new_array(gateway.jvm.double, keep)
-    for k, (tree, weight) in enumerate(zip(fitted.trees()[:keep], model.treeWeights[:keep], strict=True)):
-        trees[k], weights[k] = tree, weight
-    cut = ml.classification.GBTClassificationModel(fitted.uid(), trees, weights, model.numFeatures, model.numClasses)
-    return model._copyValues(GBTClassificationModel(cut))
-
-
-def model_inputs(model: PipelineModel) -> list[str]:
+    return boosting.fit(
+        train, features, validation, n_estimators=n_estimators, max_depth=max_depth, learning_rate=learning_rate,
+        subsample=subsample, colsample=colsample, pos_weight=float(pos_weight), early_stopping=early_stopping, seed=seed, **options,
+    )
+
+
+def model_inputs(model: Model) -> list[str]:
     """The feature names a fitted model expects, in order."""
-    return model.stages[0].getInputCols()
+    return model.features if isinstance(model, BoostedTrees) else model.stages[0].getInputCols()
 
 
-def score(model: PipelineModel, df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def score(model: Model, df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Add ``score``, the probability of the positive class; keeps ``carry`` or all columns."""
-    scored = model.transform(df).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
+    if isinstance(model, BoostedTrees):
+        scored = df.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-model.margin(df.sparkSession))))
+    else:
+        scored = model.transform(df).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     return scored.select(*(carry or df.columns), "score")
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: Model, path: str) -> str:
+    if isinstance(model, BoostedTrees):
+        return model.save(SparkSession.active(), path)
     model.write().overwrite().save(path)
     return path
 
 
 def load_model(path: str) -> PipelineModel:
+    """A saved baseline."""
     return PipelineModel.load(path)
 
 
-def save_tree_stage(model: PipelineModel, path: str) -> str:
-    """The boosted trees alone, in the layout the explainer reads."""
-    model.stages[-1].write().overwrite().save(path)
-    return path
+def load_boosted_trees(path: str) -> BoostedTrees:
+    return BoostedTrees.load(SparkSession.active(), path)
+
+
+def training_parameters(model: Model, spark: SparkSession) -> DataFrame:
+    """``name, value`` rows: what a model was fitted with, its features and, for trees, the rounds kept."""
+    if isinstance(model, BoostedTrees):
+        told = {**model.params, "n_features": len(model.features), "best_iteration": model.best_iteration}
+    else:
+        lr = model.stages[-1]
+        told = {
+            "C_times_rows": 1.0 / lr.getRegParam(),
+            "max_iter": lr.getMaxIter(),
+            "n_features": len(model_inputs(model)),
+        }
+    return spark.createDataFrame([(k, float(v)) for k, v in told.items()], "name string, value double")

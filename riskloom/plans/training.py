@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +17,14 @@ TRAIN, VALIDATION, HOLDOUT = SPLITS
 
 @dataclass(frozen=True)
 class TrainedModels:
-    models: dict[str, PipelineModel]
+    models: dict[str, modelling.Model]
     features: list[str]
     # model, split, id, label, score
     scored: DataFrame
     # model, split, pr_auc, roc_auc, n, positives, n_features, best_iteration
     metrics: DataFrame
+    # model, name, value: what each was fitted with
+    parameters: DataFrame
 
 
 def train_and_evaluate(
@@ -58,11 +59,13 @@ def train_and_evaluate(
         scored = one if scored is None else scored.unionByName(one)
     assert scored is not None
     scored = materialize(scored, "scored")
-    trees = models["candidate"].stages[-1].getNumTrees
+    trees = models["candidate"].best_iteration
     metrics = ranking.evaluate(scored, ["model", "split"]).withColumns(
         {
             "n_features": F.lit(len(names)),
             "best_iteration": F.when(F.col("model") == "candidate", trees),
         }
     )
-    return TrainedModels(models, names, scored, metrics)
+    spark = split_features.sparkSession
+    told = [modelling.training_parameters(m, spark).select(F.lit(name).alias("model"), "name", "value") for name, m in models.items()]
+    return TrainedModels(models, names, scored, metrics, told[0].unionByName(told[1]))

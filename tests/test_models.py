@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import table
-from riskloom.operators import drift, explaining, modelling, ranking, scoring, treeshap
+from riskloom.operators import boosting, drift, explaining, modelling, ranking, scoring, treeshap
 from riskloom.plans.serving import BatchScorer, explain_extremes
 
 
@@ -38,7 +38,7 @@ def noisy_trees(spark):
     rows = [(i, *map(float, x[i]), int(y[i])) for i in range(500)]
     df = spark.createDataFrame(rows, "transaction_id long, a double, b double, c double, d double, label int")
     model = modelling.train_boosted_trees(
-        df, list("abcd"), n_estimators=5, max_depth=4, learning_rate=0.3, subsample=1.0, colsample=1.0
+        df, list("abcd"), n_estimators=5, max_depth=6, learning_rate=0.3, subsample=1.0, colsample=1.0
     )
     return df, model
 
@@ -93,64 +93,148 @@ def test_boosted_trees_separate(boosted, separable):
     assert modelling.model_inputs(boosted) == ["f1", "f2"]
 
 
-def test_patience():
-    assert modelling.best_round([0.5, 0.4, 0.45, 0.3, 0.31, 0.32], patience=2) == 4
-    assert modelling.best_round([0.5, 0.4, 0.45, 0.46, 0.1], patience=2) == 2
-    assert modelling.best_round([0.5], patience=50) == 1
+def test_rounds_kept():
+    assert boosting.best_round([0.9, 0.5, 0.4, 0.45, 0.3, 0.31]) == 4
+    assert boosting.best_round([0.1, 0.5, 0.6]) == 1 and boosting.best_round([0.7]) == 1
 
 
-def test_dropped_trees_leave_the_shorter_fit(spark, tmp_path):
-    rows = spark.range(400).selectExpr("id % 7 AS f1", "id % 11 * 1.5 AS f2", "int(id % 7 + id % 11 > 8) AS label")
-    fit = lambda n: modelling.train_boosted_trees(rows, ["f1", "f2"], n_estimators=n, max_depth=3, colsample=1.0)
-    long, short = fit(6), fit(4)
-    long.stages[-1] = modelling.first_trees(long.stages[-1], 4)
-    again = modelling.load_model(modelling.save_model(long, str(tmp_path / "cut")))
-    assert again.stages[-1].getNumTrees == 4
-    scores = [[r["score"] for r in modelling.score(m, rows).collect()] for m in (long, short, again)]
-    assert scores[0] == scores[2] == pytest.approx(scores[1], abs=1e-12)
-
-
-def test_early_stopping_cuts_the_ensemble(separable):
+def test_early_stopping_stops_while_fitting(separable):
     # Validation labels turned round: every further tree makes them worse.
     wrong = separable.withColumn("label", 1 - F.col("label"))
     model = modelling.train_boosted_trees(
-        separable, ["f1", "f2"], wrong, n_estimators=5, max_depth=2, learning_rate=0.3, colsample=1.0
+        separable, ["f1", "f2"], wrong, n_estimators=30, max_depth=2, learning_rate=0.3, colsample=1.0, early_stopping=3
     )
-    assert model.stages[-1].getNumTrees == 1
-
-
-def brute_shapley(boxes, x, n_features):
-    """Shapley values by their definition, with the tree's conditional expectation as the game."""
-
-    def value(known):
-        total = 0.0
-        for v, feats, low, high, share in boxes:
-            p = v
-            for f, lo, hi, z in zip(feats, low, high, share, strict=True):
-                p *= (float(lo < x[f] <= hi)) if f in known else z
-            total += p
-        return total
-
+    assert model.best_iteration == 1 and model.params["rounds_fitted"] == 4 and len(model.losses) == 5
+
+
+def test_boosted_trees_survive_a_round_trip(boosted, separable, tmp_path):
+    again = modelling.load_boosted_trees(modelling.save_model(boosted, str(tmp_path / "trees")))
+    assert again.features == boosted.features and again.params == boosted.params
+    scores = [[r["score"] for r in modelling.score(m, separable).collect()] for m in (boosted, again)]
+    assert scores[0] == scores[1]
+
+
+def naive_booster(x, y, edges, rounds, depth, rate, weight, columns_of, used_of, ridge=1.0, least=1.0):
+    """Second-order boosting by loops over thresholds: (margins, nodes of each tree) on the same bins."""
+    base = np.log(y.sum() * weight / (len(y) - y.sum()))
+    margin, trees = np.full(len(y), base), []
+    w = np.where(y == 1, weight, 1.0)
+    for r in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (p - y), w * p * (1 - p)
+        used, columns, out = used_of(r), columns_of(r), []
+
+        def grow(mine, d):
+            G, H = g[mine & used].sum(), h[mine & used].sum()  # noqa: B023
+            best = (1e-6, None, None)
+            if d < depth:
+                for f in columns:  # noqa: B023
+                    for cut in edges[f]:
+                        left = mine & (x[:, f] <= cut)
+                        a, b = g[left & used].sum(), h[left & used].sum()  # noqa: B023
+                        if b < least or H - b < least:
+                            continue
+                        gain = (a * a / (b + ridge) + (G - a) ** 2 / (H - b + ridge) - G * G / (H + ridge)) / 2
+                        if gain > best[0] * (1 + 1e-12):
+                            best = (gain, f, cut)
+            if best[1] is None:
+                out.append(("leaf", -rate * G / (H + ridge)))  # noqa: B023
+                margin[mine] += -rate * G / (H + ridge)
+                return
+            out.append((best[1], best[2]))  # noqa: B023
+            left = mine & (x[:, best[1]] <= best[2])
+            grow(left, d + 1)
+            grow(mine & ~left, d + 1)
+
+        grow(np.ones(len(y), bool), 0)
+        trees.append(out)
+    return margin, trees
+
+
+def told(tree, node=0):
+    """A fitted tree's nodes in the order the naive booster lists them."""
+    if tree.left[node] < 0:
+        return [("leaf", tree.value[node])]
+    return [(int(tree.feature[node]), tree.threshold[node]), *told(tree, tree.left[node]), *told(tree, tree.right[node])]
+
+
+@pytest.mark.parametrize("share, columns", [(1.0, 1.0), (0.8, 0.5)])
+def test_splits_and_leaves_are_those_of_a_naive_booster(spark, monkeypatch, share, columns):
+    """2,000 rows in several blocks and tasks; the last feature is constant, one has many values."""
+    rng = np.random.default_rng(5)
+    n = 2000
+    x = np.stack([rng.integers(0, 12, n), rng.integers(0, 5, n), rng.normal(size=n).round(1), np.ones(n)], axis=1).astype(float)
+    y = ((x[:, 0] > 6) ^ (x[:, 2] > 0.4) | (rng.random(n) < 0.1)).astype(int)
+    names = list("abcd")
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y, strict=True)], "a double, b double, c double, d double, label int").repartition(3).cache()
+    edges = boosting.bin_edges(df, names)
+    assert [len(e) for e in edges[:2]] == [11, 4] and 30 < len(edges[2]) < 63 and not len(edges[3])
+    model = modelling.train_boosted_trees(df, names, n_estimators=12, max_depth=3, learning_rate=0.3, subsample=share, colsample=columns, edges=edges, seed=9)
+    # The rows as the blocks hold them, to draw the same samples.
+    blocks = boosting._blocks(df.withColumn("validation", F.lit(False)), names, edges, "label").collect()
+    bins = np.concatenate([np.frombuffer(b["bins"], np.uint8).reshape(4, b["n"]) for b in blocks], axis=1)
+    x = np.stack([np.append(e, np.inf)[c] for e, c in zip(edges, bins, strict=True)], axis=1)
+    y = np.concatenate([np.frombuffer(b["label"], np.int8) for b in blocks]).astype(int)
+    used = lambda r: np.concatenate([boosting.sampled(9, r, b["id"], b["n"], share) for b in blocks])
+    chosen = lambda r: np.sort(np.random.default_rng([9, r]).choice(4, int(round(4 * columns)), replace=False))
+    margin, trees = naive_booster(x, y, edges, 12, 3, 0.3, (y == 0).sum() / (y == 1).sum(), chosen, used)
+    assert len(model.trees) == 12
+    for got, want in zip(model.trees, trees, strict=True):
+        mine = told(got)
+        assert [a for a, _ in mine] == [a for a, _ in want]
+        assert [b for _, b in mine] == pytest.approx([b for _, b in want], abs=1e-9)
+    scored = modelling.score(model, spark.createDataFrame([tuple(map(float, np.where(np.isinf(r), 1e9, r))) for r in x], "a double, b double, c double, d double"))
+    assert [r["score"] for r in scored.collect()] == pytest.approx(list(1 / (1 + np.exp(-margin))), abs=1e-9)
+
+
+def test_many_values_make_few_bins(spark):
+    df = spark.range(50_000).selectExpr("double(id) AS a", "double(id % 3) AS b", "cast(NULL AS double) AS c")
+    a, b, c = boosting.bin_edges(df, list("abc"), 64)
+    assert len(a) == 63 and np.abs(a - np.arange(1, 64) / 64 * 50_000).max() < 50_000 * 0.004
+    assert list(b) == [0.0, 1.0] and len(c) == 0
+
+
+def test_boosting_edge_cases(spark):
+    schema = "f1 double, f2 double, label int"
+    fit = lambda rows: modelling.train_boosted_trees(spark.createDataFrame(rows, schema), ["f1", "f2"], n_estimators=2, max_depth=2)
+    some = spark.createDataFrame([(1.0, None, 1), (None, 2.0, 0)], schema)
+    for rows in ([], [(1.0, 1.0, 1)], [(None, None, 0)] * 5):
+        model = fit(rows)
+        assert all(0 <= r["score"] <= 1 for r in modelling.score(model, some).collect())
+
+
+def game(tree, x, known, node=0):
+    """A tree's margin when only some features are known: the others follow the training weight."""
+    if tree.left[node] < 0:
+        return tree.value[node]
+    a, b = tree.left[node], tree.right[node]
+    if tree.feature[node] in known:
+        return game(tree, x, known, a if x[tree.feature[node]] <= tree.threshold[node] else b)
+    return (tree.cover[a] * game(tree, x, known, a) + tree.cover[b] * game(tree, x, known, b)) / tree.cover[node]
+
+
+def brute_shapley(trees, x, n_features):
+    """Shapley values by their definition."""
     phi = np.zeros(n_features)
     for i in range(n_features):
         others = [j for j in range(n_features) if j != i]
         for size in range(n_features):
             weight = math.factorial(size) * math.factorial(n_features - size - 1) / math.factorial(n_features)
             for known in itertools.combinations(others, size):
-                phi[i] += weight * (value({*known, i}) - value(set(known)))
+                phi[i] += weight * sum(game(t, x, {*known, i}) - game(t, x, set(known)) for t in trees)
     return phi
 
 
-def test_tree_contributions_are_shapley_values_and_add_up(spark, noisy_trees, tmp_path):
+def test_tree_contributions_are_shapley_values_and_add_up(spark, noisy_trees):
+    """At the published depth, with features that come again on a path."""
     df, model = noisy_trees
-    path = modelling.save_tree_stage(model, str(tmp_path / "trees"))
-    boxes, bias = treeshap.leaf_boxes(spark, path)
-    phi, _ = treeshap.tree_contributions(spark, path, F.array(*[F.col(c) for c in "abcd"]))
+    assert max(t.depth for t in model.trees) == 6
+    phi, bias = treeshap.tree_contributions(spark, model, F.array(*[F.col(c) for c in "abcd"]))
     rows = modelling.score(model, df).withColumn("phi", phi).collect()
     for r in rows:
         assert sum(r["phi"]) + bias == pytest.approx(math.log(r["score"] / (1 - r["score"])), abs=1e-8)
     for r in rows[:12]:
-        want = brute_shapley(boxes, np.array([r[c] for c in "abcd"]), 4)
+        want = brute_shapley(model.trees, np.array([r[c] for c in "abcd"]), 4)
         assert r["phi"] == pytest.approx(list(want), abs=1e-10)
 
 
