@@ -87,7 +87,7 @@ def history_stream(spark, sf):
     )
     out = working_dir(spark, "history")
     jobs.history_stream(
-        events, f"{out}/data", f"{out}/state", f"{out}/checkpoint", EVENT_COLS, once=True,
+        events, f"{out}/data", f"{out}/checkpoint", EVENT_COLS, once=True,
     ).awaitTermination()
     return spark.read.parquet(f"{out}/data").select(
         "event_id", F.col("key").alias("entity"), F.col("cnt").alias("hist_count"),

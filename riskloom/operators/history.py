@@ -13,12 +13,13 @@ from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
 from riskloom.session import materialize
 
-_SUMS = ("n", "y", "amt")
+SUMS = ("n", "y", "amt")
 # A time before any other.
 _FRONT = -(1 << 60)
 
 
-def _measured(df: DataFrame, cols: TxnColumns, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+def measured(df: DataFrame, cols: TxnColumns, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row and key column: id, time, ``carry``, ``key_type``, ``key`` and what is summed up: ``n``, ``y``, ``amt``."""
     narrow = df.select(
         cols.id,
         cols.time,
@@ -28,7 +29,7 @@ def _measured(df: DataFrame, cols: TxnColumns, keys: Sequence[str], carry: Seque
         F.col(cols.amount).cast("double").alias("amt"),
         *keys,
     )
-    return keys_long(narrow, keys, [cols.id, cols.time, *carry, *_SUMS], MISSING_KEY)
+    return keys_long(narrow, keys, [cols.id, cols.time, *carry, *SUMS], MISSING_KEY)
 
 
 def history_long(
@@ -46,18 +47,24 @@ def history_long(
     mean divides by rows, so a row without an amount still counts. ``earlier`` (``entity_sums``
     of rows before this frame) enters as one row in front of each entity.
     """
-    rows = _measured(df, cols, tuple(keys or cols.history_keys))
+    return history_of_measured(measured(df, cols, tuple(keys or cols.history_keys)), cols, strict=strict, earlier=earlier, cell_rows=cell_rows)
+
+
+def history_of_measured(
+    rows: DataFrame, cols: TxnColumns, *, strict: bool = False, earlier: DataFrame | None = None, cell_rows: int = 1_000_000
+) -> DataFrame:
+    """The same of rows that are in long form already (``measured``)."""
     by = ["key_type", "key"]
     if earlier is not None:
         front = earlier.select(
-            F.lit(None).cast(df.schema[cols.id].dataType).alias(cols.id), F.lit(_FRONT).alias(cols.time), *by, *_SUMS
+            F.lit(None).cast(rows.schema[cols.id].dataType).alias(cols.id), F.lit(_FRONT).alias(cols.time), *by, *SUMS
         )
         rows = rows.unionByName(front)
     if strict:
-        prior = prior_sums_strict(rows, by, cols.time, _SUMS, cell_rows=cell_rows)
+        prior = prior_sums_strict(rows, by, cols.time, SUMS, cell_rows=cell_rows)
     else:
         prior = prior_sums_by_time(
-            rows, by, cols.time, cols.id, _SUMS, cell_rows=cell_rows,
+            rows, by, cols.time, cols.id, SUMS, cell_rows=cell_rows,
         )
     if earlier is not None:
         prior = prior.where(F.col(cols.time).isNull() | (F.col(cols.time) != _FRONT))
@@ -74,13 +81,13 @@ def entity_sums(
     df: DataFrame, cols: TxnColumns = DEFAULT, keys: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows, label sum and amount sum per entity: ``key_type, key, n, y, amt``."""
-    return add_up(_measured(df, cols, tuple(keys or cols.history_keys)))
+    return add_up(measured(df, cols, tuple(keys or cols.history_keys)))
 
 
 def add_up(sums: DataFrame) -> DataFrame:
     """Entity sums of several periods as one."""
     return sums.groupBy("key_type", "key").agg(
-        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SUMS]
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SUMS]
     )
 
 
@@ -128,7 +135,7 @@ def entity_aggregates(
 
     One job for all keys. Null amounts are left out of the mean but counted in ``cnt``.
     """
-    rows = _measured(df, cols, tuple(keys or cols.history_keys), group)
+    rows = measured(df, cols, tuple(keys or cols.history_keys), group)
     return rows.groupBy(*group, "key_type", "key").agg(
         F.avg("y").alias("fraud_rate"), F.avg("amt").alias("amt_mean"), F.count(F.lit(1)).alias("cnt")
     )
@@ -163,7 +170,7 @@ def aggregates_by_target(
     for. Sums are formed per (source, entity) first; only those few rows are repeated per
     target. Result: ``target, key_type, key, fraud_rate, amt_mean, cnt``.
     """
-    rows = _measured(df.where(F.col(source).isin(*feeds)), cols, tuple(keys or cols.history_keys), [source])
+    rows = measured(df.where(F.col(source).isin(*feeds)), cols, tuple(keys or cols.history_keys), [source])
     sums = rows.groupBy(source, "key_type", "key").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("y").alias("y"),
@@ -216,17 +223,17 @@ def leakage_check(
     """
     keys = tuple(keys or cols.history_keys)
     by = ["key_type", "key"]
-    rows = _measured(df, cols, keys)
-    forward = prior_sums_by_time(rows, by, cols.time, cols.id, _SUMS, **options).select(
-        cols.id, *by, *[F.col(f"before_{s}") for s in _SUMS]
+    rows = measured(df, cols, keys)
+    forward = prior_sums_by_time(rows, by, cols.time, cols.id, SUMS, **options).select(
+        cols.id, *by, *[F.col(f"before_{s}") for s in SUMS]
     )
     reverse = rows.withColumns(
         {"_minus_time": -F.col(cols.time), "_minus_id": -F.col(cols.id)}
     )
-    after = prior_sums_by_time(reverse, by, "_minus_time", "_minus_id", _SUMS, **options).select(
-        cols.id, *by, *[F.col(s) for s in _SUMS], *[F.col(f"before_{s}").alias(f"after_{s}") for s in _SUMS]
+    after = prior_sums_by_time(reverse, by, "_minus_time", "_minus_id", SUMS, **options).select(
+        cols.id, *by, *[F.col(s) for s in SUMS], *[F.col(f"before_{s}").alias(f"after_{s}") for s in SUMS]
     )
-    totals = materialize(rows.groupBy(*by).agg(*[F.sum(s).alias(f"total_{s}") for s in _SUMS]), "totals")
+    totals = materialize(rows.groupBy(*by).agg(*[F.sum(s).alias(f"total_{s}") for s in SUMS]), "totals")
     both = lookup(forward.join(after, [cols.id, *by]), totals, by)
 
     def left_over(s: str):

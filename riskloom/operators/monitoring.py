@@ -50,3 +50,16 @@ def delayed_label_performance(
     """Ranking metrics per period over the scored rows whose label has arrived."""
     known = scored.join(labels, row_id)
     return ranking.evaluate(known, [period], score, "label")
+
+
+def labelled_performance(joined: DataFrame, period: str, score: str = "score") -> DataFrame:
+    """Per period: rows scored, with and without a label in time, and ranking metrics of those with one.
+
+    ``joined`` has a null ``label`` where none arrived (``streaming.jobs.labelled_stream``).
+    """
+    counts = joined.groupBy(period).agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count("label").alias("n_labelled"),
+        F.count_if(F.col("label").isNull()).alias("n_unlabelled"),
+    )
+    return counts.join(ranking.evaluate(joined.where(F.col("label").isNotNull()), [period], score, "label"), period, "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +13,8 @@ from riskloom.operators.monitoring import SCORE_BUCKETS
 from riskloom.operators.scoring import decide, recompute_features
 from riskloom.plans.serving import BatchScorer
 from riskloom.schema import DEFAULT, TxnColumns
+from riskloom.session import working_dir
+from riskloom.streaming import state
 
 
 def start_to_parquet(
@@ -102,70 +106,66 @@ def latest_windows(spark: SparkSession, path: str) -> DataFrame:
     return newest.select(*by, "row.*")
 
 
-class EntityTotals:
-    """Per-entity sums of everything seen in earlier micro-batches, kept as Parquet.
-
-    Each micro-batch leaves the totals of its own entities; every ``snapshot_every`` batches
-    they are summed into a snapshot, so a lookup reads one snapshot and a few small deltas. All
-    paths follow from the batch number alone: a replayed batch reads and writes the same ones.
-    """
-
-    def __init__(self, path: str, snapshot_every: int = 20) -> None:
-        self.path = path
-        self.every = snapshot_every
-
-    def before(self, spark, batch_id: int) -> DataFrame | None:
-        """Totals of all batches before this one, one row per entity and source batch."""
-        last = (batch_id // self.every) * self.every - 1
-        paths = [f"{self.path}/snapshot/{last}"] if last >= 0 else []
-        paths += [f"{self.path}/delta/{b}" for b in range(last + 1, batch_id)]
-        return spark.read.parquet(*paths) if paths else None
-
-    def add(self, totals: DataFrame, batch_id: int) -> None:
-        spark = totals.sparkSession
-        totals.write.mode("overwrite").parquet(f"{self.path}/delta/{batch_id}")
-        if (batch_id + 1) % self.every == 0:
-            whole = self.before(spark, batch_id)
-            own = spark.read.parquet(f"{self.path}/delta/{batch_id}")
-            whole = own if whole is None else whole.unionByName(own)
-            history.add_up(whole).write.mode("overwrite").parquet(f"{self.path}/snapshot/{batch_id}")
-
-
 def history_stream(
     events: DataFrame,
     path: str,
-    state: str,
     checkpoint: str,
     cols: TxnColumns = DEFAULT,
     *,
     once: bool = False,
-    snapshot_every: int = 20,
+    hot: Sequence[tuple[str, str]] = (),
+    ways: int = 16,
     **options,
 ) -> StreamingQuery:
     """Running entity history of a stream, one ``batch_id=N`` folder per micro-batch.
 
-    A micro-batch goes through the same bounded running sums as a batch table, with the totals
-    of earlier batches entering as one more row at the front of each entity; so a hot entity
-    is spread over tasks here as well. Rows are ordered by (time, id) inside a micro-batch; a
-    row that arrives later than its time is counted on arrival. Writes overwrite by batch
-    number, which makes a replay harmless.
+    Earlier totals come from the keyed state (``state.with_totals``, which see for ``hot`` and ``ways``). They enter
+    as one more row at the front of each entity, and the micro-batch goes through the same bounded running sums as a
+    batch table; so a hot entity is spread over tasks in both. Rows are ordered by (time, id) inside a micro-batch; a
+    row that arrives later than its time is counted on arrival. Writes overwrite by batch number, which makes a
+    replay harmless, and the state goes back to the batch before.
     """
-    totals = EntityTotals(state, snapshot_every)
+    spark = events.sparkSession
+    state.use_rocksdb(spark)
+    long = history.measured(events, cols, cols.history_keys)
+    staged = working_dir(spark, "staged")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        # Read by three jobs; lost blocks are recomputed from the source.
-        batch = batch.persist()
-        try:
-            own = history.entity_sums(batch, cols)
-            earlier = totals.before(batch.sparkSession, batch_id)
-            if earlier is not None:
-                seen = own.select("key_type", "key")
-                earlier = history.add_up(earlier.join(seen, ["key_type", "key"], "left_semi"))
-            prior = history.history_long(batch, cols, earlier=earlier, **options)
-            prior.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-            totals.add(own, batch_id)
-        finally:
-            batch.unpersist()
-
-    writer = events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+        # Written first: what follows reads it several times, and the state must be updated once.
+        place = f"{staged}/{batch_id}"
+        batch.write.mode("overwrite").parquet(place)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(place)
+        earlier = history.add_up(rows.where(F.col("kind") == state.TOTALS))
+        back = [F.col(c).cast(long.schema[name].dataType).alias(name) for c, name in (("id", cols.id), ("time", cols.time))]
+        mine = rows.where(F.col("kind") == state.ROW).select(*back, "key_type", "key", *history.SUMS)
+        prior = history.history_of_measured(mine, cols, earlier=earlier, **options)
+        prior.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = state.with_totals(long, cols, hot, ways).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def labelled_stream(
+    scored: DataFrame,
+    labels: DataFrame,
+    row_id: str,
+    *,
+    scored_at: str = "scored_at",
+    labelled_at: str = "labelled_at",
+    within: str = "30 days",
+    late_by: str = "1 day",
+) -> DataFrame:
+    """Scored rows with the label that arrives up to ``within`` after them, null when none does.
+
+    A left outer join of two streams: both sides wait in the state for as long as the other may still bring a
+    partner, which the watermarks (event time less ``late_by``) bound. A row with its label comes out at once, one
+    without when its time is up; a label after that finds nothing.
+    """
+    left = scored.withColumn(scored_at, F.col(scored_at).cast("timestamp")).withWatermark(scored_at, late_by).alias("s")
+    right = labels.select(F.col(row_id).alias("_id"), F.col("label"), F.col(labelled_at).cast("timestamp").alias(labelled_at)).withWatermark(labelled_at, late_by).alias("l")
+    met = (
+        (F.col(f"s.{row_id}") == F.col("l._id"))
+        & (F.col(f"l.{labelled_at}") >= F.col(f"s.{scored_at}"))
+        & (F.col(f"l.{labelled_at}") <= F.col(f"s.{scored_at}") + F.expr(f"INTERVAL {within}"))
+    )
+    return left.join(right, met, "left_outer").drop("_id")

@@ -3,12 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import table
 from riskloom.catalog.registry import steady
-from riskloom.operators import history
+from riskloom.operators import history, monitoring
 from riskloom.session import working_dir
 from riskloom.streaming import jobs
-from test_history import SCHEMA, skewed
+from test_history import skewed
 
 
 def stream(spark, df, path, parts, by):
@@ -21,33 +20,69 @@ def stream(spark, df, path, parts, by):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_history_stream_equals_batch_over_many_micro_batches(spark):
-    df = skewed(spark, 900)
+def history_rows(df):
+    cols = ["transaction_id", "key_type", "key", "cnt", F.round("fraud_rate", 9), steady(F.col("amt_mean"))]
+    return sorted(map(str, df.select(cols).collect()))
+
+
+@pytest.mark.parametrize("hot", [(), (("card1", "HOT"), ("addr1", "0"))])
+def test_history_stream_equals_batch_over_many_micro_batches(spark, hot):
+    """Ids beyond what a double holds, missing labels and amounts; with and without entities dealt to sub-keys."""
+    df = skewed(spark, 600).withColumn("transaction_id", F.col("transaction_id") + (1 << 60))
+    df = df.withColumn("is_fraud", F.when(F.col("transaction_id") % 17 != 0, F.col("is_fraud"))).cache()
     base = working_dir(spark, "history-test")
-    source = stream(spark, df, f"{base}/in", 5, "transaction_dt")
-    query = jobs.history_stream(
-        source, f"{base}/out", f"{base}/state", f"{base}/checkpoint", once=True,
-        snapshot_every=2, cell_rows=30,
-    )
+    source = stream(spark, df, f"{base}/in", 4, "transaction_dt")
+    query = jobs.history_stream(source, f"{base}/out", f"{base}/checkpoint", once=True, hot=hot, ways=3, cell_rows=30)
     query.awaitTermination()
     got = spark.read.parquet(f"{base}/out")
-    assert got.select("batch_id").distinct().count() == 5
-    want = history.history_long(df)
-    cols = ["transaction_id", "key_type", "cnt", F.round("fraud_rate", 9), steady(F.col("amt_mean"))]
-    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+    assert got.select("batch_id").distinct().count() == 4
+    assert history_rows(got) == history_rows(history.history_long(df))
 
 
-def test_history_stream_replays_a_batch_without_harm(spark):
-    df = skewed(spark, 200)
-    path = working_dir(spark, "totals-test")
-    totals = jobs.EntityTotals(path, snapshot_every=2)
-    sums = history.entity_sums(df)
-    for batch in (0, 0, 1, 1, 2):
-        totals.add(sums, batch)
-    seen = history.add_up(totals.before(spark, 3))
-    once, thrice = table(sums.where("key_type = 'card1'"), "key"), table(seen.where("key_type = 'card1'"), "key")
-    assert thrice["HOT"]["n"] == 3 * once["HOT"]["n"] and set(once) == set(thrice)
-    assert totals.before(spark, 0) is None
+def test_history_stream_goes_on_from_its_checkpoint(spark):
+    df = skewed(spark, 300)
+    base = working_dir(spark, "history-restart")
+    parts = [df.where(F.col("transaction_dt").between(a, b)) for a, b in ((0, 399_999), (400_000, 499_999), (500_000, 2_000_000))]
+    run = lambda hot: jobs.history_stream(
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in"),
+        f"{base}/out", f"{base}/checkpoint", once=True, hot=hot, ways=2,
+    ).awaitTermination()
+    for part, hot in zip(parts, ((), (), (("card1", "HOT"),)), strict=True):  # split at a later start
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run(hot)
+    assert history_rows(spark.read.parquet(f"{base}/out")) == history_rows(history.history_long(df))
+    run((("card1", "HOT"),))  # nothing new, nothing changes
+    assert spark.read.parquet(f"{base}/out").count() == history.history_long(df).count()
+
+
+def labelled(spark, base, scored, labels, parts=3):
+    """Both sides as streams of several files, joined in one drained run."""
+    for name, df, at in (("scored", scored, "scored_at"), ("labels", labels, "labelled_at")):
+        seconds = df.withColumn("_s", F.unix_timestamp(at).cast("double")).cache()
+        bounds = [float("-inf"), *seconds.approxQuantile("_s", [k / parts for k in range(1, parts)], 0.0), float("inf")]
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            seconds.where((F.col("_s") > low) & (F.col("_s") <= high)).drop("_s").coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+    read = lambda name, df: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}")
+    joined = jobs.labelled_stream(read("scored", scored), read("labels", labels), "id", within="5 days", late_by="1 hour")
+    jobs.start_to_parquet(joined, f"{base}/out", f"{base}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def test_labels_that_arrive_in_time_join_and_later_ones_do_not(spark):
+    """The last rows only move the watermarks past the others."""
+    at = lambda day, hour=0: f"2024-01-{day:02d} {hour:02d}:00:00"
+    scored = [(k, k / 10, at(1 + k, 3)) for k in range(6)] + [(99, 0.5, at(31))]
+    labels = [(0, 1, at(1, 3)), (1, 0, at(7, 3)), (2, 1, at(8, 4)), (3, 1, at(4, 2)), (4, None, at(6, 0)), (98, 0, at(31))]
+    cast = lambda rows, schema, name: spark.createDataFrame(rows, schema).withColumn(name, F.col(name).cast("timestamp"))
+    out = labelled(
+        spark, working_dir(spark, "labels-test"),
+        cast(scored, "id long, score double, scored_at string", "scored_at"), cast(labels, "id long, label int, labelled_at string", "labelled_at"),
+    )
+    # 0 at the same instant and 1 at the bound join; 2 is an hour late, 3 before its score, 5 without label
+    got = {r["id"]: (r["label"], r["labelled_at"] is not None) for r in out.collect()}
+    assert {k: v for k, v in got.items() if k != 99} == {0: (1, True), 1: (0, True), 2: (None, False), 3: (None, False), 4: (None, True), 5: (None, False)}
+    told = monitoring.labelled_performance(out.where("id < 99").withColumn("period", F.lit("all")), "period").first()
+    assert (told["n_scored"], told["n_labelled"], told["n_unlabelled"], told["n"], told["positives"]) == (6, 2, 4, 2, 1)
 
 
 def test_monitor_stream_holds_back_the_open_window(spark):
@@ -105,9 +140,3 @@ def test_score_stream_equals_batch(spark):
     want = scorer.score_batch(recompute_features(raw, table_, amount="amount"))
     assert got.count() == 300
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-
-
-def test_schema_is_the_shared_one():
-    assert "transaction_id long" in SCHEMA
-    with pytest.raises(TypeError):
-        jobs.EntityTotals()
