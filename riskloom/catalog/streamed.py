@@ -11,7 +11,7 @@ from riskloom.catalog import sql
 from riskloom.catalog.learning import RESULT_SQL, checked_results, fitted_trees
 from riskloom.catalog.registry import query, steady
 from riskloom.catalog.relational import COLS, boundaries
-from riskloom.operators import history, splitting
+from riskloom.operators import history, monitoring, splitting
 from riskloom.plans.serving import BatchScorer
 from riskloom.schema import TxnColumns
 from riskloom.session import materialize, working_dir
@@ -30,10 +30,18 @@ def stream_of(spark, path: str, files: str = "*.parquet"):
     return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(path)
 
 
+def _as_instant(events):
+    here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts")
+    return events.withColumn("ts", here.cast("timestamp"))
+
+
 def event_stream(spark, sf: str):
     """Events with their zone-free time read as UTC, whatever the session's zone is."""
-    here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts")
-    return stream_of(spark, sf, "events.parquet").withColumn("ts", here.cast("timestamp"))
+    return _as_instant(stream_of(spark, sf, "events.parquet"))
+
+
+def event_table(spark, sf: str):
+    return _as_instant(spark.read.parquet(os.path.join(sf, "events.parquet")))
 
 
 def _utc(name: str):
@@ -95,6 +103,41 @@ def history_stream(spark, sf):
     )
 
 
+_LABELLED = """SELECT event_id, ts, event_type = 'error' AS positive, CAST((event_id * 7907) % 997 AS DOUBLE) / CAST(997 AS DOUBLE) AS score,
+    CASE WHEN event_id % 7 <> 0 AND event_id % 10 <= 5 THEN CAST(event_type = 'error' AS INTEGER) END AS label FROM events"""
+
+
+@query(
+    "labelled_stream",
+    sql.with_(
+        f"""SELECT s.period, n_scored, n_labelled, n_scored - n_labelled AS n_unlabelled, round({sql.AP}, 6) AS pr_auc,
+        CAST(sum(n) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS positives
+        FROM (SELECT period, count(*) AS n_scored, count(label) AS n_labelled FROM closed GROUP BY period) s
+        LEFT JOIN c ON c.period = s.period GROUP BY s.period, n_scored, n_labelled""",
+        e=_LABELLED,
+        closed="""SELECT date_trunc('month', ts)::TIMESTAMP AS period, label, score FROM e
+        WHERE date_trunc('month', ts) + INTERVAL 1 MONTH + INTERVAL 5 DAY < (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        known="SELECT * FROM closed WHERE label IS NOT NULL",
+        c=sql.curve("known", "period"),
+    ),
+)
+def labelled_stream(spark, sf):
+    """Labels come 0 to 9 days after their events, or never; those within 5 days count, in months that are over."""
+    events = event_stream(spark, sf)
+    scored = events.select("event_id", "ts", (F.pmod(F.col("event_id") * 7907, F.lit(997)).cast("double") / 997.0).alias("score"))
+    arrived = F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 10).cast("int"))
+    labels = events.where("event_id % 7 <> 0").select("event_id", arrived.alias("labelled_at"), (F.col("event_type") == "error").cast("int").alias("label"))
+    joined = jobs.labelled_stream(scored, labels, "event_id", scored_at="ts", within="5 days", late_by="1 hour")
+    out = working_dir(spark, "labelled")
+    jobs.start_to_parquet(joined, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
+    rows = spark.read.parquet(f"{out}/data")
+    last = event_table(spark, sf).agg(F.max("ts")).first()[0]
+    month = F.date_trunc("month", "ts")
+    over = month + F.expr("INTERVAL 1 MONTH") + F.expr("INTERVAL 5 DAYS") < F.lit(last) - F.expr("INTERVAL 1 HOUR")
+    told = monitoring.labelled_performance(rows.where(over).withColumn("period", month), "period")
+    return told.select(_utc("period"), "n_scored", "n_labelled", "n_unlabelled", F.round("pr_auc", 6).alias("pr_auc"), "n", "positives")
+
+
 @query("score_stream", RESULT_SQL)
 def score_stream(spark, sf):
     model, rows, _ = fitted_trees(spark, sf)

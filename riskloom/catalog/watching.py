@@ -10,6 +10,7 @@ from riskloom.catalog.registry import query
 from riskloom.catalog.relational import COLS, scored, with_split
 from riskloom.operators import drift, encodings, monitoring, ranking, scoring
 from riskloom.plans import promotion
+from riskloom.session import materialize
 from riskloom.sources import testbed
 
 _DRIFT_COLUMNS = (
@@ -102,11 +103,31 @@ def column_drift(spark, sf):
     ),
 )
 def dataset_drift(spark, sf):
-    out = None
-    for method in ("ks", "wasserstein"):
-        part = drift.dataset_drift(_column_drift(spark, sf, method=method)).withColumn("method", F.lit(method))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, "drift_share")
+    train, holdout = _sides(spark, sf)
+    measured = materialize(drift.distances(train, holdout, drift.drift_columns(train, holdout, "is_fraud")), "drift")
+    by = [drift.dataset_drift(drift.flagged(measured, method=m)).withColumn("method", F.lit(m)) for m in ("ks", "wasserstein")]
+    return rounded(by[0].unionByName(by[1]), "drift_share")
+
+
+@query(
+    "column_drift_sketch",
+    sql.with_(
+        """SELECT column_name, n_ref, n_cur, true AS ks_within_error, true AS w1_close, w1_norm >= 0.1 AS drift_detected FROM dr""",
+        "sp", **DRIFT,
+    ),
+)
+def column_drift_sketch(spark, sf):
+    """Drift from sketches, beside the exact distances."""
+    train, holdout = _sides(spark, sf)
+    columns = drift.drift_columns(train, holdout, "is_fraud")
+    exact = drift.distances(train, holdout, columns).select("column_name", F.col("ks").alias("true_ks"), F.col("w1_norm").alias("true_w1"))
+    rough = drift.column_drift(train, holdout, columns, form="sketch").join(exact, "column_name")
+    return rough.select(
+        "column_name", "n_ref", "n_cur",
+        (F.abs(F.col("ks") - F.col("true_ks")) <= F.col("ks_error")).alias("ks_within_error"),
+        (F.abs(F.col("w1_norm") - F.col("true_w1")) <= 0.02 + 0.02 * F.col("true_w1")).alias("w1_close"),
+        "drift_detected",
+    )
 
 
 @query(

@@ -151,10 +151,40 @@ def test_rows_without_time_come_last(spark):
         assert [out[i]["card1_hist_count"] for i in (2, 3, 1)] == [0, 1, 2]
 
 
-def test_leakage_check_finds_no_mismatch(spark):
-    out = table(history.leakage_check(skewed(spark), cell_rows=20), "key_type")
-    assert {r["mismatches"] for r in out.values()} == {0}
-    assert {r["n_rows"] for r in out.values()} == {3000}
+@pytest.mark.parametrize("share", [1.0, 0.5])
+def test_leakage_check_finds_no_mismatch(spark, share):
+    """Rows without a time, an instant with many rows, and a card with a third of them."""
+    df = skewed(spark).withColumn("transaction_dt", F.when(F.col("transaction_id") % 50 != 7, F.col("transaction_dt")))
+    df = df.withColumn("transaction_id", F.when(F.col("transaction_id") != 11, F.col("transaction_id")))
+    out = table(history.leakage_check(df, cell_rows=20, share=share), "key_type")
+    assert all(r["mismatches"] == 0 for r in out.values())
+    if share == 1.0:
+        assert {r["n_rows"] for r in out.values()} == {3000} and len(out) == len(DEFAULT.history_keys)
+    else:
+        assert 0 < out["card1"]["n_rows"] < 3000
+
+
+def test_leakage_check_counts_planted_leaks(spark):
+    df = skewed(spark, 800)
+    given = history.history_long(df)
+    hit = lambda n: (F.col("key_type") == "card1") & (F.col("transaction_id") % n == 0)
+    own = given.withColumn("cnt", F.when(hit(10), F.col("cnt") + 1).otherwise(F.col("cnt")))
+    later = given.withColumn("fraud_rate", F.when(hit(40), F.coalesce("fraud_rate", F.lit(0.0)) + 0.001).otherwise(F.col("fraud_rate")))
+    lost = given.where(~hit(20))
+    for wrong, n in ((own, 80), (later, 20), (lost, 40), (given, 0)):
+        out = table(history.leakage_check(df, history=wrong), "key_type")
+        assert out["card1"]["mismatches"] == n and out["addr1"]["mismatches"] == 0, n
+
+
+def test_interval_sums_are_those_of_all_earlier_rows(spark):
+    rows = [(r["transaction_dt"], r["transaction_id"], r["card1"], r["transaction_amt"], r["is_fraud"]) for r in skewed(spark, 300).collect()]
+    df = spark.createDataFrame(rows, "transaction_dt long, transaction_id long, card1 string, transaction_amt double, is_fraud int")
+    got = history.recomputed_sums(history.measured(df, DEFAULT, ("card1",)), DEFAULT, ["key_type", "key"])
+    for r in got.collect():
+        before = [x for x in rows if (x[2] or "__MISSING__") == r["key"] and x[:2] < (r["transaction_dt"], r["transaction_id"])]
+        assert (r["before_n"], r["before_y"]) == (len(before), sum(x[4] for x in before))
+        assert r["before_amt"] == pytest.approx(sum(x[3] or 0 for x in before))
+
 
 
 def test_aggregates_by_target(spark):

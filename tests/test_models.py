@@ -370,6 +370,23 @@ def test_drift_distances(spark, options):
     assert out["a"]["drift_detected"] and out["a"]["ks_p"] < 1e-6 and out["b"]["ks_p"] > 0.05
 
 
+def test_sketched_drift_is_within_its_error(spark):
+    rng = np.random.default_rng(8)
+    n = 6000
+    ref = {"a": rng.normal(0, 1, n), "b": rng.integers(0, 4, n).astype(float), "c": rng.exponential(1, n)}
+    cur = {"a": rng.normal(0.4, 1, n), "b": rng.integers(0, 5, n).astype(float), "c": rng.exponential(1, n)}
+    frame = lambda d: spark.createDataFrame([(float(x), float(y), float(z), None if i % 3 else float("nan")) for i, (x, y, z) in enumerate(zip(*d.values(), strict=True))], "a double, b double, c double, empty double").repartition(5)
+    out = table(drift.column_drift(frame(ref), frame(cur), ["a", "b", "c", "empty"], form="sketch", k=400, points=200), "column_name")
+    assert set(out) == {"a", "b", "c"}
+    for name in "abc":
+        ks, w1 = two_sample(ref[name], cur[name])
+        assert abs(out[name]["ks"] - ks) <= out[name]["ks_error"] < 0.03
+        assert abs(out[name]["w1"] - w1) < 0.03 and (out[name]["n_ref"], out[name]["n_cur"]) == (n, n)
+    assert [out[c]["drift_detected"] for c in "abc"] == [True, True, False]
+    with pytest.raises(ValueError):
+        drift.column_drift(frame(ref), frame(cur), ["a"], form="rough")
+
+
 def test_dataset_drift_structure(spark):
     ref = spark.createDataFrame([(float(i), float(i), 1) for i in range(10)], "a double, b double, is_fraud int")
     cur = spark.createDataFrame([(float(i), i + 100.0, "x") for i in range(10)], "a double, b double, c string")
