@@ -15,7 +15,7 @@ from riskloom.operators import history, monitoring, splitting
 from riskloom.plans.serving import BatchScorer
 from riskloom.schema import TxnColumns
 from riskloom.session import materialize, working_dir
-from riskloom.sources import testbed
+from riskloom.sources import testbed, versions
 from riskloom.streaming import jobs
 
 EVENT_COLS = replace(
@@ -138,8 +138,8 @@ def labelled_stream(spark, sf):
     return told.select(_utc("period"), "n_scored", "n_labelled", "n_unlabelled", F.round("pr_auc", 6).alias("pr_auc"), "n", "positives")
 
 
-@query("score_stream", RESULT_SQL)
-def score_stream(spark, sf):
+def _requests(spark, sf):
+    """(stream folder, history table, model) of hold-out requests with their raw keys and amounts."""
     model, rows, _ = fitted_trees(spark, sf)
     t1, _ = boundaries(spark, sf)
     txn = testbed.transactions(spark, sf)
@@ -150,8 +150,25 @@ def score_stream(spark, sf):
     raw = txn.select("transaction_id", "card1", "addr1", F.col("transaction_amt").alias("new_amount"))
     out = working_dir(spark, "requests")
     rows.where("split = 'holdout'").drop("split", "label").join(raw, "transaction_id").write.parquet(f"{out}/in")
+    return out, table, model
+
+
+@query("score_stream", RESULT_SQL)
+def score_stream(spark, sf):
+    out, table, model = _requests(spark, sf)
     scored = jobs.score_stream(
         stream_of(spark, f"{out}/in"), table, BatchScorer(model, 0.5), cols=COLS, amount="new_amount"
     )
     jobs.start_to_parquet(scored, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
     return checked_results(spark.read.parquet(f"{out}/data"))
+
+
+@query("score_stream_versioned", RESULT_SQL)
+def score_stream_versioned(spark, sf):
+    out, table, model = _requests(spark, sf)
+    versions.publish(table, f"{out}/history")
+    jobs.score_stream_versioned(
+        stream_of(spark, f"{out}/in"), f"{out}/history", BatchScorer(model, 0.5), f"{out}/data", f"{out}/checkpoint",
+        cols=COLS, amount="new_amount", once=True,
+    ).awaitTermination()
+    return checked_results(spark.read.parquet(f"{out}/data/results"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import scalars as S
-from riskloom.operators.joining import keys_long, lookup
+from riskloom.operators.joining import keys_long, lookup, with_row_key
 from riskloom.schema import DEFAULT, TxnColumns
 from riskloom.session import materialize
 
@@ -49,11 +49,15 @@ def map_frequency(
     cols: TxnColumns = DEFAULT,
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``frequency_counts`` of a fitting period joined onto rows; null or unseen values get 0."""
+    """``frequency_counts`` of a fitting period joined onto rows; null or unseen values get 0.
+
+    Ids may repeat or be missing: each row gets its own values.
+    """
     keys = tuple(keys or cols.frequency_keys)
     stored = materialize(counts, "frequency")
-    found = lookup(keys_long(df, keys, [cols.id]), stored, ["key_type", "key"])
-    return df.join(spread_frequency(found, cols, keys), cols.id, "left")
+    rows, by_row = with_row_key(df, cols)
+    found = lookup(keys_long(rows, keys, [by_row.id]), stored, ["key_type", "key"])
+    return rows.join(spread_frequency(found, by_row, keys), by_row.id, "left").select(*df.columns, *[f"{k}_freq" for k in keys])
 
 
 def add_frequency(

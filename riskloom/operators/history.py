@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
-from riskloom.operators.joining import keys_long, lookup, require_unique
+from riskloom.operators.joining import keys_long, lookup, require_unique, with_row_key
 from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
 from riskloom.session import materialize
@@ -104,6 +104,10 @@ def history_columns(keys: Sequence[str]) -> list[Column]:
     return out
 
 
+def history_names(keys: Sequence[str]) -> list[str]:
+    return [f"{k}_hist_{part}" for k in keys for part in ("count", "fraud_rate", "amt_mean")]
+
+
 def spread_history(long: DataFrame, cols: TxnColumns, keys: Sequence[str]) -> DataFrame:
     """Long history back to one row per id.
 
@@ -149,12 +153,14 @@ def map_entity_history(
 ) -> DataFrame:
     """Frozen ``entity_aggregates`` of a fitting period joined onto later rows.
 
-    An unseen entity gets count 0 and null rate and mean; a null key is the missing entity.
+    An unseen entity gets count 0 and null rate and mean; a null key is the missing entity. Ids may repeat or be
+    missing: each row gets its own values.
     """
     keys = tuple(keys or cols.history_keys)
     stored = materialize(aggregates, "entity")
-    found = lookup(keys_long(df, keys, [cols.id], MISSING_KEY), stored, ["key_type", "key"])
-    return df.join(spread_history(found, cols, keys), cols.id, "left")
+    rows, by_row = with_row_key(df, cols)
+    found = lookup(keys_long(rows, keys, [by_row.id], MISSING_KEY), stored, ["key_type", "key"])
+    return rows.join(spread_history(found, by_row, keys), by_row.id, "left").select(*df.columns, *history_names(keys))
 
 
 def aggregates_by_target(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from riskloom.operators.validation import ValidationError, duplicate_keys
 from riskloom.schema import DEFAULT, TxnColumns
 from riskloom.session import materialize
 
+ROW_NUMBER = "_row_number"
 # A probe key above this many rows is joined apart from the others.
 HEAVY_KEY_ROWS = 1_000_000
 # Above this many rows a side is not broadcast.
@@ -50,6 +52,18 @@ def require_unique(df: DataFrame, cols: TxnColumns = DEFAULT) -> None:
         raise ValidationError(f"duplicate {cols.id} (the join key must be unique)")
 
 
+def with_row_key(df: DataFrame, cols: TxnColumns = DEFAULT) -> tuple[DataFrame, TxnColumns]:
+    """The frame, and its columns with a row id under which values that were found row by row come back.
+
+    That is the id where it is unique and never missing. Else the rows are stored with a number of their own, in
+    column ``ROW_NUMBER``, so that repeated ids keep apart.
+    """
+    missing = df.agg(F.count_if(F.col(cols.id).isNull())).first()[0]
+    if not missing and not duplicate_keys(df, cols=cols).first()["duplicate_keys"]:
+        return df, cols
+    return materialize(df, "numbered").withColumn(ROW_NUMBER, F.monotonically_increasing_id()), replace(cols, id=ROW_NUMBER)
+
+
 def key_text(df: DataFrame, column: str) -> Column:
     """An entity key as text; whole numbers have one form whatever their type: 315, 315.0 and "315.0" are "315"."""
     text = F.col(column).cast("string")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from riskloom.functions.scalars import sampling_order, zero_if_missing
 from riskloom.operators.joining import join_identity
 from riskloom.schema import DEFAULT, TxnColumns, identity_schema, transaction_schema
+from riskloom.sources import csvtext
 
 
 def scan_csv(
@@ -22,6 +23,7 @@ def scan_csv(
     required: Sequence[str] | None = None,
     others: Mapping[str, T.DataType] | None = None,
     rejects: str | None = None,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """CSV with a header, its columns found by name: in file order, no inference pass over the data.
 
@@ -30,6 +32,9 @@ def scan_csv(
     in ``others`` that matches their whole name, or as text. A row that doesn't fit its types goes to
     Parquet under ``rejects``, with its line; without ``rejects`` such a row is an error. A quote inside
     a quoted field is doubled, as spreadsheets and data frame tools write it.
+
+    Fields may hold line breaks, though not the header's; files stay splittable (``csvtext``). ``line_breaks`` says
+    whether they do; by default a scan looks first.
     """
     plain = spark.read.option("header", True).option("escape", '"')
     names = plain.csv(path).columns  # reads the first line
@@ -45,9 +50,15 @@ def scan_csv(
         return T.StructField(name, kind)
 
     fields = T.StructType([typed(n) for n in names])
+    line = "_rejected_line"
+    if csvtext.has_line_breaks(spark, path) if line_breaks is None else line_breaks:
+        mode = "FAILFAST" if rejects is None else "PERMISSIVE"
+        rows = csvtext.parsed(csvtext.records(spark, path), fields, line, {"escape": '"', "mode": mode})
+        if rejects is not None:
+            rows.where(F.col(line).isNotNull()).write.mode("overwrite").parquet(rejects)
+        return rows.where(F.col(line).isNull()).drop(line)
     if rejects is None:
         return plain.schema(fields).option("mode", "FAILFAST").csv(path)
-    line = "_rejected_line"
     rows = plain.schema(fields.add(line, T.StringType())).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line).csv(path)
     # The reader refuses queries on the line alone, so the filters look at another column too; it is always true.
     parsed = F.length(F.concat_ws("", F.col(fields.names[0]).cast("string"))) >= 0

@@ -14,6 +14,8 @@ from riskloom.operators.scoring import decide, recompute_features
 from riskloom.plans.serving import BatchScorer
 from riskloom.schema import DEFAULT, TxnColumns
 from riskloom.session import working_dir
+from riskloom.sources import versions
+from riskloom.sources.tables import path_exists
 from riskloom.streaming import state
 
 
@@ -47,6 +49,46 @@ def score_stream(
     return scorer.score_batch(fresh, carry)
 
 
+def score_stream_versioned(
+    requests: DataFrame,
+    history_path: str,
+    scorer: BatchScorer,
+    path: str,
+    checkpoint: str,
+    carry: tuple[str, ...] = ("transaction_id",),
+    cols: TxnColumns = DEFAULT,
+    amount: str | None = None,
+    *,
+    once: bool = False,
+) -> StreamingQuery:
+    """The same against the newest version of a table that is refreshed meanwhile (``sources.versions``).
+
+    Each micro-batch takes the newest version, records its number before it reads a row, and writes its results,
+    with the number, to a folder of its own. A replay finds the record and reads the version it read before. Keys
+    with many rows are set apart, as in any batch (``joining.lookup``).
+    """
+
+    def version_of(spark: SparkSession, batch_id: int) -> int:
+        record = f"{path}/versions/batch_id={batch_id}"
+        if path_exists(spark, f"{record}/_SUCCESS"):
+            return spark.read.parquet(record).first()["version"]
+        newest = versions.latest_version(spark, history_path)
+        if newest is None:
+            raise FileNotFoundError(f"no version under {history_path}")
+        spark.createDataFrame([(newest,)], "version int").coalesce(1).write.mode("overwrite").parquet(record)
+        return newest
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        version = version_of(spark, batch_id)
+        fresh = recompute_features(batch, versions.read_version(spark, history_path, version), cols, amount)
+        results = scorer.score_batch(fresh, carry).withColumn("history_version", F.lit(version))
+        results.write.mode("overwrite").parquet(f"{path}/results/batch_id={batch_id}")
+
+    writer = requests.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def monitor_stream(
     scored: DataFrame,
     time: str,

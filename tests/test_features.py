@@ -134,3 +134,19 @@ def test_period_filter_reaches_the_scan(spark, sf_dir, tmp_path):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(transaction_dt,1000)" in text and "LessThanOrEqual(transaction_dt,9000)" in text
     assert "ReadSchema: struct<transaction_dt:bigint,transaction_amt:double>" in text
+
+
+def test_repeated_and_missing_ids_get_their_own_values(spark):
+    """Frozen mappings come back row by row, whatever the ids are."""
+    from riskloom.operators import encodings, history
+
+    schema = "transaction_id long, transaction_dt long, transaction_amt double, is_fraud int, card1 string"
+    past = spark.createDataFrame([(1, 1, 2.0, 1, "A"), (2, 2, 4.0, 0, "A"), (3, 3, 6.0, 0, "C")], schema)
+    later = spark.createDataFrame([(7, 4, 1.0, 0, "A"), (7, 5, 1.0, 0, "B"), (None, 6, 1.0, 0, "C"), (None, 7, 1.0, 0, None)], schema)
+    out = history.map_entity_history(later, history.entity_aggregates(past, keys=["card1"]), keys=["card1"])
+    assert out.columns == [*later.columns, "card1_hist_count", "card1_hist_fraud_rate", "card1_hist_amt_mean"]
+    got = {r["transaction_dt"]: tuple(r)[-3:] for r in out.collect()}
+    assert got == {4: (2, 0.5, 3.0), 5: (0, None, None), 6: (1, 0.0, 6.0), 7: (0, None, None)}
+    freq = encodings.map_frequency(later, encodings.frequency_counts(past, keys=["card1"]), keys=["card1"])
+    assert {r["transaction_dt"]: r["card1_freq"] for r in freq.collect()} == {4: 2, 5: 0, 6: 1, 7: 0}
+    assert freq.columns == [*later.columns, "card1_freq"]

@@ -4,8 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.catalog.registry import steady
-from riskloom.operators import history, monitoring
+from riskloom.operators import history, modelling, monitoring
+from riskloom.operators.scoring import recompute_features
+from riskloom.plans.serving import BatchScorer
 from riskloom.session import working_dir
+from riskloom.sources import versions
 from riskloom.streaming import jobs
 from test_history import skewed
 
@@ -114,23 +117,24 @@ def test_a_drained_run_has_all_windows_over_many_micro_batches(spark):
     assert [(r["n"], r["reviewed"]) for r in out] == [(9, 4)] * 2
 
 
-def test_score_stream_equals_batch(spark):
-    from riskloom.operators import modelling
-    from riskloom.operators.scoring import recompute_features
-    from riskloom.plans.serving import BatchScorer
-
+@pytest.fixture(scope="module")
+def scoring(spark):
+    """(requests, history table, scorer)."""
     df = skewed(spark, 300)
     features = ["card1_hist_fraud_rate", "card1_hist_count", "transaction_amt_log"]
-    table_ = history.feature_history(df)
+    table_ = history.feature_history(df).cache()
     train = recompute_features(df.drop("transaction_amt").withColumn("amount", F.lit(12.5)), table_, amount="amount")
     model = modelling.train_boosted_trees(
         train.select(*features, F.col("is_fraud").alias("label")), features,
         n_estimators=3, max_depth=2, learning_rate=0.3, colsample=1.0,
     )
+    return df.select("transaction_id", "card1", "addr1", F.lit(12.5).alias("amount")), table_, BatchScorer(model, 0.5)
+
+
+def test_score_stream_equals_batch(spark, scoring):
+    raw, table_, scorer = scoring
     base = working_dir(spark, "score-test")
-    raw = df.select("transaction_id", "card1", "addr1", F.lit(12.5).alias("amount"))
     raw.coalesce(2).write.parquet(f"{base}/in")
-    scorer = BatchScorer(model, 0.5)
     source = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     query = jobs.start_to_parquet(
         jobs.score_stream(source, table_, scorer, amount="amount"), f"{base}/out", f"{base}/checkpoint", once=True
@@ -140,3 +144,31 @@ def test_score_stream_equals_batch(spark):
     want = scorer.score_batch(recompute_features(raw, table_, amount="amount"))
     assert got.count() == 300
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_refreshed_history_is_used_by_the_next_batch_and_not_by_a_replay(spark, scoring):
+    raw, table_, scorer = scoring
+    base = working_dir(spark, "versions-test")
+    fresh = table_.withColumn("fraud_rate", F.lit(0.9)).withColumn("cnt", F.col("cnt") + 1000)
+    run = lambda checkpoint: jobs.score_stream_versioned(
+        spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in"),
+        f"{base}/history", scorer, f"{base}/out", f"{base}/{checkpoint}", amount="amount", once=True,
+    ).awaitTermination()
+    parts = [raw.where("transaction_id < 150"), raw.where("transaction_id >= 150")]
+    for k, (table, part) in enumerate(zip((table_, fresh), parts, strict=True)):
+        assert versions.publish(table, f"{base}/history") == k + 1
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run("checkpoint")
+    versions.publish(table_.limit(0), f"{base}/history")
+    spark.range(1).write.parquet(f"{base}/history/v=9")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/history/v=9/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).delete(marker, False)  # a version that was never finished
+    assert versions.latest_version(spark, f"{base}/history") == 3
+    want = sorted(
+        str((*r, k + 1)) for k, (table, part) in enumerate(zip((table_, fresh), parts, strict=True))
+        for r in scorer.score_batch(recompute_features(part, table, amount="amount")).collect()
+    )
+    got = lambda: sorted(str(tuple(r)) for r in spark.read.parquet(f"{base}/out/results").drop("batch_id").collect())
+    assert got() == want
+    run("lost")  # the same batches from the start, as after a failure
+    assert got() == want
