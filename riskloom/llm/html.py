@@ -1,22 +1,24 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page is parsed into blocks of text. A classifier's log odds that a block is content, and what its
-containers say, become capacities to the terminals; neighbouring blocks, and blocks with the same parent,
-are joined by smoothness edges that weigh less the farther apart the blocks are in the tree. The minimum
-cut separates content from boilerplate.
-
-The classifier is a logistic regression on what the text looks like (length, links, punctuation, place,
-neighbours). It is trained here, without labels given: in a bounded sample of about ``PAGES`` pages, blocks
-in an article are content and blocks in menus, footers and the like are not. So it carries over to blocks
-whose containers say nothing.
-
-Elements, roles and hiding are certain; class names and ids only hint. A hint counts if it is a whole class
-token, weighs no more than the classifier and the edges can outweigh, teaches nothing, and ends at a <main>
-or <article> below it (at an <article> only if the hint is of no thread or list of other texts).
+A page is parsed into blocks of text. A classifier's log odds that a block is content become its capacities to
+the terminals; neighbouring blocks, and blocks with the same parent, are joined by smoothness edges that weigh
+less the farther apart the blocks are in the tree. The minimum cut separates content from boilerplate.
+
+The classifier is a logistic regression on what a block looks like (length, links, punctuation, place,
+neighbours), on how much of the page's text its parent holds, and on what its containers say: in an article, in
+an element of boilerplate, outside of a page's article, below a class name that hints. None of these is a verdict.
+It is trained here, without labels given: in a bounded sample of about ``PAGES`` pages, blocks in an article are
+content and blocks in menus, footers and the like, or outside of a page's article, are not. Each page is learned twice, once as it is and once as
+if its containers said nothing, so pages of plain ``div`` are told by their looks. Weights are drawn to ``PRIOR``,
+which stands alone where a sample has not both kinds.
+
+A hint counts if it is a whole class token, teaches nothing, and ends at a <main> or <article> below it (at an
+<article> only if the hint is of no thread or list of other texts). Only scripts, styles, titles and text areas
+are never text; hidden elements, formulas and what stands for scripts and frames are text like any other.
 
 Defined cases: a null or empty page, and one without content, has an empty text; tags that are cut off at
-the end, unclosed or closed twice are tolerated; repeated rows each have a result; an empty table gives no
-rows, and a sample without both kinds of blocks leaves the containers to decide.
+the end, unclosed or closed twice are tolerated; repeated rows each have a result; an empty table gives
+no rows, and a sample without both kinds of blocks leaves ``PRIOR``.
 """
 
 from __future__ import annotations
@@ -35,9 +37,14 @@ from riskloom.llm.frames import free_name, slices
 from riskloom.llm.mincut import label
 
 PAGES, BLOCKS_OF_A_PAGE, STEPS, PENALTY = 2000, 60, 400, 1e-3
-#: Log odds: at most from the classifier; in an article; in a container of boilerplate; in one that a class hints at. Smoothness of neighbours and of siblings.
-MOST, ARTICLE, BOILERPLATE, HINTED, NEAR, SIBLING = 3.0, 4.0, -12.0, -4.0, 2.0, 1.0
-UNIT = 1000
+#: Smoothness of neighbours and of siblings, in log odds; capacities are whole numbers of this part of one.
+NEAR, SIBLING, UNIT = 0.3, 1.0, 1000
+#: What the looks may say at most, whatever the sample: long texts in odd places would outweigh everything.
+MOST = 4.0
+#: Measures of a block: ten looks with a constant, three of its family, then what containers say.
+LOOKS, FAMILY = 10, 3
+SAYS = ("article", "boilerplate", "outside", "hinted")
+PRIOR = np.array([0.0] * (LOOKS + FAMILY) + [4.0, -7.0, -3.0, -8.0])
 
 # Element names of HTML.
 BLOCK_TAGS = frozenset(
@@ -46,9 +53,9 @@ BLOCK_TAGS = frozenset(
     " table tbody td template textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW_TAGS = frozenset("script style textarea title".split())
 PARAGRAPH_TAGS = frozenset("dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
-BOILERPLATE_TAGS = frozenset("aside button dialog footer form head menu nav option select".split())
+BOILERPLATE_TAGS = frozenset("aside dialog footer form head menu nav option select".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 #: A start tag of the first kind closes an open element of the second, unless one of the third is between.
 CLOSES = {
@@ -60,7 +67,7 @@ _LAYOUT = "ads?|adverts?|advertisement|banner|breadcrumbs?|consent|cookies?|foot
 _THREAD = "comments?|disqus|promo|related|replies|reply|respond|sponsored"
 HINTS = re.compile(rf"(?:(?:site|main|primary|secondary|top|bottom)[_-])?(?:{_LAYOUT}|{_THREAD})(?:[_-](?:{_LAYOUT}|{_THREAD}))*", re.I)
 THREADS = re.compile(rf"(?:^|[_-])(?:{_THREAD})(?:$|[_-])", re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""\b(class|id|role)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<[/a-zA-Z!?][^>]*\Z", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
@@ -111,15 +118,8 @@ class _Open:
 
 
 def _told(attributes: str) -> bool:
-    """Do an element's attributes say that it is boilerplate, or hidden?"""
-    for name, value in _ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'")
-        name = name.lower()
-        if name == "role" and value.lower() in _ROLES:
-            return True
-        if name == "hidden" or (name == "style" and "display:none" in value.replace(" ", "").lower()):
-            return True
-    return False
+    """Does an element's role say that it is boilerplate?"""
+    return any(name.lower() == "role" and value.strip("\"'").lower() in _ROLES for name, value in _ATTRIBUTE.findall(attributes))
 
 
 def _hint(attributes: str) -> int:
@@ -203,27 +203,45 @@ def parse(page: str) -> list[Block]:
 
 
 def looks(blocks: list[Block]) -> np.ndarray:
-    """What the classifier sees of each block."""
+    """What a block's text looks like, and what its parent holds."""
     n = len(blocks)
-    rows = np.zeros((n, 10))
+    rows = np.zeros((n, LOOKS + FAMILY))
+    size_of: dict[int, int] = {}
+    linked_of: dict[int, int] = {}
+    count_of: dict[int, int] = {}
     for k, b in enumerate(blocks):
         t, size = b.text, len(b.text)
         rows[k, :7] = (
             np.log1p(size), min(b.linked / size, 1.0), t[-1] in ".!?…\"'", (t.count(".") + t.count(",")) / (1 + t.count(" ")),
             sum(c.isdigit() for c in t[:200]) / min(size, 200), "©" in t or "|" in t, k / n,
         )
+        size_of[b.parent] = size_of.get(b.parent, 0) + size
+        linked_of[b.parent] = linked_of.get(b.parent, 0) + min(b.linked, size)
+        count_of[b.parent] = count_of.get(b.parent, 0) + 1
     rows[1:, 7] = rows[:-1, 0]
     rows[:-1, 8] = rows[1:, 0]
     rows[:, 9] = 1
+    whole = sum(size_of.values())
+    for k, b in enumerate(blocks):
+        rows[k, LOOKS:] = size_of[b.parent] / whole, linked_of[b.parent] / size_of[b.parent], np.log1p(count_of[b.parent])
     return rows
 
 
+def says(blocks: list[Block]) -> np.ndarray:
+    """What containers say of each block."""
+    some = any(b.article for b in blocks)
+    return np.array([(b.article and not b.boilerplate, b.boilerplate, some and not b.article, b.hinted and not b.boilerplate) for b in blocks], float).reshape(-1, len(SAYS))
+
+
+def odds(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
+    """The classifier's log odds of content."""
+    seen = np.clip(looks(blocks) @ weights[: LOOKS + FAMILY], -MOST, MOST)
+    return seen + says(blocks) @ weights[LOOKS + FAMILY :]
+
+
 def leans(blocks: list[Block], weights: np.ndarray) -> list[int]:
     """Log odds of content, in units of 1/1000."""
-    odds = np.clip(looks(blocks) @ weights, -MOST, MOST)
-    for k, b in enumerate(blocks):
-        odds[k] += BOILERPLATE if b.boilerplate else HINTED if b.hinted else ARTICLE if b.article else 0.0
-    return np.rint(odds * UNIT).astype(int).tolist()
+    return np.rint(odds(blocks, weights) * UNIT).astype(int).tolist()
 
 
 def edges(blocks: list[Block]) -> list[tuple[int, int, int]]:
@@ -236,44 +254,65 @@ def edges(blocks: list[Block]) -> list[tuple[int, int, int]]:
     return out
 
 
+def labels(blocks: list[Block], weights: np.ndarray) -> list[bool]:
+    return label(leans(blocks, weights), edges(blocks))
+
+
 def extract(page: str, weights: np.ndarray) -> str:
     blocks = parse(page)
-    return "\n".join(b.text for b, kept in zip(blocks, label(leans(blocks, weights), edges(blocks)), strict=True) if kept)
+    return "\n".join(b.text for b, kept in zip(blocks, labels(blocks, weights), strict=True) if kept)
 
 
 def fit(df: DataFrame, key: str = "url", html: str = "html", pages: int = PAGES) -> np.ndarray:
     """The classifier's weights, from about ``pages`` pages drawn by hash of their key and text."""
     n = df.count()
-    drawn = F.pmod(F.xxhash64(F.lit("page"), F.col(key).cast("string"), F.length(html)), F.lit(1 << 30)) / float(1 << 30)
+    drawn = F.pmod(F.xxhash64(F.lit("page"), F.col(key).cast("string"), F.col(html)), F.lit(1 << 30)) / float(1 << 30)
     rows = df.select(key, html).where(drawn < min(1.0, pages / max(n, 1)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             seen, content = [], []
             for page in part.column(1).to_pylist():
-                blocks = parse(page or "")
-                table = looks(blocks)
-                told = [k for k, b in enumerate(blocks) if b.boilerplate or (b.article and not b.hinted)]
-                for k in told[:: max(1, len(told) // BLOCKS_OF_A_PAGE)]:  # spread over the page
-                    seen.append(table[k].tolist())
-                    content.append(blocks[k].article and not blocks[k].boilerplate)
+                x, y = examples(parse(page or ""))
+                seen += x.tolist()
+                content += y.tolist()
             yield pa.RecordBatch.from_arrays([pa.array(seen, pa.list_(pa.float64())), pa.array(content, pa.bool_())], names=["x", "y"])
 
-    held = rows.mapInArrow(run, "x array<double>, y boolean").toArrow()
+    # A page that is there many times is one; the bound holds however the copies are drawn.
+    held = rows.dropDuplicates([html]).orderBy(F.xxhash64(F.lit("order"), html)).limit(2 * pages).mapInArrow(run, "x array<double>, y boolean").toArrow()
     if not held.num_rows:
-        return np.zeros(10)
-    x, y = np.array(held["x"].to_pylist()), held["y"].to_numpy().astype(float)
-    if y.min() == y.max():
-        return np.zeros(10)
+        return PRIOR
+    return train(np.array(held["x"].to_pylist()), held["y"].to_numpy().astype(float))
+
+
+def examples(blocks: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """(measures, content or not) of blocks whose containers tell, at most about ``BLOCKS_OF_A_PAGE``."""
+    some = any(b.article for b in blocks)
+    told = [k for k, b in enumerate(blocks) if b.boilerplate or (b.article and not b.hinted) or (some and not b.article)]
+    told = told[:: max(1, len(told) // BLOCKS_OF_A_PAGE)]  # spread over the page
+    if not told:
+        return np.zeros((0, len(PRIOR))), np.zeros(0, bool)
+    table = np.concatenate([looks(blocks), says(blocks)], axis=1)[told]
+    return table, np.array([blocks[k].article and not blocks[k].boilerplate for k in told])
+
+
+def train(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights by logistic regression, drawn to ``PRIOR``; each example also as if containers said nothing."""
+    if not len(y) or y.min() == y.max():
+        return PRIOR
     order = np.lexsort((*x.T, y))  # rows come in no fixed order
     x, y = x[order], y[order]
+    plain = x.copy()
+    plain[:, LOOKS + FAMILY :] = 0.0
+    x, y = np.concatenate([x, plain]), np.concatenate([y, y])
     spread = x.std(axis=0) + 1e-9
-    spread[9] = 1
+    spread[[9, *range(LOOKS + FAMILY, len(PRIOR))]] = 1
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w = np.zeros(10)
+    prior = PRIOR * spread
+    w = prior.copy()
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(x / spread @ w, -50, 50)))
-        w -= 0.5 * ((x / spread * (weight * (p - y))[:, None]).mean(axis=0) + PENALTY * w)
+        w -= 0.5 * ((x / spread * (weight * (p - y))[:, None]).mean(axis=0) + PENALTY * (w - prior))
     return w / spread
 
 
