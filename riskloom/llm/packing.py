@@ -38,14 +38,16 @@ class WordTokenizer:
 
     Texts of ASCII and Latin letters are split here, by the same rule as the tokenizer's own (lower case, then
     contractions, runs of letters, single digits, runs of signs); each word's ids come from the tokenizer once.
-    Any other text goes to the tokenizer as a whole.
+    Any other text, and one with the string of a control token, goes to the tokenizer as a whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # a control token's string in a text is ordinary text
+        # A control token's string in a text is that token, to the tokenizer; the split below doesn't know it.
+        control = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.control = re.compile("|".join(control) or r"(?!)", re.I)
         span = [chr(c) for c in range(0xA1, 0x130)]
         letters = "a-z" + "".join(re.escape(c) for c in span if unicodedata.category(c)[0] == "L")
         digits = "0-9" + "".join(re.escape(c) for c in span if unicodedata.category(c)[0] == "N")
@@ -70,7 +72,7 @@ class WordTokenizer:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        split = [self.word.findall(t.lower()) if self.plain.match(t) else None for t in texts]
+        split = [self.word.findall(t.lower()) if self.plain.match(t) and not self.control.search(t) else None for t in texts]
         seen: set[str] = set()
         for words in split:
             seen.update(words or ())
