@@ -47,16 +47,37 @@ def test_language(documents):
 
 
 def test_language_thresholds_come_from_held_back_scores():
-    # scores depend on the first of two buckets alone: language k by k's row of the embedding
-    model = langid.Identifier(["aa", "bb"], np.zeros((400, 2)), np.eye(2), np.zeros(2))
+    """By language and length; all languages together where one has few texts of a length."""
+    model = langid.Identifier(["aa", "bb"], np.zeros((1, 2)), np.eye(2), np.zeros(2))
     lead = np.linspace(2, 6, 200)
-    model.embedding[:200, 0], model.embedding[200:, 1] = lead, lead + 3
+    logits = np.stack([np.concatenate([lead, np.zeros(200), [9.0] * 5]), np.concatenate([np.zeros(200), lead + 3, [0.0] * 5])], axis=1)
+    wanted = np.concatenate([np.repeat([0, 1], 200), np.zeros(5, int)])
+    sizes = np.concatenate([np.full(400, 100.0), np.full(5, 5000.0)])
     wrong = list(range(0, 200, 8))  # so that the temperature doesn't saturate
-    langid._calibrate(model, [np.array([k]) for k in [*range(400), *wrong]], np.concatenate([np.repeat([0, 1], 200), np.ones(len(wrong), int)]))
-    score = lambda x: 1 / (1 + np.exp(-x / model.temperature))
-    assert model.thresholds == {"aa": pytest.approx(score(2)), "bb": pytest.approx(score(5))}
-    assert model.accepts("aa", score(2.1)) and not model.accepts("aa", score(1.9)) and score(1.9) > langid.EVEN
-    assert not model.accepts("bb", score(4.9)) and not model.accepts(langid.UNKNOWN, 1.0)
+    langid.calibrate(model, np.concatenate([logits, logits[wrong]]), np.concatenate([sizes, sizes[wrong]]), np.concatenate([wanted, np.ones(len(wrong), int)]))
+    score = lambda x: 1 / (1 + np.exp(-(x / model.temperature - langid.SLACK)))
+    assert model.thresholds == {("aa", 1): pytest.approx(score(2)), ("bb", 1): pytest.approx(score(5)), **{(None, n): pytest.approx(score(2)) for n in (0, 1, 2)}, **{(None, n): pytest.approx(score(9)) for n in (3, 4)}}
+    assert model.accepts("aa", score(2.1), 100) and not model.accepts("aa", score(1.9), 100)
+    assert not model.accepts("bb", score(4.9), 100) and not model.accepts(langid.UNKNOWN, 1.0, 100)
+    assert model.accepts("bb", score(9.1), 9000) and not model.accepts("bb", score(8.9), 9000)
+    empty = langid.Identifier(["aa"], np.zeros((1, 2)), np.eye(2), np.zeros(2))
+    assert empty.accepts("aa", langid.EVEN, 10) and not empty.accepts("aa", 0.49, 10)
+
+
+def test_rare_languages_are_left_out_beyond_the_most(documents, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [(k, mixed(EN, k), "en") for k in range(80)] + [(100 + k, mixed(FR, k), "fr") for k in range(60)] + [(200 + k, mixed(EN, k), "xx") for k in range(20)]
+    assert langid.fit(documents(rows)).languages == ["en", "fr"]
+
+
+def test_a_hot_key_is_drawn_row_by_row(documents):
+    """Half of the rows share a key and another half has none: the languages are learned, copies once."""
+    rows = [(1, mixed(EN, k), "en") for k in range(200)] + [(None, mixed(FR, k), "fr") for k in range(200)] + [(2, EN, "en")] * 300
+    df = documents(rows)
+    counts = langid.language_counts(df)
+    drawn = langid.sample(df, counts, per_language=60)
+    by = {name: [x for x, n in drawn if n == name] for name in ("en", "fr")}
+    assert all(20 < len(x) < 120 for x in by.values()) and len(set(drawn)) > 0.9 * len(drawn)
 
 
 def test_unlearned_language_is_rejected(documents):
@@ -68,6 +89,15 @@ def test_unlearned_language_is_rejected(documents):
     assert any(rows[k][score] >= langid.EVEN for k in range(3))  # which a constant would accept
 
 
+def test_clean_rows_are_kept(spark):
+    """Whole table: of the rows that are predicted right hardly any is rejected, held out or not."""
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = op2_language(spark, sf).collect()
+    right = [r for r in got if r["lang_pred"] == docs[r["doc_id"]]]
+    assert len(right) > 0.995 * len(docs) and sum(not r["accepted"] for r in right) <= 0.004 * len(docs)
+
+
 def test_language_learns_nothing_from_held_out_rows(documents):
     rows = [(k, mixed(EN, k), "en") for k in range(100) if zlib.crc32(str(k).encode()) % 4 != 2]
     rows += [(k, mixed(FR, k), "fr") for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2]
