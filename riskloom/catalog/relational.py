@@ -348,7 +348,7 @@ def _finding(name: str, spark, sf) -> DataFrame:
     good, bad = testbed.transactions(spark, sf), _shifted(spark, sf)
     out = None
     for source, df in (("as_is", good), ("shifted", bad)):
-        part = validation.validation_report(df, "train", COLS).where(F.col("check_name") == name)
+        part = validation.validation_report(df, "train", COLS, (name,))
         part = part.select(F.lit(source).alias("source"), "severity", "status", "value")
         out = part if out is None else out.unionByName(part)
     return out

@@ -20,7 +20,7 @@ from riskloom.catalog.evaluating import (
 from riskloom.catalog.registry import query
 from riskloom.catalog.relational import COLS, REPORT_ROWS, SUMMARY, both_models, interim
 from riskloom.catalog.watching import DRIFT
-from riskloom.operators import drift, encodings, explaining, ranking, selection, splitting, validation
+from riskloom.operators import drift, encodings, explaining, modelling, ranking, selection, splitting, validation
 from riskloom.plans import promotion
 from riskloom.session import materialize
 
@@ -32,8 +32,24 @@ def _rows(section: str, source: str, fields: dict[str, str] | list[str]) -> str:
     )
 
 
+_PUBLISHED = {
+    "baseline": modelling.BASELINE_PARAMS,
+    "candidate": {k: v for k, v in modelling.BOOSTED_PARAMS.items() if k != "scale_pos_weight"},
+}
 _BODY = (
     "SELECT 'dataset.' || stage AS section, check_name AS name, value FROM vr WHERE severity = 'stat'"
+    + "".join(
+        f" UNION ALL SELECT 'parameters.{model}', '{name}', CAST({value} AS DOUBLE)"
+        for model, told in _PUBLISHED.items() for name, value in told.items()
+    )
+    + _rows(
+        "'parameters.candidate'", "(SELECT is_fraud FROM sp WHERE split = 'train')",
+        {"scale_pos_weight": "CAST(count(*) FILTER (WHERE is_fraud = 0) AS DOUBLE) / count(*) FILTER (WHERE is_fraud = 1)"},
+    )
+    + _rows(
+        "'dataset.test'", "(SELECT device_type FROM sp WHERE split = 'holdout')",
+        {"identity_coverage": "round(CAST(count(device_type) AS DOUBLE) / count(*), 4)", "rows": "count(*)", "n_columns": "max(11)"},
+    )
     + _rows("'split.' || split", "summary", ["rows", "fraud_rate", "n_positives"])
     + _rows("'model.' || model || '.' || split", "cm", ["pr_auc", "roc_auc", "n", "positives"])
     + _rows(
@@ -76,6 +92,9 @@ def final_report_table(spark, sf):
     rows = splitting.assign_split(joined, t1, t2, COLS).withColumns(encodings.row_expressions(joined, COLS))
     train, holdout = rows.where("split = 'train'"), rows.where("split = 'holdout'")
     columns = drift.drift_columns(train, holdout, "is_fraud")
+    unlabelled = splitting.assign_split(joined, t1, t2, COLS).where("split = 'holdout'").drop("split", "is_fraud")
+    ratio = modelling.scale_pos_weight(train, "is_fraud").first()["scale_pos_weight"]
+    told = [(m, n, float(v)) for m, settings in _PUBLISHED.items() for n, v in settings.items()] + [("candidate", "scale_pos_weight", ratio)]
     out = promotion.final_report(
         validation.validation_report(joined, "train", COLS),
         splitting.split_summary(joined, t1, t2, COLS),
@@ -85,5 +104,7 @@ def final_report_table(spark, sf):
         importance,
         drift.dataset_drift(drift.column_drift(train, holdout, columns)),
         top_n=10,
+        test_validation=validation.validation_report(unlabelled, "test", COLS, ("identity_coverage", "rows", "n_columns")),
+        parameters=spark.createDataFrame(told, "model string, name string, value double"),
     )
     return rounded(out, "value")

@@ -82,7 +82,7 @@ def evaluate(
 ) -> DataFrame:
     """Both areas, rows and positives per group, from one pass.
 
-    ``options`` go to the running sums (``cells``, ``cell_rows``).
+    ``options`` go to the running sums (``cell_rows``).
     """
     return _collapse(
         _ranked(scored, by, score, label, **options),

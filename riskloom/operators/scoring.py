@@ -67,45 +67,22 @@ def operating_threshold(report: DataFrame, default: float = DEFAULT_THRESHOLD) -
 def recompute_features(
     requests: DataFrame, history: DataFrame, cols: TxnColumns = DEFAULT, amount: str | None = None
 ) -> DataFrame:
-    """Refresh history and amount features of raw requests and log how each value came about.
+    """Refresh history and amount features of raw requests and record where each value comes from.
 
-    ``requests`` carries the raw entity keys and other features, which stay as they are.
-    An unseen or absent entity gets zeros. The same call serves a batch and a stream.
+    ``requests`` carries the raw entity keys and other features, which stay as they are. An unseen or absent entity
+    gets zeros. The same call serves a batch and a stream. ``derivation`` has an entry per refreshed feature:
+    ``feature, value, origin`` (``seen`` history, ``new`` entity, ``given`` in the request), the ``entity`` and the
+    number of past ``rows`` behind it; a new entity has one entry for all its features.
     """
     out = requests
-    notes: list[Column] = []
+    entries: list[Column] = []
     for key in cols.online_keys:
         names = [f"{key}_hist_fraud_rate", f"{key}_hist_amt_mean", f"{key}_hist_count"]
-        rate, mean, count = (F.col(n) for n in names)
         out = lookup_feature_history(out.drop(*names), history, key, key)
-        shown = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("None")))
-        hit = count.isNotNull()
-        notes += [
-            _note(
-                names[0],
-                F.coalesce(rate, F.lit(0.0)),
-                F.when(
-                    hit,
-                    F.concat(
-                        shown, F.lit("; past rows: "), count.cast("string"),
-                        F.lit("; share of fraud: "), F.format_number(rate, 4),
-                    ),
-                ).otherwise(F.concat(shown, F.lit(" is a new entity: its history counts as 0"))),
-            ),
-            F.when(hit, _note(names[1], mean, F.concat(shown, F.lit("; average past amount: ")
-                              , F.format_number(mean, 2)))),
-            F.when(hit, _note(names[2], count, F.concat(shown, F.lit("; rows it has been seen in: ")
-                              , count.cast("string")))),
-        ]
-    if amount is not None:
-        raw = F.col(amount).cast("double")
-        notes.append(
-            F.when(
-                raw.isNotNull(),
-                _note(cols.amount, raw, F.concat(F.lit("amount as requested: "), F.format_number(raw, 2))),
-            )
-        )
-    out = out.withColumn("derivation", F.array_compact(F.array(*notes)))
+        rows = F.col(names[2])
+        seen = [F.when(rows.isNotNull(), _entry(n, F.col(n), "seen", F.col(key), rows)) for n in names]
+        unseen = F.when(rows.isNull(), _entry(names[0], F.lit(0.0), "new", F.col(key), F.lit(0)))
+        entries += [unseen, *seen]
     refreshed = {
         f"{k}_hist_{p}": F.coalesce(F.col(f"{k}_hist_{p}").cast("double"), F.lit(0.0))
         for k in cols.online_keys
@@ -113,13 +90,18 @@ def recompute_features(
     }
     if amount is not None:
         raw = F.col(amount).cast("double")
+        entries.append(F.when(raw.isNotNull(), _entry(cols.amount, raw, "given", F.lit(None), F.lit(None))))
         for name, value in {cols.amount: raw, **S.amount_parts(raw, cols.amount)}.items():
             # An amount that is not given leaves the old feature in place.
             refreshed[name] = F.coalesce(value, F.col(name)) if name in out.columns else value
-    return out.withColumns(refreshed)
+    return out.withColumn("derivation", F.array_compact(F.array(*entries))).withColumns(refreshed)
 
 
-def _note(feature: str, value: Column, text: Column) -> Column:
+def _entry(feature: str, value: Column, origin: str, entity: Column, rows: Column) -> Column:
     return F.struct(
-        F.lit(feature).alias("feature"), value.cast("double").alias("value"), text.alias("note")
+        F.lit(feature).alias("feature"),
+        value.cast("double").alias("value"),
+        F.lit(origin).alias("origin"),
+        entity.cast("string").alias("entity"),
+        rows.cast("long").alias("rows"),
     )

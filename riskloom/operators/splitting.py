@@ -14,8 +14,9 @@ def split_boundaries(
     df: DataFrame, train_frac: float = 0.70, val_frac: float = 0.15, cols: TxnColumns = DEFAULT
 ) -> DataFrame:
     """One row ``t1, t2``: interpolated time quantiles."""
-    if train_frac <= 0 or val_frac <= 0 or train_frac + val_frac >= 1:
-        raise ValueError("need train_frac > 0, val_frac > 0 and train_frac + val_frac < 1")
+    shares = dict(zip(SPLITS, (train_frac, val_frac, round(1 - train_frac - val_frac, 12)), strict=True))
+    if empty := [name for name, share in shares.items() if share <= 0]:
+        raise ValueError(f"no rows left for {', '.join(empty)}")
     return exact_quantiles(df, cols.time, {"t1": train_frac, "t2": train_frac + val_frac})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +73,10 @@ def safe_share(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 4)
 
 
-def validation_report(df: DataFrame, stage: str, cols: TxnColumns = DEFAULT) -> DataFrame:
-    """All findings as rows ``stage, check_name, severity, status, value``.
+def validation_report(
+    df: DataFrame, stage: str, cols: TxnColumns = DEFAULT, checks: Sequence[str] | None = None
+) -> DataFrame:
+    """All findings, or those of some ``checks``, as rows ``stage, check_name, severity, status, value``.
 
     ``severity`` is error, warning or stat; ``status`` is pass or fail (stats always pass).
     A missing label on the train stage is reported twice, as a missing column and as a
@@ -84,6 +88,7 @@ def validation_report(df: DataFrame, stage: str, cols: TxnColumns = DEFAULT) ->
     n_columns = len(df.columns)
 
     def row(name: str, severity: str, failed: Column, value: Column) -> Column:
+        names.append(name)
         return F.struct(
             F.lit(stage).alias("stage"),
             F.lit(name).alias("check_name"),
@@ -93,6 +98,7 @@ def validation_report(df: DataFrame, stage: str, cols: TxnColumns = DEFAULT) ->
         )
 
     ok = F.lit(False)
+    names: list[str] = []
     entries = [row("required_columns", "error", F.lit(bool(missing)), F.lit(len(missing)))]
     if cols.time in df.columns:
         entries.append(row("time_range", "error", F.col("min_time") < 0, F.col("min_time")))
@@ -119,8 +125,12 @@ def validation_report(df: DataFrame, stage: str, cols: TxnColumns = DEFAULT) ->
         row("rows", "stat", ok, F.col("rows")),
         row("n_columns", "stat", ok, F.lit(n_columns)),
     ]
-    report = df.agg(*[c.alias(n) for n, c in stats.items()]).select(F.inline(F.array(*entries)))
-    if cols.id in df.columns:
+    wanted = [e for name, e in zip(names, entries, strict=True) if checks is None or name in checks]
+    one = df.agg(*[c.alias(n) for n, c in stats.items()])
+    report = one.select(F.inline(F.array(*(wanted or entries))))
+    if not wanted:
+        report = report.limit(0)
+    if cols.id in df.columns and (checks is None or "unique_key" in checks):
         dup = F.col("duplicate_keys")
         unique = duplicate_keys(df, cols=cols).select(
             F.inline(F.array(row("unique_key", "error", dup > 0, dup)))

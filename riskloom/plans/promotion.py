@@ -78,9 +78,17 @@ def final_report(
     importance: DataFrame,
     drift: DataFrame,
     top_n: int | None = None,
+    *,
+    test_validation: DataFrame | None = None,
+    parameters: DataFrame | None = None,
 ) -> DataFrame:
-    """Every figure of a model card as ``section, name, value`` rows; ``top_n``: how many features, default all."""
-    stats = validation.where(F.col("severity") == "stat").select(
+    """Every figure of a model card as ``section, name, value`` rows; ``top_n``: how many features, default all.
+
+    ``test_validation`` is the report of the stage without labels, ``parameters`` (``model, name, value``) what the
+    models were fitted with.
+    """
+    staged = validation if test_validation is None else validation.unionByName(test_validation)
+    stats = staged.where(F.col("severity") == "stat").select(
         F.concat(F.lit("dataset."), "stage").alias("section"), F.col("check_name").alias("name"), "value"
     )
     listed = importance if top_n is None else importance.where(F.col("place") <= top_n)
@@ -103,6 +111,9 @@ def final_report(
     monitoring = as_rows(drift, "monitoring", ["drifted_columns", "total_columns", "dataset_drift"])
     gathered = promotion.withColumn("section", F.concat(F.lit("promotion."), "section"))
     out = stats
+    if parameters is not None:
+        fitted = F.concat(F.lit("parameters."), "model").alias("section")
+        out = out.unionByName(parameters.select(fitted, "name", F.col("value").cast("double").alias("value")))
     for part in (per_split, per_model, versus, gathered, top, monitoring):
         out = out.unionByName(part)
     return out
