@@ -4,6 +4,7 @@ import pytest
 
 from oracle import compare, connect
 from riskloom.catalog import ORACLES, QUERIES
+from riskloom.catalog.learning import ROUNDS
 
 
 @pytest.fixture(scope="module")
@@ -28,10 +29,26 @@ def test_promotion_figures_agree_with_the_report(spark, sf_dir):
 
 def test_final_report_has_all_sections(spark, sf_dir):
     sections = {r["section"].split(".")[0] for r in QUERIES["final_report_table"](spark, sf_dir).collect()}
-    assert sections == {"dataset", "split", "model", "comparison", "promotion", "explainability", "monitoring"}
+    assert sections == {"dataset", "parameters", "split", "model", "comparison", "promotion", "explainability", "monitoring"}
 
 
 def test_models_learn_something(spark, sf_dir):
     for name in ("train_baseline", "train_boosted_trees"):
         train = {r["split"]: r for r in QUERIES[name](spark, sf_dir).collect()}["train"]
         assert train["pr_auc"] > 2 * train["positives"] / train["n"] and train["roc_auc"] > 0.6
+
+
+def test_tree_queries_tell_one_story(spark, sf_dir):
+    """Contributions, importance and factors of the fitted trees agree with each other."""
+    values = QUERIES["tree_contribution_values"](spark, sf_dir).toPandas()
+    importance = {r["feature"]: r["importance"] for r in QUERIES["tree_importance"](spark, sf_dir).collect()}
+    mean = values.assign(size=values["contribution"].abs()).groupby("feature")["size"].mean()
+    assert importance == pytest.approx(mean.to_dict()) and max(importance.values()) > 0
+    best = values.sort_values(["transaction_id", "contribution", "feature"], ascending=[True, False, True]).groupby("transaction_id").head(5)
+    factors = QUERIES["tree_risk_factors"](spark, sf_dir).toPandas().sort_values(["transaction_id", "place"])
+    assert list(factors["contribution"]) == pytest.approx(list(best["contribution"]))
+    told = {r["name"]: r["value"] for r in QUERIES["training_parameters"](spark, sf_dir).collect()}
+    assert told["max_depth"] == 6 and told["learning_rate"] == 0.02 and 1 <= told["best_iteration"] <= told["rounds_fitted"] <= ROUNDS
+    assert told["validation_loss_0000"] > told[f"validation_loss_{int(told['best_iteration']):04d}"]
+    ends = QUERIES["tree_extremes"](spark, sf_dir).toPandas()
+    assert set(ends["extreme"]) == {"highest", "lowest"} and len(ends) == 50
