@@ -12,7 +12,7 @@ fingerprint its component's smallest within the task, never the pairs.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero and is linked like any
 other; a null key takes part but names no component; repeated rows are one component; an empty table gives
-no rows; of rows with one fingerprint and key ``keep_one`` keeps one.
+no rows; of rows with one fingerprint and key ``keep_one`` keeps one, and one of a component whose keys are all null.
 """
 
 from __future__ import annotations
@@ -238,13 +238,13 @@ def links(prints: DataFrame, name: str = "fingerprint", held_rows: int = HELD) -
 
 
 def components(prints: DataFrame, key: str = "doc_id", name: str = "fingerprint") -> DataFrame:
-    """(fingerprint, component_id) of each distinct fingerprint; ``prints`` (key, fingerprint) is read several times, so store it."""
+    """(fingerprint, component_id, root) of each distinct fingerprint; ``prints`` (key, fingerprint) is read several times, so store it."""
     ensure_checkpoint_dir(prints.sparkSession)
     distinct = prints.groupBy(name).agg(F.min(key).alias("least")).checkpoint()
     rooted = connected(links(distinct, name)).withColumnRenamed("node", name)
     named = distinct.join(rooted, name, "left").select(name, "least", F.coalesce("root", name).alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(smallest, "root").select(name, "component_id")
+    return named.join(smallest, "root").select(name, "component_id", "root")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,10 +259,8 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     print_name, row_name = free_name(df, "fingerprint"), free_name(df, "row")
     rows = stored(with_fingerprint(df, text, print_name).withColumn(row_name, F.monotonically_increasing_id()), "fingerprinted")
     narrow = rows.select(F.col(key).alias("k"), F.col(print_name).alias("fingerprint"), F.col(row_name).alias("row"))
-    named = narrow.join(components(narrow, "k").withColumnRenamed("component_id", "c"), "fingerprint")
-    # A component of null keys has no id: its fingerprints' smallest row stands for it.
-    first = F.min(F.struct(F.col("k").isNull(), "k", "row"))["row"]
-    kept = named.where("k = c").groupBy("c").agg(first.alias("row")).select("row")
-    nameless = named.where("c is null").groupBy("fingerprint").agg(F.min("row").alias("row")).select("row")
-    kept = kept.unionAll(nameless).withColumnRenamed("row", row_name)
+    # One row stands for a fingerprint before anything is joined, so copies don't meet in one task. Null keys come last.
+    first = narrow.groupBy("fingerprint").agg(F.min(F.struct(F.col("k").isNull(), "k", "row")).alias("first"))
+    roots = components(narrow, "k").select("fingerprint", "root")
+    kept = first.join(roots, "fingerprint").groupBy("root").agg(F.min("first")["row"].alias(row_name)).select(row_name)
     return rows.join(kept, row_name, "left_semi").select(*df.columns)

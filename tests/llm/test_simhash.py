@@ -133,6 +133,14 @@ def test_near_duplicates_and_keep_one(documents):
     assert S.keep_one(df.limit(0)).collect() == [] == S.near_duplicates(df.limit(0)).collect()
 
 
+def test_one_row_of_a_component_without_keys_stays(documents):
+    text = " ".join(f"other{k}" for k in range(400))
+    near = next(x for x in (text + f" x{k} y{k} z{k}" for k in range(100)) if 0 < (brute_print(text) ^ brute_print(x)).bit_count() <= 3)
+    assert 0 < (brute_print(text) ^ brute_print(near)).bit_count() <= 3
+    kept = S.keep_one(documents([(None, text), (None, near), (None, near), (None, "alone")])).collect()
+    assert len(kept) == 2 and sum(r["text"] == "alone" for r in kept) == 1
+
+
 def test_clashing_columns_stay(spark):
     df = spark.createDataFrame([(1, "a b c", 5, "r"), (2, "a b c", 6, "s")], "doc_id long, text string, fingerprint int, row string")
     assert [r.asDict() for r in S.keep_one(df).collect()] == [{"doc_id": 1, "text": "a b c", "fingerprint": 5, "row": "r"}]
