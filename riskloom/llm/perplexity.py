@@ -1,10 +1,15 @@
 """Quality rules: base counts of a text and the perplexity of a modified Kneser-Ney n-gram model.
 
-The model's units are 64 character classes, its order is 4. Spark counts every 4-gram of every text;
-lower orders are continuation counts of the distinct ones. A model has at most 64^4 entries of the
-highest order whatever the corpus holds (16.8 million, about 200 MB; natural text reaches a few hundred
-thousand), which bounds what is collected and broadcast. Entries are stored in arrays sorted by a 64-bit
-hash of the n-gram and found by binary search.
+The model's n-grams are five characters as they stand, whatever the script, case included. Spark counts
+in how many distinct texts each 5-gram of every text stands, less one: a text scored is no witness for itself,
+nor are its copies, or whatever stands in it alone would be found likely. Lower orders are continuation counts
+of the distinct ones, and all orders are joined to probabilities by shuffle. The model has every n-gram of the
+corpus, grows with it without a bound and is never gathered in one place.
+
+Texts are dealt by their hash to blocks of about 64 MB, so copies meet and count once: first in the task that
+reads them, then in their block, by sorting. A block asks for its distinct n-grams, which are its counts as
+well, and is sent its own part of the model, which it keeps in arrays sorted by a 64-bit hash. What moves is
+each text once, compressed, and two rows per block and distinct n-gram; a task holds one block.
 
 A document is rejected if its log perplexity lies outside the band of its language: the quartiles of the
 language's documents that pass the base rules, widened by ``WIDTH`` times their distance on either side.
@@ -21,25 +26,31 @@ have a result; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.frames import slices, stored, utf8
-
-ORDER, BITS = 4, 6
-CLASSES = 1 << BITS
-SPACE = 1 << (BITS * ORDER)
+from riskloom.operators.joining import lookup
+
+ORDER = 5
+#: Stands before a text; no character of any text by the standard.
+BEGIN = 0x10FFFF
+#: Bytes of texts in one block, and level of the texts' compression.
+BLOCK, LEVEL = 64 << 20, 3
+#: Distinct n-grams of parts of a block that are held before they are added up.
+HELD = 1 << 22
 #: Bins of log perplexity, and how many quartile distances a band reaches beyond the quartiles.
 BIN, WIDTH = 0.001, 3.0
 #: The quartile distance of a normal distribution as a share of the distance of its outer tenths.
 TENTHS = 0.5263
+#: Distinct texts whose scores (16 bytes each) may be broadcast to the rows; more are joined by shuffle.
+FEW = 100_000
 #: Characters looked at in one go.
 PIECE = 1 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -80,167 +91,218 @@ def _repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-@lru_cache(maxsize=1)
-def classes() -> np.ndarray:
-    """The class of each code point: letters a to z without case, blanks, digits, some punctuation, the rest of letters by code point."""
-    table = np.full(0x110000, 34, np.uint8)  # other signs
-    points = np.arange(0x80, 0x110000)
-    table[0x80:] = 35 + points % 29  # other scripts and accented letters
-    for k in range(26):
-        table[ord("a") + k] = table[ord("A") + k] = 1 + k
-    for c in _BLANKS:
-        table[ord(c)] = 27
-    table[ord("\n")] = 28
-    table[ord("0") : ord("9") + 1] = 29
-    for c, k in ((".", 30), (",", 31), ("'", 32), ('"', 32), ("-", 33)):
-        table[ord(c)] = k
-    return table
-
-
-def _grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of: the 4-gram ending at each character (a text begins after three empty classes), the texts they belong to, and how many each."""
+def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of: the code points of texts or of parts of them (each after four that come before), the texts they belong to, and how many each."""
     of, parts, size = [], [], 0
     for k, text in enumerate(texts):
         for start in range(0, len(text), PIECE):
             of.append(k)
-            parts.append((text[max(0, start - 3) : start], text[start : start + PIECE]))
+            parts.append((text[max(0, start - ORDER + 1) : start].rjust(ORDER - 1, chr(BEGIN)), text[start : start + PIECE]))
             size += len(parts[-1][1])
             if size >= PIECE:
-                yield _joined(parts), np.array(of), np.array([len(p) for _, p in parts])
+                yield _points(parts), np.array(of), np.array([len(p) for _, p in parts])
                 of, parts, size = [], [], 0
     if parts:
-        yield _joined(parts), np.array(of), np.array([len(p) for _, p in parts])
+        yield _points(parts), np.array(of), np.array([len(p) for _, p in parts])
 
 
-def _joined(parts: list[tuple[str, str]]) -> np.ndarray:
-    """The 4-grams of texts that come after up to three characters each."""
-    lengths = np.array([len(p) for _, p in parts])
-    points = np.frombuffer("".join(p for _, p in parts).encode("utf-32-le"), np.uint32)
-    symbols = np.zeros(len(points) + 3 * len(parts), np.int32)
-    at = np.arange(len(points)) + 3 * np.repeat(np.arange(1, len(parts) + 1), lengths)
-    symbols[at] = classes()[points]
-    begins = np.cumsum(lengths) - lengths + 3 * np.arange(1, len(parts) + 1)
-    for begin, (before, _) in zip(begins, parts, strict=True):
-        if before:
-            symbols[begin - len(before) : begin] = classes()[np.frombuffer(before.encode("utf-32-le"), np.uint32)]
-    keys = symbols.copy()
-    for k in range(1, ORDER):
-        keys[k:] |= symbols[:-k] << (BITS * k)
-    return keys[at]
+def _points(parts: list[tuple[str, str]]) -> np.ndarray:
+    return np.frombuffer("".join(a + b for a, b in parts).encode("utf-32-le"), np.uint32)
 
 
-def count_grams(df: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, n) over all texts: counted in each task, then added up by gram."""
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    """Where, among all windows of five code points of a batch, those stand that end at a character of a part."""
+    return np.arange(sizes.sum()) + (ORDER - 1) * np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of the n-grams whose first, second, ... code points are the columns."""
+    x = columns[0].astype(np.uint64)
+    for c in columns[1:]:
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + c
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _windows(points: np.ndarray) -> list[np.ndarray]:
+    return [points[k : len(points) - ORDER + 1 + k] for k in range(ORDER)]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SPACE, np.int64)
-        for part in slices(batches, 0):
-            for keys, _, _ in _grams([x or "" for x in part.column(0).to_pylist()]):
-                keys = np.sort(keys)
-                first = np.flatnonzero(np.diff(keys, prepend=-1))
-                counts[keys[first]] += np.diff(first, append=len(keys))
-        seen = np.flatnonzero(counts)
-        for start in range(0, len(seen), 1 << 16):
-            some = seen[start : start + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some])], names=["gram", "n"])
 
-    return df.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def _strings(grams: np.ndarray) -> pa.Array:
+    """Rows of code points as strings."""
+    wide = np.array([1, 2, 3, 4])[np.searchsorted([0x80, 0x800, 0x10000], grams, side="right")].sum(axis=1)
+    offsets = np.concatenate([[0], np.cumsum(wide)]).astype(np.int32)
+    data = np.ascontiguousarray(grams, np.uint32).tobytes().decode("utf-32-le").encode()
+    return pa.Array.from_buffers(pa.string(), len(grams), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _hash(keys: np.ndarray, order: int) -> np.ndarray:
-    """A mixing of (order, key) over 64 bits, one to one."""
-    x = keys.astype(np.uint64) | np.uint64(order << 32)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
+def _from_strings(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer("".join(column.to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
 
 
 @dataclass
-class Model:
-    """Sorted hashes with the probability of each n-gram, and sorted hashes with the weight that each context leaves to the next order."""
+class _Seen:
+    """N-grams in order of their hashes: in how many texts, the first and last of these, and the code points."""
 
+    hashes: np.ndarray
+    texts: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
     grams: np.ndarray
-    probability: np.ndarray
-    contexts: np.ndarray
-    rest: np.ndarray
 
     @staticmethod
-    def _find(hashes: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
-        if not len(hashes):
-            return np.full(len(wanted), missing), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        found = hashes[at] == wanted
-        return np.where(found, values[at], missing), found
-
-    def of(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """The probability of the last class of each n-gram after the others."""
-        if order == 0:
-            return np.full(len(keys), 1 / CLASSES)
-        p, found = self._find(self.grams, self.probability, _hash(keys, order), 0.0)
-        if not found.all():
-            lost = keys[~found]
-            rest, _ = self._find(self.contexts, self.rest, _hash(lost >> BITS, order), 1.0)
-            p[~found] = rest * self.of(lost & ((1 << (BITS * (order - 1))) - 1), order - 1)
-        return p
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off a count of 0, 1, 2, and 3 or more."""
-    n1, n2, n3, n4 = (int((counts == k).sum()) for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3 and n4):
-        return np.array([0.0, 0.5, 0.75, 0.9])
-    y = n1 / (n1 + 2 * n2)
-    return np.array([0.0, *(min(max(d, 0.05), k - 0.05) for k, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)))])
-
-
-def build(counts: DataFrame) -> Model:
-    """The model of a table of 4-gram counts; collects at most 64^4 of them."""
-    held = counts.toArrow()
-    keys, n = held["gram"].to_numpy().astype(np.int64), held["n"].to_numpy().astype(np.int64)
-    order = np.argsort(keys)
-    levels = [(keys[order], n[order])]
+    def of(points: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> _Seen:
+        """Those of a batch whose parts belong to the texts ``ids``, in ascending order."""
+        ends, text = _ends(sizes), np.repeat(ids, sizes)
+        hashes = _hash(_windows(points))[ends]
+        order = np.argsort(hashes, kind="stable")
+        hashes, text = hashes[order], text[order]
+        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+        start = np.flatnonzero(new)
+        texts = np.add.reduceat((new | np.concatenate([[True], text[1:] != text[:-1]])).astype(np.int64), start)
+        stop = np.append(start[1:], len(hashes)) - 1
+        return _Seen(hashes[start], texts, text[start], text[stop], points[ends[order[start]][:, None] + np.arange(ORDER)])
+
+    @staticmethod
+    def added(held: list[_Seen]) -> _Seen:
+        """Those of several batches that follow one another; a text that two batches share counts once."""
+        hashes, texts, first, last, grams = (np.concatenate([getattr(x, name) for x in held]) for name in ("hashes", "texts", "first", "last", "grams"))
+        order = np.argsort(hashes, kind="stable")
+        hashes, texts, first, last = hashes[order], texts[order], first[order], last[order]
+        same = hashes[1:] == hashes[:-1]
+        texts[1:] -= same & (first[1:] == last[:-1])
+        start = np.flatnonzero(np.concatenate([[True], ~same]))
+        stop = np.append(start[1:], len(hashes)) - 1
+        return _Seen(hashes[start], np.add.reduceat(texts, start), first[start], last[stop], grams[order[start]])
+
+
+def _packed(df: DataFrame, text: str) -> DataFrame:
+    """(block, text_hash, packed): each distinct text that isn't empty once, compressed, in one partition with its block."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK))
+    rows = df.where(F.length(text) > 0).select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, seen = zstandard.ZstdCompressor(level=LEVEL).compress, set()
+        for part in slices(batches, 1):
+            fresh = []
+            for k, h in enumerate(part.column(0).to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    fresh.append(k)
+            some = part.take(pa.array(fresh, pa.int64()))
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array([pack(x) for x in utf8(some.column(1))], pa.binary())], names=["text_hash", "packed"])
+
+    moved = rows.mapInArrow(run, "text_hash long, packed binary").withColumn("block", F.pmod("text_hash", F.lit(blocks))).repartition("block")
+    return moved.groupBy("block", "text_hash").agg(F.first("packed").alias("packed"))
+
+
+def _unpacked(packed: pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
+    """The texts, some MB at a time, and the place of the first of each batch."""
+    start, texts, size = 0, [], 0
+    unpack = zstandard.ZstdDecompressor().decompress
+    for k, x in enumerate(packed):
+        texts.append(unpack(x.as_buffer()).decode())
+        size += len(texts[-1])
+        if size >= PIECE:
+            yield start, texts
+            start, texts, size = k + 1, [], 0
+    if texts:
+        yield start, texts
+
+
+def count_grams(texts: DataFrame) -> DataFrame:
+    """(block, gram, n): in how many texts of each block an n-gram stands."""
+
+    def run(block: pa.Table) -> pa.Table:
+        held: list[_Seen] = []
+        for start, some in _unpacked(block.column("packed")):
+            for points, of, sizes in _pieces(some):
+                held.append(_Seen.of(points, of + start, sizes))
+                if sum(len(h.hashes) for h in held) > HELD:
+                    held = [_Seen.added(held)]
+        seen = _Seen.added(held)
+        return pa.table({"block": np.full(len(seen.texts), block.column("block")[0].as_py()), "gram": _strings(seen.grams), "n": seen.texts})
+
+    return texts.groupBy("block").applyInArrow(run, "block long, gram string, n long")
+
+
+def _discounts(level: DataFrame) -> DataFrame:
+    """(order, kinds, d1, d2, d3): the number of n-grams of an order, and what is taken off a count of 1, 2, and 3 or more."""
+    seen = level.groupBy("order").agg(F.count(F.lit(1)).alias("kinds"), *(F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)))
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    each = F.least("n1", "n2", "n3", "n4") > 0
+    cut = [
+        F.when(each, F.least(F.greatest(k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}"), F.lit(0.05)), F.lit(k - 0.05))).otherwise(plain).alias(f"d{k}")
+        for k, plain in ((1, 0.5), (2, 0.75), (3, 0.9))
+    ]
+    return seen.select("order", "kinds", *cut)
+
+
+def model(counts: DataFrame) -> DataFrame:
+    """(gram, p): the probability of the last character of each 5-gram after the others, from (gram, texts).
+
+    An n-gram of one text has the count 0 and the probability that is left to the next lower order.
+    """
+    levels = [counts.select("gram", (F.col("n") - 1).alias("n"))]
     for k in range(ORDER - 1, 0, -1):  # distinct left neighbours of the next lower order
-        levels.append(np.unique(levels[-1][0] & ((1 << (BITS * k)) - 1), return_counts=True))
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-    lower = np.full(1, 1 / CLASSES)
-    lower_keys = np.zeros(1, np.int64)
-    for k, (grams, count) in zip(range(1, ORDER + 1), reversed(levels), strict=True):
-        d = _discounts(count)[np.minimum(count, 3)]
-        contexts, of = np.unique(grams >> BITS, return_inverse=True)
-        total = np.bincount(of, count, len(contexts))
-        rest = np.bincount(of, d, len(contexts)) / total if len(contexts) else np.zeros(0)
-        below = lower[np.searchsorted(lower_keys, grams & ((1 << (BITS * (k - 1))) - 1))]
-        p = (count - d) / total[of] + rest[of] * below if len(grams) else np.zeros(0)
-        parts.append((_hash(grams, k), p, _hash(contexts, k), rest))
-        lower, lower_keys = p, grams
-    grams, p, contexts, rest = (np.concatenate(x) for x in zip(*parts, strict=True))
-    a, b = np.argsort(grams), np.argsort(contexts)
-    return Model(grams[a], p[a], contexts[b], rest[b])
-
-
-def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(key, lang, base counts, log_perplexity, hash of the text) of every row."""
-    rows = df.select(F.col(key), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+        levels.append(levels[-1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count_if(F.col("n") > 0).alias("n")))
+    lower = None
+    for k, level in enumerate(reversed(levels), 1):
+        level = level.withColumn("order", F.lit(k))
+        level = level.join(F.broadcast(_discounts(level)), "order").withColumn("d", F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+        level = level.select("gram", "n", "d", "kinds", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("suffix"))
+        whole = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("off"))
+        level = level.join(whole, "context")
+        level = level.withColumn("below", 1 / F.col("kinds")) if lower is None else level.join(lower, "suffix")
+        lower = level.select(
+            F.col("gram").alias("suffix"),
+            F.when(F.col("total") == 0, F.col("below")).otherwise((F.col("n") - F.col("d") + F.col("off") * F.col("below")) / F.nullif("total", F.lit(0))).alias("below"),
+        )
+    return lower.select(F.col("suffix").alias("gram"), F.col("below").alias("p"))
+
+
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def log_perplexities(df: DataFrame, text: str = "text") -> DataFrame:
+    """(text_hash, log_perplexity) of each distinct text that isn't empty, by a model of all of them."""
+    texts = _packed(df, text)
+    # one exchange by n-gram serves the counts and what the blocks ask for
+    asked = count_grams(texts).repartition("gram")
+    known = model(asked.groupBy("gram").agg(F.sum("n").alias("n")))
+    sent = asked.select("block", "gram").join(known, "gram").select("block", "gram", F.log("p").cast("float").alias("log_p"))
+
+    def run(block: pa.Table, part_of_model: pa.Table) -> pa.Table:
+        hashes = _hash(list(_from_strings(part_of_model.column("gram")).T))
+        order = np.argsort(hashes)
+        hashes, logs = hashes[order], part_of_model.column("log_p").to_numpy()[order].astype(np.float64)
+        sums, lengths = np.zeros(block.num_rows), np.zeros(block.num_rows)
+        for start, some in _unpacked(block.column("packed")):
+            for points, of, sizes in _pieces(some):
+                wanted = _hash(_windows(points))[_ends(sizes)]
+                at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+                if (hashes[at] != wanted).any():
+                    raise ValueError("an n-gram of a block is missing from its part of the model")
+                np.add.at(sums, start + of, np.add.reduceat(logs[at], np.cumsum(sizes) - sizes))
+                np.add.at(lengths, start + of, sizes)
+        return pa.table({"text_hash": block.column("text_hash"), "log_perplexity": -sums / lengths})
+
+    return texts.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, "text_hash long, log_perplexity double")
+
+
+def score(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(key, lang, base counts, log_perplexity, hash of the text) of every row, by a model of all texts."""
+    rows = df.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = np.zeros(SPACE)  # looked up once each; 0: not yet
         for part in slices(batches, 2):
-            raw = utf8(part.column(2))
-            sums, lengths = np.zeros(len(raw)), np.zeros(len(raw))
-            for keys, of, sizes in _grams([x.decode() for x in raw]):
-                new = np.unique(keys[logs[keys] == 0])
-                logs[new] = np.minimum(np.log(sent.value.of(new)), -1e-12)
-                np.add.at(sums, of, np.add.reduceat(logs[keys], np.cumsum(sizes) - sizes))
-                np.add.at(lengths, of, sizes)
-            mean = -sums / np.maximum(lengths, 1)
-            base = np.array([base_counts(x) for x in raw], np.int64).reshape(-1, 5)
-            columns = [part.column(0), part.column(1), *(pa.array(c) for c in base.T), pa.array(mean, mask=lengths == 0), part.column(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "lang", *names, "log_perplexity", "text_hash"])
+            base = np.array([base_counts(x) for x in utf8(part.column(2))], np.int64).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c) for c in base.T), part.column(3)], names=["key", "lang", *NAMES, "text_hash"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, lang string, {', '.join(f'{n} long' for n in names)}, log_perplexity double, text_hash long")
+    counted = rows.mapInArrow(run, f"key {kind}, lang string, {', '.join(f'{n} long' for n in NAMES)}, text_hash long")
+    known = stored(log_perplexities(df, text), "log-perplexity")
+    return lookup(stored(counted, "base-counts"), known, ["text_hash"], max_broadcast_rows=FEW).withColumnRenamed("key", key)
 
 
 def base_failed() -> Column:
@@ -270,7 +332,7 @@ def bands(scored: DataFrame, width: float = WIDTH) -> DataFrame:
 
 def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", width: float = WIDTH) -> DataFrame:
     """(key, base counts, base_failed, kept, perplexity and its band) of every row, by a model of all its texts."""
-    scored = stored(score(df, build(count_grams(df, text)), key, text, lang), "perplexity")
+    scored = stored(score(df, key, text, lang), "perplexity")
     joined = scored.withColumn("l", F.coalesce("lang", F.lit(""))).join(F.broadcast(bands(scored, width).withColumnRenamed("lang", "l")), "l", "left")
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     return joined.select(
@@ -278,33 +340,3 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"),
         F.exp("log_perplexity").alias("perplexity"), F.exp("lower").alias("lower"), F.exp("upper").alias("upper"), "lang",
     )
-
-
-def brute_probability(texts: list[str], context: str, character: str) -> float:
-    """The same probability by plain dictionaries, for tests."""
-    table = classes()
-    counts: dict[tuple[int, ...], int] = {}
-    for t in texts:
-        row = [0, 0, 0, *(int(table[ord(c)]) for c in t)]
-        for k in range(3, len(row)):
-            counts[tuple(row[k - 3 : k + 1])] = counts.get(tuple(row[k - 3 : k + 1]), 0) + 1
-    levels = {4: counts}
-    for k in (3, 2, 1):
-        levels[k] = {}
-        for g in levels[k + 1]:
-            levels[k][g[1:]] = levels[k].get(g[1:], 0) + 1
-    cut = {k: _discounts(np.array(list(v.values()) or [0])) for k, v in levels.items()}
-
-    def p(gram: tuple[int, ...]) -> float:
-        if not gram:
-            return 1 / CLASSES
-        k = len(gram)
-        after = {g: n for g, n in levels[k].items() if g[:-1] == gram[:-1]}
-        if not after:
-            return p(gram[1:])
-        total = sum(after.values())
-        n = levels[k].get(gram, 0)
-        return (n - cut[k][min(n, 3)]) / total + math.fsum(cut[k][min(x, 3)] for x in after.values()) / total * p(gram[1:])
-
-    row = [0, 0, 0, *(int(table[ord(c)]) for c in context + character)]
-    return p(tuple(row[-4:]))

@@ -32,34 +32,102 @@ def test_base_counts(text):
     assert P.base_counts(text.encode()) == brute_base(text)
 
 
+def brute_model(texts, order=5):
+    """A function of (context, character) by plain dictionaries: modified Kneser-Ney as published, of the numbers of other distinct texts."""
+    begin = chr(0x10FFFF)
+    counts = Counter()
+    for t in dict.fromkeys(texts):
+        row = begin * (order - 1) + (t or "")
+        counts.update({row[k : k + order] for k in range(len(row) - order + 1)})
+    levels = {order: {g: n - 1 for g, n in counts.items()}}
+    for k in range(order - 1, 0, -1):
+        levels[k] = {}
+        for g, n in levels[k + 1].items():
+            levels[k][g[1:]] = levels[k].get(g[1:], 0) + (n > 0)
+    cut = {}
+    for k, grams in levels.items():
+        n = Counter(grams.values())
+        if all(n[x] for x in (1, 2, 3, 4)):
+            y = n[1] / (n[1] + 2 * n[2])
+            cut[k] = {c: min(max(c - (c + 1) * y * n[c + 1] / n[c], 0.05), c - 0.05) for c in (1, 2, 3)}
+        else:
+            cut[k] = {1: 0.5, 2: 0.75, 3: 0.9}
+
+    def p(gram):
+        if not gram:
+            return 1 / len(levels[1])
+        k = len(gram)
+        after = {g: n for g, n in levels[k].items() if n and g[:-1] == gram[:-1]}
+        if not after:
+            return p(gram[1:])
+        n, d, total = levels[k].get(gram, 0), cut[k], sum(after.values())
+        own = n - d[min(n, 3)] if n else 0
+        return own / total + sum(d[min(x, 3)] for x in after.values()) / total * p(gram[1:])
+
+    return lambda context, c: p((begin * (order - 1) + context + c)[-order:])
+
+
+SMALL = ["abracadabra, the cat sat.", "the bat sat on the mat\nthe end", "", None, "Ünïcode 42! \U0001f600 日本", "a", "THE bat", "the bat sat", "the mat", "a mat sat", "the cat"]
+
+
 def test_probabilities_match_dictionaries(spark, documents):
-    texts = ["abracadabra, the cat sat.", "the bat sat on the mat\nthe end", "", "Ünïcode 42!", "a"]
-    model = P.build(P.count_grams(documents(list(enumerate(texts)))))
-    for context, c in [("th", "e"), ("", "a"), ("zzz", "q"), ("the", " "), ("sat", "."), ("e e", "n"), ("xab", "r")]:
-        row = [0, 0, 0, *(int(P.classes()[ord(x)]) for x in context + c)][-4:]
-        key = np.array([sum(s << (6 * (3 - k)) for k, s in enumerate(row))])
-        assert model.of(key)[0] == pytest.approx(P.brute_probability(texts, context, c), rel=1e-12)
+    counts = P.count_grams(P._packed(documents(list(enumerate([*SMALL, *SMALL[:2]]))), "text")).groupBy("gram").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    got = {r["gram"]: r["p"] for r in P.model(counts).collect()}
+    begin = chr(0x10FFFF)
+    seen = {(begin * 4 + t)[k : k + 5] for t in SMALL if t for k in range(len(t))}
+    assert set(got) == seen
+    p = brute_model(SMALL)
+    for gram, value in got.items():
+        assert value == pytest.approx(p(gram[:-1], gram[-1]), rel=1e-12)
     # a distribution sums to one
-    row = [int(P.classes()[ord(x)]) for x in "the"]
-    keys = np.array([(row[0] << 18) | (row[1] << 12) | (row[2] << 6) | s for s in range(64)])
-    assert model.of(keys).sum() == pytest.approx(1.0)
+    assert sum(p("the", c) for c in set("".join(t or "" for t in SMALL))) == pytest.approx(1.0)
 
 
 def test_text_in_pieces_counts_the_same(monkeypatch):
+    def hashes(texts):
+        return np.sort(np.concatenate([P._hash(P._windows(points))[P._ends(sizes)] for points, _, sizes in P._pieces(texts)]))
+
     text = PROSE * 3 + "é日本"
-    whole = np.sort(np.concatenate([k for k, _, _ in P._grams([text, "ab"])]))
+    whole = hashes([text, "ab"])
     monkeypatch.setattr(P, "PIECE", 7)
-    parts = np.sort(np.concatenate([k for k, _, _ in P._grams([text, "ab"])]))
-    assert (whole == parts).all() and len(whole) == len(text) + 2
+    assert (whole == hashes([text, "ab"])).all() and len(whole) == len(text) + 2
+
+
+def test_strings_and_code_points():
+    grams = np.array([[0x10FFFF, 0x7F, 0x80, 0x7FF, 0x800], [0xFFFF, 0x10000, 0x20, 0, 0x65E5]], np.uint32)
+    strings = P._strings(grams)
+    assert strings.to_pylist() == ["".join(map(chr, g)) for g in grams]
+    assert (P._from_strings(strings) == grams).all()
 
 
-def test_score_is_the_mean_log_probability(documents):
-    texts = [PROSE, PROSE[:60], "xx"]
-    model = P.build(P.count_grams(documents(list(enumerate(texts)))))
-    got = {r["doc_id"]: r["log_perplexity"] for r in P.score(documents(list(enumerate(texts))), model).collect()}
+@pytest.mark.parametrize("block", [1, 50, 1 << 25])
+def test_score_is_the_mean_log_probability_whatever_the_blocks(documents, block, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK", block)
+    monkeypatch.setattr(P, "HELD", 30)
+    monkeypatch.setattr(P, "PIECE", 70)
+    texts = [*SMALL, PROSE, PROSE[:60], "xx", PROSE]
+    got = {r["doc_id"]: r["log_perplexity"] for r in P.score(documents(list(enumerate(texts)))).collect()}
+    p = brute_model(texts)
+    assert len(got) == len(texts)
     for k, text in enumerate(texts):
-        logs = [math.log(P.brute_probability(texts, text[:i], c)) for i, c in enumerate(text)]
-        assert got[k] == pytest.approx(-sum(logs) / len(text))
+        if not text:
+            assert got[k] is None
+            continue
+        logs = [math.log(p(text[:i], c)) for i, c in enumerate(text)]
+        assert got[k] == pytest.approx(-sum(logs) / len(text), rel=1e-6)
+
+
+def test_letters_in_another_order_are_less_likely(documents):
+    """Other scripts count by their letters, and by case."""
+    words = "привет мир сегодня хорошая погода в нашем городе и люди гуляют в парке".split()
+    draw = random.Random(8)
+    good = [(k, " ".join(draw.choice(words) for _ in range(90))) for k in range(60)]
+    mixed = "".join(chr(0x430 + (ord(c) - 0x430 + 7) % 32) if c != " " else c for c in good[0][1])
+    odd = [(100, mixed), (101, "".join(c.upper() if i % 2 else c for i, c in enumerate(good[1][1])))]
+    rows = {r["doc_id"]: r for r in P.judge(documents([*good, *odd])).collect()}
+    assert all(rows[k]["kept"] for k, _ in good if not rows[k]["base_failed"])
+    for k in (100, 101):
+        assert rows[k]["perplexity"] > 1.2 * max(rows[i]["perplexity"] for i, _ in good)
 
 
 def test_bands_reject_outliers_by_language(documents):
