@@ -9,7 +9,8 @@ corpus, grows with it without a bound and is never gathered in one place.
 Texts are dealt by their hash to blocks of about 64 MB, so copies meet and count once: first in the task that
 reads them, then in their block, by sorting. A block asks for its distinct n-grams, which are its counts as
 well, and is sent its own part of the model, which it keeps in arrays sorted by a 64-bit hash. What moves is
-each text once, compressed, and two rows per block and distinct n-gram; a task holds one block.
+each text, compressed, once to be counted and once to be scored, and three rows per block and distinct n-gram;
+a task holds one block.
 
 A document is rejected if its log perplexity lies outside the band of its language: the quartiles of the
 language's documents that pass the base rules, widened by ``WIDTH`` times their distance on either side.
@@ -267,10 +268,10 @@ NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def log_perplexities(df: DataFrame, text: str = "text") -> DataFrame:
     """(text_hash, log_perplexity) of each distinct text that isn't empty, by a model of all of them."""
     texts = _packed(df, text)
-    # one exchange by n-gram serves the counts and what the blocks ask for
-    asked = count_grams(texts).repartition("gram")
-    known = model(asked.groupBy("gram").agg(F.sum("n").alias("n")))
-    sent = asked.select("block", "gram").join(known, "gram").select("block", "gram", F.log("p").cast("float").alias("log_p"))
+    counts = stored(count_grams(texts).groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    known = stored(model(counts), "model")
+    # counting again what a block asks for costs less than to keep it; one exchange of the texts serves this and their scores
+    sent = count_grams(texts).select("block", "gram").join(known, "gram").select("block", "gram", F.log("p").cast("float").alias("log_p"))
 
     def run(block: pa.Table, part_of_model: pa.Table) -> pa.Table:
         hashes = _hash(list(_from_strings(part_of_model.column("gram")).T))
