@@ -45,7 +45,7 @@ BEGIN = 0x10FFFF
 #: Bytes of texts in one block, and level of the texts' compression.
 BLOCK, LEVEL = 64 << 20, 3
 #: Distinct n-grams of parts of a block that are held before they are added up.
-HELD = 1 << 22
+HELD = 3 << 19
 #: Bins of log perplexity, and how many quartile distances a band reaches beyond the quartiles.
 BIN, WIDTH = 0.001, 3.0
 #: The quartile distance of a normal distribution as a share of the distance of its outer tenths.
