@@ -21,6 +21,9 @@ from riskloom.session import materialize
 MAX_BROADCAST_CELLS = 200_000
 
 
+# Rows that one task of a range shuffle is meant to hold; windows inside of it hold as many as the caller says.
+TASK_ROWS = 1_000_000
+
 # Rows without a time come after all others.
 _LAST_INSTANT = 1 << 61
 
@@ -88,13 +91,16 @@ def _in_ranges(rows: DataFrame, by: Sequence[str], order: Sequence[Column], tota
     """The rows, stored, with ``_cell`` (the range they lie in, in order) and ``_nth`` (orders equals).
 
     Equals of the order, too, are dealt to several ranges, so no range holds much more than its
-    share whatever the types and values are.
+    share whatever the types and values are. A task sorts its share, of about ``TASK_ROWS`` rows, and cuts
+    it into ranges of ``range_rows``, so small ranges make no small tasks.
     """
     wanted = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(wanted, -(-total // range_rows))
-    keys = [F.col(k).asc() for k in by]
-    dealt = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange(n, *keys, *order, F.col("_nth").asc())
-    return materialize(dealt.withColumn("_cell", F.spark_partition_id().cast("long")), "ranges")
+    n = max(wanted, -(-total // max(range_rows, TASK_ROWS)))
+    whole = [*[F.col(k).asc() for k in by], *order, F.col("_nth").asc()]
+    dealt = rows.withColumn("_nth", F.monotonically_increasing_id()).repartitionByRange(n, *whole).sortWithinPartitions(*whole)
+    # The rows of partition p are numbered from p * 2^33, so ranges ascend over all partitions.
+    cell = F.expr(f"monotonically_increasing_id() div {int(range_rows)}")
+    return materialize(dealt.withColumn("_cell", cell), "ranges")
 
 
 def _sums_in_ranges(

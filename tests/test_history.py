@@ -257,6 +257,18 @@ def test_no_range_holds_a_large_group_whole(spark, monkeypatch, unit, strict):
     assert len(sizes) >= 12 and max(sizes) < 1500
 
 
+def test_small_ranges_make_no_small_tasks(spark):
+    """Eight hundred ranges of ten rows come out of the session's few tasks."""
+    df = spark.range(8000).select(F.lit("k").alias("k"), F.col("id").alias("t"))
+    cut = prefix._in_ranges(df, ["k"], [F.col("t").asc()], 8000, 10)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [r["count"] for r in cut.groupBy("_cell").count().collect()]
+    assert len(cut.inputFiles()) <= tasks and len(sizes) >= 800 and max(sizes) <= 10
+    # Ranges follow the order.
+    ends = cut.groupBy("_cell").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("_cell").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))
+
+
 def test_strict_needs_whole_times(spark):
     df = spark.createDataFrame([("a", 1.5, 1)], "k string, t double, n long")
     with pytest.raises(TypeError, match="whole numbers"):
