@@ -188,6 +188,23 @@ def test_splits_and_leaves_are_those_of_a_naive_booster(spark, monkeypatch, shar
     assert [r["score"] for r in scored.collect()] == pytest.approx(list(1 / (1 + np.exp(-margin))), abs=1e-9)
 
 
+def test_the_driver_gets_one_sum_however_many_tasks(spark, monkeypatch):
+    names = [f"f{k}" for k in range(24)]
+    df = spark.range(400).select(F.lit(False).alias("validation"), (F.col("id") % 2).cast("int").alias("label"), *[F.pmod(F.hash("id", F.lit(k)), F.lit(256)).cast("double").alias(n) for k, n in enumerate(names)])
+    blocks = boosting._blocks(df.repartition(30), names, [np.arange(255.0)] * 24, "label")
+    sent, whole = [], type(blocks).collect
+
+    def watched(self):
+        rows = whole(self)
+        sent.extend(len(r["sums"]) for r in rows)
+        return rows
+
+    monkeypatch.setattr(type(blocks), "collect", watched)
+    sums, _ = boosting._level_sums(blocks, 30, [], boosting._Growing(), [0], np.arange(24), 0, 0.0, 1.0, 1.0, 1, 24, 256)
+    assert sum(sent) <= 24 * 256 * 16 + 16
+    assert np.allclose(sums[0][..., 1].sum(axis=1), 400 / 4)
+
+
 def test_many_values_make_few_bins(spark):
     df = spark.range(50_000).selectExpr("double(id) AS a", "double(id % 3) AS b", "cast(NULL AS double) AS c")
     a, b, c = boosting.bin_edges(df, list("abc"), 64)
