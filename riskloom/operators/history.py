@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalars import safe_divide
 from riskloom.operators.joining import keys_long, lookup, require_unique, with_row_key
-from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict
+from riskloom.operators.prefix import prior_sums_by_time, prior_sums_strict, split_heavy
 from riskloom.schema import DEFAULT, MISSING_KEY, TxnColumns
 from riskloom.session import materialize
 
 SUMS = ("n", "y", "amt")
 # A time before any other.
 _FRONT = -(1 << 60)
+# Rows that are compared one with another, and bits by which a larger group is cut.
+FEW_ROWS, DIGIT_BITS = 64, 8
 
 
 def measured(df: DataFrame, cols: TxnColumns, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -218,40 +220,73 @@ def feature_history(
     )
 
 
+def _sums_of_earlier(rows: DataFrame, group: Sequence[str], order: Sequence[str], sums: Sequence[str], out: Sequence[str]) -> DataFrame:
+    """Add to columns ``out`` the ``sums`` of each group's rows that are smaller in ``order``, by comparing rows one with another.
+
+    For groups of a few rows, each of which becomes one array.
+    """
+    others = [c for c in rows.columns if c not in group]
+    all_rows = rows.groupBy(*group).agg(F.collect_list(F.struct(*others)).alias("_all"))
+
+    def earlier(x: Column, r: Column) -> Column:
+        less = F.lit(False)
+        for c in reversed(order):
+            less = (x[c] < r[c]) | ((x[c] == r[c]) & less)
+        return less
+
+    def filled(r: Column) -> Column:
+        start = F.struct(*[r[b].alias(s) for s, b in zip(sums, out, strict=True)])
+        found = F.aggregate(F.filter("_all", lambda x: earlier(x, r)), start, lambda a, x: F.struct(*[(a[s] + F.coalesce(x[s], F.lit(0))).alias(s) for s in sums]))
+        return F.struct(*[r[c].alias(c) for c in others if c not in out], found.alias("_found"))
+
+    inline = all_rows.select(*group, F.inline(F.transform("_all", filled)))
+    return inline.select(*[F.col("_found")[sums[out.index(c)]].alias(c) if c in out else F.col(c) for c in rows.columns])
+
+
 def recomputed_sums(rows: DataFrame, cols: TxnColumns, by: Sequence[str]) -> DataFrame:
-    """``before_n, before_y, before_amt`` of long rows (``measured``) by an interval join, without any running sum.
+    """``before_n, before_y, before_amt`` of long rows (``measured``) by comparing places, without any running sum.
 
-    What comes before (time, id) is all earlier instants and, at the same instant, all smaller ids. An interval from
-    the start is a union of aligned intervals whose lengths are powers of two, one for each bit of its end. Sums of
-    aligned intervals are formed for each level, and a row looks up the few that make up its own interval by
-    equality. Rows times bits take part, never pairs of rows. Times and ids must be whole numbers; no time counts as
-    the last instant, no id as the first. The heaviest intervals are joined apart (``lookup``).
+    What comes before (time, id) is all earlier instants and, at the same instant, all smaller ids. Rows of a group of
+    up to ``FEW_ROWS`` are compared one with another. A larger group is cut into aligned intervals by the next
+    ``DIGIT_BITS`` bits of the time, then of the id: each row gets the sums of the intervals before its own, which
+    are compared in the same way, and its interval is a group from there on. So a row moves a few times, whatever the
+    span of times and ids. These must be whole numbers; no time counts as the last instant, no id as the first.
     """
     low = rows.agg(F.min(cols.time), F.max(cols.time), F.min(cols.id), F.max(cols.id)).first()
     t0, t1, i0, i1 = (v or 0 for v in low)
-    placed = materialize(
+    before = [f"before_{s}" for s in SUMS]
+    left = materialize(
         rows.withColumns(
             {
                 "_t": F.coalesce(F.col(cols.time) - t0, F.lit(t1 - t0 + 1)).cast("long"),
                 "_i": F.coalesce(F.col(cols.id) - i0 + 1, F.lit(0)).cast("long"),
-                "_nth": F.monotonically_increasing_id(),
+                **{b: F.lit(0).cast(rows.schema[s].dataType) for s, b in zip(SUMS, before, strict=True)},
             }
         ),
         "placed",
     )
-    asks = []
-    for group, place, levels in (([*by], "_t", (t1 - t0 + 1).bit_length()), ([*by, "_t"], "_i", (i1 - i0 + 1).bit_length())):
-        level = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level")
-        # Interval k of a level holds the places whose other bits are k.
-        of = F.expr(f"shiftright({place}, _level)")
-        sums = placed.select(*group, place, *SUMS, level).groupBy(*group, "_level", of.alias("_k")).agg(*[F.sum(s).alias(s) for s in SUMS])
-        # Bit by bit: where the end has a bit, the interval before it of that level is part of the whole.
-        has = placed.select("_nth", *group, place, level).where(F.expr(f"shiftright({place}, _level) & 1 = 1"))
-        probe = has.select("_nth", *group, "_level", (of - 1).alias("_k"))
-        asks.append(lookup(probe, materialize(sums, "intervals"), [*group, "_level", "_k"]).select("_nth", *SUMS))
-    found = asks[0].unionByName(asks[1]).groupBy("_nth").agg(*[F.sum(s).alias(f"before_{s}") for s in SUMS])
-    zero = {f"before_{s}": F.coalesce(F.col(f"before_{s}"), F.lit(0)) for s in SUMS}
-    return placed.join(found, "_nth", "left").withColumns(zero).drop("_t", "_i", "_nth")
+    digits = [(place, shift) for place, bits in (("_t", (t1 - t0 + 1).bit_length()), ("_i", (i1 - i0 + 1).bit_length())) for shift in reversed(range(0, bits, DIGIT_BITS))]
+    wanted = [*rows.columns, *before]
+    group, parts = list(by), []
+    for k, (place, shift) in enumerate(digits):
+        few, many, _ = split_heavy(left, group, FEW_ROWS)
+        parts.append(_sums_of_earlier(few, group, ["_t", "_i"], SUMS, before).select(*wanted))
+        if many is None:
+            break
+        digit = f"_digit_{k}"
+        many = many.withColumn(digit, F.expr(f"shiftright({place}, {shift}) & {(1 << DIGIT_BITS) - 1}"))
+        cells = many.groupBy(*group, digit).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SUMS], *[F.lit(0).cast(rows.schema[s].dataType).alias(f"_{b}") for s, b in zip(SUMS, before, strict=True)])
+        offsets = _sums_of_earlier(cells, group, [digit], SUMS, [f"_{b}" for b in before]).drop(*SUMS)
+        group.append(digit)
+        found = lookup(many, materialize(offsets, "intervals"), group)
+        left = materialize(found.withColumns({b: F.col(b) + F.coalesce(F.col(f"_{b}"), F.lit(0)) for b in before}).drop(*[f"_{b}" for b in before]), "placed")
+    else:
+        # Rows that agree in time and id, so none comes before another.
+        parts.append(left.select(*wanted))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def leakage_check(

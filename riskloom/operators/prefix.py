@@ -67,7 +67,7 @@ def cell_offsets(
     )
 
 
-def _split_heavy(
+def split_heavy(
     rows: DataFrame, by: Sequence[str], limit: int
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """(rows of groups up to ``limit`` rows, rows of the larger groups or None, how many rows those are).
@@ -142,7 +142,7 @@ def prior_sums_by_time(
     ``cell_rows`` rows of that same order, so they give the same result.
     """
     by = list(by)
-    light, heavy, total = _split_heavy(rows, by, cell_rows)
+    light, heavy, total = split_heavy(rows, by, cell_rows)
     order = [F.col(time).asc_nulls_last(), F.col(tie).asc()]
     whole = _before(by, order)
     out = light.select("*", *[F.coalesce(F.sum(s).over(whole), F.lit(0)).alias(f"before_{s}") for s in sums])
@@ -170,7 +170,7 @@ def prior_sums_strict(
     by = list(by)
     # Rows with no time come after all others, as one instant.
     rows = rows.withColumn("_instant", F.coalesce(F.col(time).cast("long"), F.lit(_LAST_INSTANT)))
-    light, heavy, total = _split_heavy(rows, by, cell_rows)
+    light, heavy, total = split_heavy(rows, by, cell_rows)
     earlier = Window.partitionBy(*by).orderBy("_instant").rangeBetween(Window.unboundedPreceding, -1)
     out = light.select(
         "*", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
@@ -201,7 +201,7 @@ def prior_sums_by_value(
     by = list(by)
     rows = materialize(rows, "values")
     if by:
-        light, heavy, total = _split_heavy(rows, by, cell_rows)
+        light, heavy, total = split_heavy(rows, by, cell_rows)
     else:
         total = rows.count()
         light, heavy = (rows, None) if total <= cell_rows else (None, rows)

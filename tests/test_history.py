@@ -187,6 +187,28 @@ def test_interval_sums_are_those_of_all_earlier_rows(spark):
 
 
 
+def test_interval_sums_make_few_rows(spark, monkeypatch):
+    """Wide spans of times and ids: a row is stored and looked up a few times, not once a bit."""
+    df = spark.range(600).select(
+        F.lit("card1").alias("key_type"), F.when(F.col("id") < 400, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        (F.col("id") % 7 * (1 << 40)).alias("transaction_dt"), F.col("id").alias("transaction_id"),
+        F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("y"), F.col("id").cast("double").alias("amt"),
+    )
+    looked_up, whole = [], history.lookup
+
+    def watched(probe, table, on):
+        looked_up.append(probe.count())
+        return whole(probe, table, on)
+
+    monkeypatch.setattr(history, "lookup", watched)
+    got = history.recomputed_sums(df, DEFAULT, ["key_type", "key"]).collect()
+    rows = [(r["key"], r["transaction_dt"], r["transaction_id"], r["amt"]) for r in df.collect()]
+    assert sum(looked_up) <= 8 * 400 and len(got) == 600
+    for r in got:
+        earlier = [x for x in rows if x[0] == r["key"] and x[1:3] < (r["transaction_dt"], r["transaction_id"])]
+        assert (r["before_n"], r["before_y"], r["before_amt"]) == (len(earlier), len(earlier), sum(x[3] for x in earlier))
+
+
 def test_aggregates_by_target(spark):
     df = five(spark).withColumn("split", F.when(F.col("transaction_id") < 3, "train").otherwise("validation"))
     feeds = {"train": ("validation", "holdout"), "validation": ("holdout",)}
