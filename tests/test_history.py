@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import table
-from riskloom.operators import history, prefix
+from riskloom.operators import dealing, history, prefix
 from riskloom.operators.joining import lookup
 from riskloom.schema import CARD_PAYMENTS, DEFAULT
 
@@ -301,3 +301,45 @@ def test_a_second_row_with_an_id_is_an_error(spark):
     df = five(spark)
     with pytest.raises(ValueError, match="duplicate"):
         history.add_entity_history(df.unionByName(df.limit(1)))
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_many_rows_go_to_more_tasks(spark, monkeypatch, strict):
+    """Tasks get a bounded number of rows, with the same histories; before, all went to the session's 4 partitions."""
+    df = skewed(spark)
+    expected = table(history.add_entity_history(df, DEFAULT, ("card1",), strict=strict), "transaction_id")
+    monkeypatch.setattr(dealing, "DEALT_ROWS", 100)
+    light, heavy, n = prefix.split_heavy(history.measured(df, DEFAULT, ("card1",)), ["key_type", "key"], 500)
+    assert n == 1000 and heavy.count() == 1000
+    assert light.rdd.getNumPartitions() == 20
+    long = history.history_long(df, DEFAULT, ("card1",), strict=strict)
+    assert history.spread_history(long, DEFAULT, ("card1",), 3000).rdd.getNumPartitions() == 30
+    for most, limit in ((0, 500), (1000, 100)):
+        monkeypatch.setattr(prefix, "MAX_BROADCAST_CELLS", most)
+        got = table(history.add_entity_history(df, DEFAULT, ("card1",), strict=strict, cell_rows=limit), "transaction_id")
+        assert got.keys() == expected.keys()
+        for i, row in got.items():
+            for c, v in row.items():
+                assert v == expected[i][c] or v == pytest.approx(expected[i][c], rel=1e-9)
+
+
+def test_null_groups_stay_one_group_however_they_are_dealt(spark, monkeypatch):
+    rows = spark.createDataFrame([(k % 2 or None, k // 20, k, 1) for k in range(400)], "k int, t long, i long, n long")
+    expected = sorted(map(tuple, prefix.prior_sums_strict(rows, ["k"], "t", ["n"]).select("i", "before_n").collect()))
+    assert expected[:2] == [(0, 0), (1, 0)] and expected[-1] == (399, 190)
+    monkeypatch.setattr(dealing, "DEALT_ROWS", 5)
+    monkeypatch.setattr(prefix, "MAX_BROADCAST_CELLS", 30)
+    got = prefix.prior_sums_strict(rows, ["k"], "t", ["n"], cell_rows=50)
+    assert sorted(map(tuple, got.select("i", "before_n").collect())) == expected
+    values = rows.groupBy("k", "t").agg(F.sum("n").alias("n"))
+    whole, cut = (prefix.prior_sums_by_value(values, ["k"], "t", ["n"], cell_rows=m, with_next=True) for m in (1000, 5))
+    assert sorted(map(str, cut.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_lookup_deals_a_long_probe(spark, monkeypatch):
+    probe = spark.range(2000).select("id", (F.col("id") % 300).alias("key"))
+    facts = spark.range(250).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    monkeypatch.setattr(dealing, "DEALT_ROWS", 100)
+    got = lookup(probe, facts, ["key"], max_broadcast_rows=10)
+    assert got.count() == 2000 and got.where("twice = 2 * key").count() == sum(k % 300 < 250 for k in range(2000))
+    assert got.rdd.getNumPartitions() >= 20
