@@ -7,10 +7,10 @@ of the distinct ones, and all orders are joined to probabilities by shuffle. The
 corpus, grows with it without a bound and is never gathered in one place.
 
 Texts are dealt by their hash to blocks of about 64 MB, so copies meet and count once: first in the task that
-reads them, then in their block, by sorting. A block asks for its distinct n-grams, which are its counts as
-well, and is sent its own part of the model, which it keeps in arrays sorted by a 64-bit hash. What moves is
-each text, compressed, once to be counted and once to be scored, and three rows per block and distinct n-gram;
-a task holds one block.
+reads them, then in their block, by sorting. A block asks for its distinct n-grams, which are stored with its
+counts, and is sent its own part of the model, which it keeps in arrays sorted by a 64-bit hash. An n-gram is
+found there from where the hashes with the same first bits begin. What moves is each text, compressed, once to
+be counted and once to be scored, and three rows per block and distinct n-gram; a task holds one block.
 
 A document is rejected if its log perplexity lies outside the band of its language: the quartiles of the
 language's documents that pass the base rules, widened by ``WIDTH`` times their distance on either side.
@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.frames import slices, stored, utf8
+from riskloom.llm.frames import shuffles_freed, slices, stored, utf8
 from riskloom.operators.joining import lookup
 
 ORDER = 5
@@ -52,8 +52,8 @@ BIN, WIDTH = 0.001, 3.0
 TENTHS = 0.5263
 #: Distinct texts whose scores (16 bytes each) may be broadcast to the rows; more are joined by shuffle.
 FEW = 100_000
-#: Characters looked at in one go.
-PIECE = 1 << 20
+#: Characters looked at in one go; few enough that what is made of them stays in a processor's cache.
+PIECE = 1 << 17
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 _BLANKS, _SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 
@@ -117,11 +117,22 @@ def _ends(sizes: np.ndarray) -> np.ndarray:
 
 
 def _hash(columns: list[np.ndarray]) -> np.ndarray:
-    """A 64-bit hash of the n-grams whose first, second, ... code points are the columns."""
+    """A 64-bit hash of the n-grams whose first, second, ... code points, of 21 bits each, are the columns."""
+    x = _side_by_side(columns[:3])
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x += _side_by_side(columns[3:])
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x
+
+
+def _side_by_side(columns: list[np.ndarray]) -> np.ndarray:
     x = columns[0].astype(np.uint64)
-    for c in columns[1:]:
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + c
-    return (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    for k, c in enumerate(columns[1:], 1):
+        x += np.left_shift(c, np.uint64(21 * k), dtype=np.uint64)
+    return x
 
 
 def _windows(points: np.ndarray) -> list[np.ndarray]:
@@ -140,6 +151,31 @@ def _from_strings(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer("".join(column.to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
 
 
+class _Places:
+    """Finds hashes among distinct ascending ones, from where those with the same first bits begin."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.n = len(hashes)
+        bits = self.n.bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self._first(hashes), minlength=1 << bits))[:-1]])
+        self.hashes = np.append(hashes, np.uint64(0xFFFFFFFFFFFFFFFF))  # ends a search beyond the last
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> self.shift).view(np.int64)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each, and whether it is there; if not, the place of the next one or n."""
+        at = self.begin.take(self._first(wanted))
+        there = self.hashes.take(at)
+        behind = np.flatnonzero(there < wanted)
+        while len(behind):
+            at[behind] += 1
+            there[behind] = self.hashes.take(at[behind])
+            behind = behind[there[behind] < wanted[behind]]
+        return at, (there == wanted) & (at < self.n)
+
+
 @dataclass
 class _Seen:
     """N-grams in order of their hashes: in how many texts, the first and last of these, and the code points."""
@@ -151,10 +187,8 @@ class _Seen:
     grams: np.ndarray
 
     @staticmethod
-    def of(points: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> _Seen:
-        """Those of a batch whose parts belong to the texts ``ids``, in ascending order."""
-        ends, text = _ends(sizes), np.repeat(ids, sizes)
-        hashes = _hash(_windows(points))[ends]
+    def of(points: np.ndarray, ends: np.ndarray, hashes: np.ndarray, text: np.ndarray) -> _Seen:
+        """Those of a batch that stand at ``ends``, with their hashes and, in ascending order, their texts."""
         order = np.argsort(hashes, kind="stable")
         hashes, text = hashes[order], text[order]
         new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
@@ -175,6 +209,18 @@ class _Seen:
         stop = np.append(start[1:], len(hashes)) - 1
         return _Seen(hashes[start], np.add.reduceat(texts, start), first[start], last[stop], grams[order[start]])
 
+    def count(self, at: np.ndarray, text: np.ndarray) -> None:
+        """Count those at these places, which stand in these texts, in ascending order; a text counts once."""
+        if not len(at):
+            return
+        bits = len(self.hashes).bit_length()
+        pairs = np.sort(((text - text[0]) << bits) + at)
+        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+        at, text = pairs & ((1 << bits) - 1), (pairs >> bits) + text[0]
+        fresh = self.last[at] != text
+        np.add.at(self.texts, at[fresh], 1)
+        self.last[at] = text  # of several, the last
+
 
 def _packed(df: DataFrame, text: str) -> DataFrame:
     """(block, text_hash, packed): each distinct text that isn't empty once, compressed, in one partition with its block."""
@@ -215,13 +261,21 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """(block, gram, n): in how many texts of each block an n-gram stands."""
 
     def run(block: pa.Table) -> pa.Table:
-        held: list[_Seen] = []
+        known, held = None, []
         for start, some in _unpacked(block.column("packed")):
             for points, of, sizes in _pieces(some):
-                held.append(_Seen.of(points, of + start, sizes))
-                if sum(len(h.hashes) for h in held) > HELD:
-                    held = [_Seen.added(held)]
-        seen = _Seen.added(held)
+                ends, text = _ends(sizes), np.repeat(of + start, sizes)
+                hashes = _hash(_windows(points))[ends]
+                if known:
+                    at, found = places.find(hashes)
+                    known.count(at[found], text[found])
+                    ends, hashes, text = (x[~found] for x in (ends, hashes, text))
+                if len(hashes):
+                    held.append(_Seen.of(points, ends, hashes, text))
+                if sum(len(h.hashes) for h in held) > min(HELD, len(known.hashes) // 4 if known else 0):
+                    known, held = _Seen.added([*([known] if known else []), *held]), []
+                    places = _Places(known.hashes)
+        seen = _Seen.added([known, *held])
         return pa.table({"block": np.full(len(seen.texts), block.column("block")[0].as_py()), "gram": _strings(seen.grams), "n": seen.texts})
 
     return texts.groupBy("block").applyInArrow(run, "block long, gram string, n long")
@@ -268,21 +322,21 @@ NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def log_perplexities(df: DataFrame, text: str = "text") -> DataFrame:
     """(text_hash, log_perplexity) of each distinct text that isn't empty, by a model of all of them."""
     texts = _packed(df, text)
-    counts = stored(count_grams(texts).groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    of_blocks = stored(count_grams(texts), "block-grams")
+    counts = stored(of_blocks.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     known = stored(model(counts), "model")
-    # counting again what a block asks for costs less than to keep it; one exchange of the texts serves this and their scores
-    sent = count_grams(texts).select("block", "gram").join(known, "gram").select("block", "gram", F.log("p").cast("float").alias("log_p"))
+    sent = of_blocks.select("block", "gram").join(known, "gram").select("block", "gram", F.log("p").cast("float").alias("log_p"))
 
     def run(block: pa.Table, part_of_model: pa.Table) -> pa.Table:
         hashes = _hash(list(_from_strings(part_of_model.column("gram")).T))
         order = np.argsort(hashes)
-        hashes, logs = hashes[order], part_of_model.column("log_p").to_numpy()[order].astype(np.float64)
+        places, logs = _Places(hashes[order]), part_of_model.column("log_p").to_numpy()[order].astype(np.float64)
         sums, lengths = np.zeros(block.num_rows), np.zeros(block.num_rows)
         for start, some in _unpacked(block.column("packed")):
             for points, of, sizes in _pieces(some):
                 wanted = _hash(_windows(points))[_ends(sizes)]
-                at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-                if (hashes[at] != wanted).any():
+                at, found = places.find(wanted)
+                if not found.all():
                     raise ValueError("an n-gram of a block is missing from its part of the model")
                 np.add.at(sums, start + of, np.add.reduceat(logs[at], np.cumsum(sizes) - sizes))
                 np.add.at(lengths, start + of, sizes)
@@ -302,7 +356,8 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     kind = rows.schema[0].dataType.simpleString()
     counted = rows.mapInArrow(run, f"key {kind}, lang string, {', '.join(f'{n} long' for n in NAMES)}, text_hash long")
-    known = stored(log_perplexities(df, text), "log-perplexity")
+    with shuffles_freed(df.sparkSession):  # the texts move twice; the first exchange needn't outlast the counts
+        known = stored(log_perplexities(df, text), "log-perplexity")
     return lookup(stored(counted, "base-counts"), known, ["text_hash"], max_broadcast_rows=FEW).withColumnRenamed("key", key)
 
 

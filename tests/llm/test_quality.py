@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from riskloom.llm import perplexity as P
+from riskloom.llm.frames import FREED, shuffles_freed
 
 PROSE = "the men of the house went to the other side of the road and then they came home again by the same way "
 
@@ -93,6 +94,55 @@ def test_text_in_pieces_counts_the_same(monkeypatch):
     assert (whole == hashes([text, "ab"])).all() and len(whole) == len(text) + 2
 
 
+def test_hashes_tell_ngrams_apart():
+    """Also those that differ by one in places side by side, and whatever the order."""
+    draw = np.random.default_rng(3)
+    grams = np.unique(np.concatenate([draw.integers(0, 4, (3000, 5)), draw.integers(0x10FFFB, 0x110000, (3000, 5)), draw.integers(0, 0x110000, (3000, 5))]).astype(np.uint32), axis=0)
+    assert len(np.unique(P._hash(list(grams.T)))) == len(grams)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 5000])
+def test_hashes_are_found_by_their_first_bits(n):
+    draw = np.random.default_rng(n)
+    top = np.uint64(2**64 - 1)
+    close = np.uint64(123 << 50) + np.arange(50, dtype=np.uint64)  # all with the same first bits
+    some = np.unique(np.concatenate([draw.integers(0, 2**64, n, np.uint64), close, [np.uint64(0)]]))[-n:]
+    for hashes in (some, np.unique(np.append(some, top))):
+        wanted = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), draw.integers(0, 2**64, 99, np.uint64), [np.uint64(0), top]])
+        at, found = P._Places(hashes).find(wanted)
+        assert (at == np.searchsorted(hashes, wanted)).all()
+        assert (found == np.isin(wanted, hashes)).all()
+
+
+@pytest.mark.parametrize(("piece", "held"), [(7, 5), (40, 1), (1 << 17, 3 << 19)])
+def test_a_text_counts_once_though_batches_share_it(documents, monkeypatch, piece, held):
+    monkeypatch.setattr(P, "PIECE", piece)
+    monkeypatch.setattr(P, "HELD", held)
+    draw = random.Random(piece)
+    texts = [*(t for t in SMALL if t), PROSE, PROSE * 3, *("".join(draw.choice("ab ") for _ in range(draw.randrange(1, 60))) for _ in range(40))]
+    want = Counter(g for t in set(texts) for g in {(chr(0x10FFFF) * 4 + t)[k : k + 5] for k in range(len(t))})
+    got = P.count_grams(P._packed(documents(list(enumerate(texts))), "text")).collect()
+    assert len(got) == len(want) and {r["gram"]: r["n"] for r in got} == want
+
+
+def test_a_block_is_counted_once(documents, monkeypatch):
+    calls, count = [], P.count_grams
+    monkeypatch.setattr(P, "count_grams", lambda texts: calls.append(1) or count(texts))
+    assert P.log_perplexities(documents(list(enumerate(SMALL)))).count() == len({t for t in SMALL if t})
+    assert len(calls) == 1
+
+
+def test_shuffle_files_are_removed_for_the_scores_only(spark, documents, monkeypatch):
+    seen, put, before = [], P.stored, spark.conf.get(FREED)
+    monkeypatch.setattr(P, "stored", lambda df, label: seen.append((label, spark.conf.get(FREED))) or put(df, label))
+    assert P.score(documents(list(enumerate(SMALL)))).count() == len(SMALL)
+    assert {label for label, freed in seen if freed == "true"} == {"block-grams", "grams", "model", "log-perplexity"}
+    assert spark.conf.get(FREED) == before
+    with pytest.raises(ValueError, match="stops"), shuffles_freed(spark):
+        raise ValueError("stops")
+    assert spark.conf.get(FREED) == before
+
+
 def test_strings_and_code_points():
     grams = np.array([[0x10FFFF, 0x7F, 0x80, 0x7FF, 0x800], [0xFFFF, 0x10000, 0x20, 0, 0x65E5]], np.uint32)
     strings = P._strings(grams)
