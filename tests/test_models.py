@@ -205,6 +205,34 @@ def test_the_driver_gets_one_sum_however_many_tasks(spark, monkeypatch):
     assert np.allclose(sums[0][..., 1].sum(axis=1), 400 / 4)
 
 
+def test_trees_are_the_same_whoever_adds_up(spark, monkeypatch):
+    """One task that holds all blocks, tasks of a barrier stage, or a job a level; before, there were only the jobs."""
+    rng = np.random.default_rng(6)
+    x = np.stack([rng.integers(0, 30, 3000), rng.normal(size=3000).round(2), rng.normal(size=3000).round(2)], axis=1)
+    y = ((x[:, 0] > 12) ^ (x[:, 1] > 0.3) | (rng.random(3000) < 0.2)).astype(int)
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y, strict=True)], "a double, b double, c double, label int").repartition(4).cache()
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(boosting, "HELD_ROWS", 900)
+    edges = boosting.bin_edges(df, list("abc"))
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("trees"))
+    found = []
+    for alone, held in ((1 << 26, 0), (0, 1 << 26), (0, 0)):
+        monkeypatch.setattr(boosting, "ALONE_BYTES", alone)
+        monkeypatch.setattr(boosting, "HELD_BYTES", held)
+        spark.sparkContext.setJobGroup("trees", "")
+        before = jobs()
+        found.append(boosting.fit(df, list("abc"), df.where("a < 9"), n_estimators=4, max_depth=3, learning_rate=0.3, subsample=0.7, colsample=0.7, early_stopping=3, edges=edges, seed=3))
+        found[-1].params["jobs"] = jobs() - before
+        spark.sparkContext.setJobGroup("others", "")
+    alone, held, passes = found
+    assert max(alone.params["jobs"], held.params["jobs"]) < 10 < passes.params["jobs"]
+    for other in (held, passes):
+        assert other.losses == pytest.approx(alone.losses, abs=1e-9) and len(other.trees) == len(alone.trees) > 1
+        for a, b in zip(alone.trees, other.trees, strict=True):
+            assert list(a.feature) == list(b.feature) and list(a.threshold) == list(b.threshold)
+            assert list(a.value) == pytest.approx(list(b.value), abs=1e-9) and list(a.cover) == pytest.approx(list(b.cover), abs=1e-6)
+
+
 def test_many_values_make_few_bins(spark):
     df = spark.range(50_000).selectExpr("double(id) AS a", "double(id % 3) AS b", "cast(NULL AS double) AS c")
     a, b, c = boosting.bin_edges(df, list("abc"), 64)

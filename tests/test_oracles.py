@@ -52,3 +52,12 @@ def test_tree_queries_tell_one_story(spark, sf_dir):
     assert told["validation_loss_0000"] > told[f"validation_loss_{int(told['best_iteration']):04d}"]
     ends = QUERIES["tree_extremes"](spark, sf_dir).toPandas()
     assert set(ends["extreme"]) == {"highest", "lowest"} and len(ends) == 50
+
+
+def test_fitted_trees_have_the_published_rounds(spark, sf_dir):
+    """Every round of the published settings is fitted unless the patience ends them; before, 60 were."""
+    told = {r["name"]: r["value"] for r in QUERIES["training_parameters"](spark, sf_dir).collect()}
+    assert told["n_estimators"] == 1000 and told["early_stopping"] == 50
+    assert told["rounds_fitted"] == 1000 or told["rounds_fitted"] == told["best_iteration"] + 50
+    scored = {r["split"]: r for r in QUERIES["train_boosted_trees"](spark, sf_dir).collect()}
+    assert set(scored) == {"train", "validation", "holdout"}
