@@ -206,7 +206,10 @@ def test_the_driver_gets_one_sum_however_many_tasks(spark, monkeypatch):
 
 
 def test_trees_are_the_same_whoever_adds_up(spark, monkeypatch):
-    """One task that holds all blocks, tasks of a barrier stage, or a job a level; before, there were only the jobs."""
+    """One task that holds all blocks, tasks of a barrier stage, or a job a level; before, there were only the jobs.
+
+    The last fit finds that its tasks share no folder.
+    """
     rng = np.random.default_rng(6)
     x = np.stack([rng.integers(0, 30, 3000), rng.normal(size=3000).round(2), rng.normal(size=3000).round(2)], axis=1)
     y = ((x[:, 0] > 12) ^ (x[:, 1] > 0.3) | (rng.random(3000) < 0.2)).astype(int)
@@ -216,7 +219,9 @@ def test_trees_are_the_same_whoever_adds_up(spark, monkeypatch):
     edges = boosting.bin_edges(df, list("abc"))
     jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("trees"))
     found = []
-    for alone, held in ((1 << 26, 0), (0, 1 << 26), (0, 0)):
+    for alone, held, shared in ((1 << 26, 0, True), (0, 1 << 26, True), (0, 0, True), (0, 1 << 26, False)):
+        if not shared:
+            monkeypatch.setattr(boosting, "_Told", type("Apart", (), {"__init__": lambda self, folder: None, "serves": False}))
         monkeypatch.setattr(boosting, "ALONE_BYTES", alone)
         monkeypatch.setattr(boosting, "HELD_BYTES", held)
         spark.sparkContext.setJobGroup("trees", "")
@@ -224,9 +229,9 @@ def test_trees_are_the_same_whoever_adds_up(spark, monkeypatch):
         found.append(boosting.fit(df, list("abc"), df.where("a < 9"), n_estimators=4, max_depth=3, learning_rate=0.3, subsample=0.7, colsample=0.7, early_stopping=3, edges=edges, seed=3))
         found[-1].params["jobs"] = jobs() - before
         spark.sparkContext.setJobGroup("others", "")
-    alone, held, passes = found
-    assert max(alone.params["jobs"], held.params["jobs"]) < 10 < passes.params["jobs"]
-    for other in (held, passes):
+    alone, held, passes, apart = found
+    assert max(alone.params["jobs"], held.params["jobs"]) < 10 < passes.params["jobs"] < apart.params["jobs"]
+    for other in (held, passes, apart):
         assert other.losses == pytest.approx(alone.losses, abs=1e-9) and len(other.trees) == len(alone.trees) > 1
         for a, b in zip(alone.trees, other.trees, strict=True):
             assert list(a.feature) == list(b.feature) and list(a.threshold) == list(b.threshold)
@@ -284,6 +289,61 @@ def test_tree_contributions_are_shapley_values_and_add_up(spark, noisy_trees):
         assert r["phi"] == pytest.approx(list(want), abs=1e-10)
 
 
+@pytest.fixture(scope="module")
+def grown_trees():
+    """Random trees of several shapes over five features, which come again on paths; one is deeper than a table's rows tell."""
+    rng = np.random.default_rng(12)
+
+    def grow(depth, likely, chain=False, least=0.0):
+        nodes = [[0, 0.0, -1, -1, 0.0, 100.0]]
+        open_ = [(0, 0)]
+        while open_:
+            n, d = open_.pop()
+            if d == depth or d and rng.random() > likely:
+                nodes[n][4] = float(rng.normal())
+                continue
+            # Now and then no weight follows a side, where ``least`` is 0.
+            share = max(least, float(rng.choice([0.0, 0.3, 0.5, 0.9])))
+            a, b = len(nodes), len(nodes) + 1
+            nodes[n][:4] = [int(rng.integers(0, 5)), round(float(rng.normal()), 1), a, b]
+            nodes += [[0, 0.0, -1, -1, 0.0, nodes[n][5] * share], [0, 0.0, -1, -1, 0.0, nodes[n][5] * (1 - share)]]
+            if chain:
+                nodes[b][4] = float(rng.normal())
+            open_ += [(a, d + 1)] if chain else [(a, d + 1), (b, d + 1)]
+        return boosting.Tree(*(np.array(c) for c in zip(*nodes, strict=True)))
+
+    return [grow(6, 1.0, least=0.1), grow(6, 0.7), grow(1, 1.0, least=0.1), grow(0, 1.0), grow(8, 0.8), grow(13, 1.0, True), grow(10, 1.0, True)]
+
+
+def test_tables_have_what_the_recurrence_adds_up(grown_trees, monkeypatch):
+    """Rows are looked up, none goes through the recurrence but for trees with too long paths; before, all did."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(5000, 5)).round(1)
+    x[::50, 2] = np.nan
+    want = treeshap.contributions_matrix(x, treeshap.tree_blocks(grown_trees))
+    assert len(treeshap.Explainer(grown_trees).deep) == 1
+    assert np.abs(treeshap.Explainer(grown_trees).contributions(x) - want).max() < 1e-9
+    few = treeshap.Explainer(grown_trees).contributions(x[:10])
+    assert np.abs(few - want[:10]).max() < 1e-12
+    by_hand = [t for t in grown_trees if (t.cover > 0).all()]
+    assert max(t.depth for t in by_hand) >= 6
+    for r in range(3):
+        assert treeshap.Explainer(by_hand).contributions(x[:100])[r] == pytest.approx(list(brute_shapley(by_hand, x[r], 5)), abs=1e-9)
+    monkeypatch.setattr(treeshap, "_add_block", None)
+    shallow = treeshap.Explainer([t for t in grown_trees if t.depth <= 10])
+    assert np.isfinite(shallow.contributions(x)).all() and not shallow.deep
+    assert treeshap.Explainer([]).contributions(x).tolist() == np.zeros(x.shape).tolist()
+
+
+def test_contributions_are_computed_once(spark, boosted, separable):
+    """The filter on empty arrays that the planner puts before ``inline`` had a second computation of its own."""
+    rows = BatchScorer(boosted, 0.5).explain(separable, ["transaction_id"])
+    for out in (rows.select("transaction_id", F.inline("contributions")), rows.select("score", F.posexplode(explaining.risk_factors(F.col("contributions"))))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [explain(") == 1
+        assert out.count() == 400
+
+
 def test_importance_and_factors(spark, boosted, separable):
     noise = separable.withColumn("f2", F.rand(1))
     model = modelling.train_boosted_trees(
