@@ -145,7 +145,7 @@ def save_load_model(spark, sf):
 
 @query("train_and_evaluate")
 def train_and_evaluate_query(spark, sf):
-    return train_and_evaluate(temporal_features(spark, sf), COLS, boosted={"n_estimators": 60}).metrics
+    return train_and_evaluate(temporal_features(spark, sf), COLS).metrics
 
 
 @query(

@@ -5,6 +5,7 @@ import pytest
 from oracle import compare, connect
 from riskloom.catalog import ORACLES, QUERIES
 from riskloom.catalog.learning import ROUNDS
+from riskloom.operators import boosting
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +62,12 @@ def test_fitted_trees_have_the_published_rounds(spark, sf_dir):
     assert told["rounds_fitted"] == 1000 or told["rounds_fitted"] == told["best_iteration"] + 50
     scored = {r["split"]: r for r in QUERIES["train_boosted_trees"](spark, sf_dir).collect()}
     assert set(scored) == {"train", "validation", "holdout"}
+
+
+def test_train_and_evaluate_has_the_published_rounds(spark, sf_dir, monkeypatch):
+    """The query fits both models with the settings of the operator; before, it named 60 rounds."""
+    asked, fit = [], boosting.fit
+    monkeypatch.setattr(boosting, "fit", lambda *rows, **settings: asked.append(settings) or fit(*rows, **{**settings, "n_estimators": 3}))
+    rows = QUERIES["train_and_evaluate"](spark, sf_dir).collect()
+    assert [(a["n_estimators"], a["max_depth"], a["learning_rate"], a["early_stopping"]) for a in asked] == [(1000, 6, 0.02, 50)]
+    assert len(rows) == 6
