@@ -322,9 +322,10 @@ def test_tables_have_what_the_recurrence_adds_up(grown_trees, monkeypatch):
     x[::50, 2] = np.nan
     want = treeshap.contributions_matrix(x, treeshap.tree_blocks(grown_trees))
     assert len(treeshap.Explainer(grown_trees).deep) == 1
-    assert np.abs(treeshap.Explainer(grown_trees).contributions(x) - want).max() < 1e-9
-    few = treeshap.Explainer(grown_trees).contributions(x[:10])
-    assert np.abs(few - want[:10]).max() < 1e-12
+    found = treeshap.Explainer(grown_trees).contributions(x)
+    assert np.abs(found - want).max() < 1e-9
+    # The same bits whatever rows come along.
+    assert (treeshap.Explainer(grown_trees).contributions(x[:10]) == found[:10]).all()
     by_hand = [t for t in grown_trees if (t.cover > 0).all()]
     assert max(t.depth for t in by_hand) >= 6
     for r in range(3):
